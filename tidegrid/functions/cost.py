@@ -20,7 +20,7 @@ def demand_class(count: Column, q25: Column, q75: Column) -> Column:
 def penalty(actual: Column, predicted: Column) -> Column:
     """Cost of one settled prediction; null while either side is unknown."""
     gap = (actual - predicted).cast("double")
-    return F.when(gap > 0, gap * UNDER_COST).when(gap <= 0, -gap * OVER_COST)
+    return F.when(gap >= 0, gap * UNDER_COST).when(gap < 0, -gap * OVER_COST)
 
 
 def expected_cost(probabilities: list[Column], choice: int) -> Column:

@@ -1,0 +1 @@
+"""Class models fitted by Spark ML, tuned and chosen by operational penalty."""

@@ -78,6 +78,17 @@ def fit_thresholds(train: DataFrame, by: list[str] | None = None) -> DataFrame:
     )
 
 
+def with_zone_thresholds(df: DataFrame, zone: str = "pickup_location_id") -> DataFrame:
+    """Each zone's own training quartiles attached as a window aggregate.
+
+    The rows are partitioned by zone already, so unlike fit-and-join this neither recomputes the
+    features nor shuffles again.
+    """
+    counts = F.when(F.col("split") == "train", F.col("ride_count"))
+    q = F.percentile(counts, F.array(F.lit(0.25), F.lit(0.75))).over(Window.partitionBy(zone))
+    return df.withColumn("_q", q).withColumns({"q25": F.col("_q")[0], "q75": F.col("_q")[1]}).drop("_q")
+
+
 def with_thresholds(df: DataFrame, thresholds: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Attach thresholds: one row for all, or one per zone (the planner picks the join by size)."""
     if by:

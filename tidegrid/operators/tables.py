@@ -82,13 +82,13 @@ class Lakehouse:
         return out
 
     def _overwrite(self, df: DataFrame, spec: TableSpec, dynamic: bool) -> None:
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(key)
-        self.spark.conf.set(key, "dynamic" if dynamic else "static")
+        key, conf = "spark.sql.sources.partitionOverwriteMode", df.sparkSession.conf  # a stream batch has its own
+        before = conf.get(key)
+        conf.set(key, "dynamic" if dynamic else "static")
         try:
             df.write.insertInto(self.name(spec), overwrite=True)
         finally:
-            self.spark.conf.set(key, before)
+            conf.set(key, before)
 
     def append(self, spec: TableSpec, df: DataFrame, balance: bool = True) -> None:
         """Add rows. ``balance=False`` skips the shuffle when each input split feeds one partition."""
