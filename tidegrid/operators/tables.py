@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,18 +95,24 @@ class Lakehouse:
         """Add rows. ``balance=False`` skips the shuffle when each input split feeds one partition."""
         self._arrange(df, spec, balance).write.insertInto(self.name(spec), overwrite=False)
 
-    def replace_slices(self, spec: TableSpec, df: DataFrame, balance: bool = True) -> int:
-        """Replace exactly the partitions present in ``df``; returns the rows written."""
+    def replace_slices(self, spec: TableSpec, df: DataFrame, balance: bool = True) -> None:
+        """Replace exactly the partitions present in ``df``; the others are untouched."""
         if not spec.partition_by:
             raise ValueError(f"{spec.name} has no partitions to replace")
+        self._overwrite(self._arrange(df, spec, balance), spec, dynamic=True)
+
+    def replace_counted(self, spec: TableSpec, df: DataFrame, balance: bool = True) -> int:
+        """``replace_slices`` that also reports the rows written, counted during the write."""
         seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        self._overwrite(self._arrange(counted, spec, balance), spec, dynamic=True)
-        return seen.get["rows"]
+        self.replace_slices(spec, df.observe(seen, F.count(F.lit(1)).alias("rows")), balance)
+        try:
+            return seen.get["rows"]
+        except Py4JJavaError:  # a plan folded to an empty relation reports no metrics
+            return 0
 
     def replace_slice(self, spec: TableSpec, values: dict, df: DataFrame, balance: bool = False) -> int:
         """Make the partition ``values`` hold exactly ``df``, also when that is nothing."""
-        rows = self.replace_slices(spec, df.withColumns({k: F.lit(v) for k, v in values.items()}), balance)
+        rows = self.replace_counted(spec, df.withColumns({k: F.lit(v) for k, v in values.items()}), balance)
         if rows == 0:
             self.drop_partition(spec, values)
         return rows

@@ -136,7 +136,7 @@ def bronze_ingest(lake: Lakehouse, files: DataFrame, run_id: str, at: dt.datetim
             if rows is None:
                 return Outcome(Status.REPAIRED, run_id)
             # each input split feeds one partition, so no shuffle is needed before the write
-            written = lake.replace_slices(BRONZE, rows, balance=False)
+            written = lake.replace_counted(BRONZE, rows, balance=False)
             lake.append(INGESTION_LEDGER, _ledger_entries(fresh, F.lit(run_id), at))
     lake.log(BRONZE, "append", run_id, written, at)
     return Outcome(Status.DONE, run_id, total_rows=written, valid_rows=written)

@@ -25,6 +25,11 @@ def feature_frames(observations: DataFrame) -> DataFrame:
     return series.with_split(ready)
 
 
+def thresholds_of(frames: DataFrame) -> DataFrame:
+    """The thresholds carried by every row of a zone, once per zone."""
+    return frames.groupBy(ZONE).agg(F.first("q25").alias("q25"), F.first("q75").alias("q75"))
+
+
 def training_frames(observations: DataFrame, per_zone: bool = True) -> tuple[DataFrame, DataFrame]:
     """Labelled frames and the thresholds fitted on their training rows only.
 
@@ -33,7 +38,7 @@ def training_frames(observations: DataFrame, per_zone: bool = True) -> tuple[Dat
     frames = feature_frames(observations)
     if per_zone:
         graded = series.with_zone_thresholds(frames)
-        return series.with_demand_class(graded), graded.groupBy(ZONE).agg(F.first("q25").alias("q25"), F.first("q75").alias("q75"))
+        return series.with_demand_class(graded), thresholds_of(graded)
     thresholds = series.fit_thresholds(frames.filter(F.col("split") == "train"))
     return series.with_demand_class(series.with_thresholds(frames, thresholds)), thresholds
 
@@ -45,8 +50,9 @@ def train_champion(
 ) -> models.ChampionMetadata:
     """Six experiments, champion by validation penalty, refit on train + validation, one test pass.
 
-    ``zones=k`` trains on the k busiest zones, ``None`` on all of them. The labelled frames are
-    persisted with spill to disk because every fit iterates over them.
+    ``zones=k`` trains on the k busiest zones, ``None`` on all of them. The labelled frames are staged
+    as a table and persisted from there: every fit iterates over them, and a lost executor re-reads
+    its share of the table instead of recomputing the features.
     """
     at = utc(at)
     only = None
@@ -57,22 +63,24 @@ def train_champion(
         only = picked[0] if zones == 1 else None
         observations = observations.filter(F.col(ZONE).isin(picked))
     frames, thresholds = training_frames(observations, per_zone=zones != 1)
-    frames = frames.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if frames.filter(F.col("split").isNull()).limit(1).count() or frames.isEmpty():
-            raise ValueError("a zone has too few complete rows to split")
-        train, validation = (frames.filter(F.col("split") == s) for s in ("train", "val"))
+    with lake.staged(frames, "training_frames") as staged:
+        kept = staged.persist(StorageLevel.MEMORY_AND_DISK)
+        if kept.isEmpty() or not kept.filter(F.col("split").isNull()).isEmpty():
+            raise ValueError("no rows, or a zone has too few complete rows to split")
+        train, validation = (kept.filter(F.col("split") == s) for s in ("train", "val"))
         results = experiments.run_experiments(train, validation, trials, at, spaces, defaults, plan)
         champion = experiments.choose_champion(results)
-        final, test_metrics = experiments.retrain_and_test(champion, frames)
-    finally:
-        frames.unpersist()
+        final, test_metrics = experiments.retrain_and_test(champion, kept)
+        graded = thresholds_of(kept) if zones != 1 else thresholds
+        common = graded.agg(F.avg("q25").alias("q25"), F.avg("q75").alias("q75")).first()
+        # thresholds belong to the model: one row, or one per zone
+        graded.coalesce(1).write.mode("overwrite").parquet(f"{model_path}/thresholds")
+        kept.unpersist()
     spark = lake.spark
     lake.create(EXPERIMENTS)
     lake.append(EXPERIMENTS, experiments.experiment_rows(spark, results, "validation", at))
     tested = experiments.experiment_rows(spark, [champion], "test", at, {champion.run_id: test_metrics})
     lake.append(EXPERIMENTS, tested)
-    common = thresholds.agg(F.avg("q25").alias("q25"), F.avg("q75").alias("q75")).first()
     meta = models.ChampionMetadata(
         pickup_location_id=only, model_name=champion.family, mlflow_run_id=champion.run_id,
         run_name=champion.run_name, tuned=champion.tuned, best_params=champion.params,
@@ -80,6 +88,4 @@ def train_champion(
         classes=list(final.classes),
     )
     models.save_champion(spark, final, meta, model_path)
-    # thresholds belong to the model: one row, or one per zone
-    thresholds.coalesce(1).write.mode("overwrite").parquet(f"{model_path}/thresholds")
     return meta

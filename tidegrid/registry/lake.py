@@ -501,35 +501,41 @@ def _(v: Views):
     return rounded(chosen, 6, "rolling_24h_std")
 
 
+def _as_double(df: DataFrame, *columns: str) -> DataFrame:
+    """Nullable integers leave as doubles, so that a null looks the same in every client."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
+_SETTLED_BY_NOON = "CASE WHEN prediction_hour_ts <= TIMESTAMP '2024-01-25 12:00:00' THEN CAST({c} AS DOUBLE) END AS {c}"
+
+
 @query(
     "l8_settlement",
-    """SELECT pickup_location_id, prediction_hour_ts, predicted_class,
-    CASE WHEN prediction_hour_ts <= TIMESTAMP '2024-01-25 12:00:00' THEN actual_class END AS actual_class,
-    CASE WHEN prediction_hour_ts <= TIMESTAMP '2024-01-25 12:00:00' THEN actual_ride_count END AS actual_ride_count,
-    CASE WHEN prediction_hour_ts <= TIMESTAMP '2024-01-25 12:00:00' THEN model_penalty END AS model_penalty,
-    CASE WHEN prediction_hour_ts <= TIMESTAMP '2024-01-25 12:00:00' THEN baseline_penalty END AS baseline_penalty FROM pred""",
+    "SELECT pickup_location_id, prediction_hour_ts, predicted_class, "
+    + ", ".join(_SETTLED_BY_NOON.format(c=c) for c in SETTLEMENT_COLUMNS)
+    + " FROM pred",
     after="pred",
 )
 def _(v: Views):
     lake = with_observations(v, prediction_lake(v, pending_pred(v)))
     scoring.settle(lake, NOW)
-    return lake.read(PREDICTIONS).select(ZONE, "prediction_hour_ts", "predicted_class", *SETTLEMENT_COLUMNS)
+    rows = lake.read(PREDICTIONS).select(ZONE, "prediction_hour_ts", "predicted_class", *SETTLEMENT_COLUMNS)
+    return _as_double(rows, "actual_class", "actual_ride_count")
 
 
 @query(
     "l9_serving_sync",
-    f"""SELECT pickup_location_id, prediction_hour_ts, CAST(predicted_class AS BIGINT) AS predicted_class,
-    CAST(actual_class AS BIGINT) AS actual_class, model_penalty FROM {PENDING_SQL}
-    WHERE prediction_hour_ts BETWEEN TIMESTAMP '2024-01-18' AND TIMESTAMP '2024-01-22'""".replace(
-        "SELECT pickup_location_id, pred", "SELECT CAST(pickup_location_id AS BIGINT) AS pickup_location_id, pred", 1
-    ),
+    f"""SELECT CAST(pickup_location_id AS BIGINT) AS pickup_location_id, prediction_hour_ts,
+    CAST(predicted_class AS BIGINT) AS predicted_class, CAST(actual_class AS DOUBLE) AS actual_class, model_penalty
+    FROM {PENDING_SQL} WHERE prediction_hour_ts BETWEEN TIMESTAMP '2024-01-18' AND TIMESTAMP '2024-01-22'""",
     after="pred",
 )
 def _(v: Views):
     lake = prediction_lake(v, pending_pred(v))
     for _ in range(2):  # a second sync changes nothing
         scoring.sync_serving(lake, dt.datetime(2024, 1, 18), dt.datetime(2024, 1, 22))
-    return lake.read(SERVING).select(ZONE, "prediction_hour_ts", "predicted_class", "actual_class", "model_penalty")
+    rows = lake.read(SERVING).select(ZONE, "prediction_hour_ts", "predicted_class", "actual_class", "model_penalty")
+    return _as_double(rows, "actual_class")
 
 
 _RECENT = "FROM pred QUALIFY prediction_hour_ts >= max(prediction_hour_ts) OVER (PARTITION BY pickup_location_id) - INTERVAL 10 DAY"

@@ -1,0 +1,250 @@
+"""Model fitting, search, persistence and scoring on the derived area frames.
+
+The searches here run few trials over narrow ranges; the library defaults are the full ones.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidegrid.functions import clock
+from tidegrid.ml import experiments, models
+from tidegrid.operators import evaluation, series
+from tidegrid.plans import scoring, training
+from tidegrid.registry.core import query, rounded
+from tidegrid.registry.lake import AT
+from tidegrid.registry.relational import HOUR, ZONE
+from tidegrid.registry.views import MONTH, YEAR, Views
+from tidegrid.schemas import EXPERIMENTS, FEATURES, OBSERVATIONS, PREDICTIONS
+
+LIGHT = {
+    models.LOGISTIC: {"max_iter": 15},
+    models.FOREST: {"n_estimators": 10, "max_depth": 5},
+    models.BOOSTED: {"n_estimators": 5, "max_depth": 3},
+}
+LIGHT_SPACES = {
+    models.LOGISTIC: {"C": ("log", 1e-2, 10.0), "class_weight": ("choice", [None, "balanced"])},
+    models.FOREST: {"max_depth": ("int", 3, 7, 1), "min_samples_leaf": ("int", 1, 5, 1)},
+    models.BOOSTED: {"learning_rate": ("log", 0.05, 0.2), "min_child_samples": ("int", 10, 30, 5)},
+}
+
+
+def labelled(v: Views) -> DataFrame:
+    """Labelled frames as a written table, since a fit passes over them many times."""
+    return written(v, training.training_frames(v.area)[0])
+
+
+def written(v: Views, frames: DataFrame) -> DataFrame:
+    path = v.scratch("frames")
+    frames.write.parquet(path)
+    return v.spark.read.parquet(path)
+
+
+def _split(frames: DataFrame, name: str) -> DataFrame:
+    return frames.filter(F.col("split") == name)
+
+
+def _fitted_predictions(v: Views, family: str, **params) -> DataFrame:
+    frames = labelled(v)
+    model = models.fit(family, {**LIGHT[family], **params}, _split(frames, "train"))
+    predicted = model.predict(models.as_model_input(_split(frames, "val")))
+    return predicted.select(ZONE, HOUR, "demand_class", *models.PROBABILITIES, "predicted_class")
+
+
+@query("k2_standardised_features")
+def _(v: Views):
+    """Training features with mean 0 and deviation 1; the means and deviations of the result per feature."""
+    ready = models.as_model_input(series.complete_rows(v.feat))
+    stages = [
+        VectorAssembler(inputCols=FEATURES, outputCol="raw"),
+        StandardScaler(inputCol="raw", outputCol="z", withMean=True, withStd=True),
+    ]
+    z = vector_to_array("z")
+    scaled = Pipeline(stages=stages).fit(ready).transform(ready).select(F.posexplode(z).alias("feature_no", "value"))
+    return rounded(
+        scaled.groupBy("feature_no").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
+    )
+
+
+@query("k3_logistic_regression")
+def _(v: Views):
+    return _fitted_predictions(v, models.LOGISTIC)
+
+
+@query("k4_random_forest")
+def _(v: Views):
+    return _fitted_predictions(v, models.FOREST)
+
+
+@query("k5_boosted_trees")
+def _(v: Views):
+    return _fitted_predictions(v, models.BOOSTED)
+
+
+@query(
+    "k6_balanced_row_weights",
+    """SELECT pickup_location_id, pickup_hour_ts, round((SELECT count(*) FROM graded WHERE split = 'train') /
+    ((SELECT count(DISTINCT actual_class) FROM graded WHERE split = 'train') * count(*) OVER (PARTITION BY actual_class)), 9) + 0.0 AS weight
+    FROM graded WHERE split = 'train'""",
+    after="graded",
+)
+def _(v: Views):
+    frames, _ = training.training_frames(v.area)
+    weighted = models.with_weights(_split(frames, "train"), balanced=True)
+    return rounded(weighted.select(ZONE, HOUR, F.col("_weight").alias("weight")), 9, "weight")
+
+
+@query("k7_parameter_search")
+def _(v: Views):
+    """Validation penalty of every seeded draw of one family, cheapest first."""
+    frames = labelled(v)
+    best = experiments.tune(
+        models.LOGISTIC, _split(frames, "train"), _split(frames, "val"), 2, LIGHT_SPACES[models.LOGISTIC],
+        base=LIGHT[models.LOGISTIC],
+    )
+    model = models.fit(models.LOGISTIC, best, _split(frames, "train"))
+    predicted = model.predict(models.as_model_input(_split(frames, "val")))
+    return evaluation.classification_scores(predicted, "demand_class", "predicted_class").withColumns(
+        {"C": F.lit(best["C"]), "class_weight": F.lit(best["class_weight"])}
+    )
+
+
+def _run_matrix(v: Views) -> tuple[DataFrame, list[experiments.Experiment]]:
+    frames = labelled(v)
+    results = experiments.run_experiments(
+        _split(frames, "train"), _split(frames, "val"), 2, AT, LIGHT_SPACES, LIGHT
+    )
+    return frames, results
+
+
+@query("k8_experiment_matrix")
+def _(v: Views):
+    """Three families, default and tuned, logged to the experiments table and ranked (with F6)."""
+    _, results = _run_matrix(v)
+    lake = v.lake()
+    lake.create(EXPERIMENTS)
+    lake.append(EXPERIMENTS, experiments.experiment_rows(v.spark, results, "validation", AT))
+    return experiments.ranking(lake.read(EXPERIMENTS))
+
+
+@query("f6_champion_choice")
+def _(v: Views):
+    """The two quick families compared; least validation penalty first, earlier run on ties."""
+    frames = labelled(v)
+    plan = [p for p in experiments.EXPERIMENT_PLAN if not p[2] and p[1] != models.BOOSTED]
+    results = experiments.run_experiments(_split(frames, "train"), _split(frames, "val"), 1, AT, None, LIGHT, plan)
+    rows = experiments.experiment_rows(v.spark, results, "validation", AT)
+    return experiments.ranking(rows).limit(1)
+
+
+@query("k9_retrain_and_test")
+def _(v: Views):
+    """Default forest refitted on train + validation, scored once on the test rows."""
+    frames = labelled(v)
+    champion = experiments.Experiment("r", 1, "EXP-03", models.FOREST, False, LIGHT[models.FOREST], {"val_mean_penalty": 0.0})
+    _, scores = experiments.retrain_and_test(champion, frames)
+    return v.spark.createDataFrame(sorted(scores.items()), "metric string, value double")
+
+
+def _trained_lake(v: Views, zones: int | None = None):
+    """Observations of all areas in a lake, and a champion trained on them."""
+    lake = v.lake()
+    for spec in (OBSERVATIONS, PREDICTIONS, EXPERIMENTS):
+        lake.create(spec)
+    lake.replace_slices(OBSERVATIONS, v.area.withColumns({"target_year": F.lit(YEAR), "target_month": F.lit(MONTH)}))
+    path = v.scratch("champion")
+    plan = [p for p in experiments.EXPERIMENT_PLAN if not p[2] and p[1] == models.FOREST]
+    meta = training.train_champion(lake, lake.read(OBSERVATIONS), path, zones, 1, AT, LIGHT_SPACES, LIGHT, plan)
+    return lake, path, meta
+
+
+@query("k10_champion_round_trip")
+def _(v: Views):
+    """A saved and reloaded champion with thresholds, features and penalty version."""
+    _, path, _ = _trained_lake(v, zones=1)
+    model, meta = models.load_champion(v.spark, path)
+    row = (meta.model_name, meta.penalty_version, meta.pickup_location_id, meta.q25, meta.q75, len(meta.features), list(model.classes))
+    return v.spark.createDataFrame(
+        [row], "model_name string, penalty_version string, zone int, q25 double, q75 double, features int, classes array<int>"
+    )
+
+
+@query(
+    "h14_probability_alignment",
+    "SELECT pickup_location_id, count(*) AS n, count(*) AS sums_to_one FROM graded WHERE split = 'val' GROUP BY 1",
+    after="graded",
+)
+def _(v: Views):
+    """Probabilities on the fixed class axis; absent classes are null and count 0 in the sum."""
+    predicted = _fitted_predictions(v, models.LOGISTIC)
+    total = sum((F.coalesce(F.col(p), F.lit(0.0)) for p in models.PROBABILITIES), F.lit(0.0))
+    return predicted.groupBy(ZONE).agg(
+        F.count("*").alias("n"), F.count_if(F.abs(total - 1) < 1e-9).alias("sums_to_one")
+    )
+
+
+_SCORED = """SELECT pickup_location_id, pickup_hour_ts AS prediction_hour_ts, baseline_predicted_class, feature_window_end_ts,
+    threshold_q25, threshold_q75, CAST(actual_class AS INT) AS actual_class, ride_count AS actual_ride_count FROM
+    (SELECT pickup_location_id, prediction_hour_ts AS pickup_hour_ts, baseline_predicted_class, feature_window_end_ts,
+     threshold_q25, threshold_q75, actual_class, actual_ride_count AS ride_count FROM pred) WHERE {where}"""
+_SCORED_COLUMNS = [
+    ZONE, "prediction_hour_ts", "baseline_predicted_class", "feature_window_end_ts", "threshold_q25", "threshold_q75",
+    "actual_class", "actual_ride_count",
+]
+
+
+@query("k12_score_record", _SCORED.format(where="pickup_hour_ts = TIMESTAMP '2024-01-25 13:00:00'"), after="pred")
+def _(v: Views):
+    """The model-independent part of the 20-column record for one hour of every area."""
+    end = clock.utc_literal("2024-01-25 12:00:00")
+    features = series.with_thresholds(series.features_at(v.area, end), v.thresholds, [ZONE])
+    probs = {p: F.lit(1 / 3) for p in models.PROBABILITIES}
+    predicted = scoring.with_baseline(features.withColumns({**probs, "predicted_class": F.lit(1)}))
+    return scoring.score_records(predicted, v.area, "m", "v", "r", "asymmetric-v1", AT).select(*_SCORED_COLUMNS)
+
+
+@query("k13_per_zone_models")
+def _(v: Views):
+    """Own thresholds per zone under one common model, fitted for the two busiest areas."""
+    busiest = series.busiest_zones(v.area, 2)
+    frames, _ = training.training_frames(v.area.join(F.broadcast(busiest.select(ZONE)), ZONE, "left_semi"))
+    frames = written(v, frames)
+    model = models.fit(models.FOREST, LIGHT[models.FOREST], _split(frames, "train"))
+    predicted = model.predict(models.as_model_input(_split(frames, "val")))
+    return evaluation.penalty_summary(predicted, "demand_class", "predicted_class", [ZONE])
+
+
+@query("l6_train_champion")
+def _(v: Views):
+    lake, _, meta = _trained_lake(v)
+    return lake.read(EXPERIMENTS).withColumn("champion", F.lit(meta.run_name)).select(
+        "run_name", "phase", "champion", F.col("metrics")["val_mean_penalty"].alias("val_mean_penalty"),
+        F.col("metrics")["test_mean_penalty"].alias("test_mean_penalty"),
+    )
+
+
+@query("l7_score_hour", _SCORED.format(where="pickup_hour_ts = TIMESTAMP '2024-01-25 13:00:00'"), after="pred")
+def _(v: Views):
+    """Train, then score the hour after the clock moved back two months; a re-run replaces it."""
+    lake, path, _ = _trained_lake(v)
+    for _ in range(2):
+        scored = scoring.score_hour(lake, path, dt.datetime(2024, 3, 25, 12, 34), 2, AT)
+    return scored.select(*_SCORED_COLUMNS)
+
+
+@query(
+    "i5_hour_range_backfill",
+    _SCORED.format(where="pickup_hour_ts BETWEEN TIMESTAMP '2024-01-20 01:00:00' AND TIMESTAMP '2024-01-23 00:00:00'"),
+    after="pred",
+)
+def _(v: Views):
+    """Seventy-two run hours scored by one job."""
+    lake, path, _ = _trained_lake(v)
+    first, last = dt.datetime(2024, 3, 20, 0), dt.datetime(2024, 3, 22, 23)
+    return scoring.backfill(lake, path, first, last, 2, AT).select(*_SCORED_COLUMNS)

@@ -1,0 +1,106 @@
+"""Streaming queries, drained with the available-now trigger and read back from their sinks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidegrid.registry.core import query
+from tidegrid.registry.lake import landed
+from tidegrid.registry.relational import HOUR, ZONE
+from tidegrid.registry.views import Views
+from tidegrid.schemas import BRONZE, INGESTION_LEDGER
+from tidegrid.sources.manifest import to_manifest_json
+from tidegrid.sources.trips import trips_from_events
+from tidegrid.streaming import counts, manifests
+
+GLOB = "*.txt"
+
+
+def drop_manifests(v: Views, folder: str, files) -> None:
+    """Write one manifest file per landed file."""
+    named = files.select(
+        F.lit("yellow_taxi").alias("dataset"), F.col("path").alias("source_filepath"), "source_filename",
+        "source_year", "source_month", F.lit(1).cast("long").alias("file_size_bytes"),
+        F.current_timestamp().alias("discovered_at_utc"),
+    )
+    to_manifest_json(named).write.mode("append").option("maxRecordsPerFile", 1).text(folder)
+
+
+def drain(v: Views, lake, folder: str, checkpoint: str) -> None:
+    manifests.ingest_stream(lake, folder, checkpoint, GLOB).awaitTermination()
+
+
+@query("i1_manifest_stream", "SELECT 'missing: source_year' AS reject_reason, count(*) AS n FROM (SELECT DISTINCT event_type FROM events)")
+def _(v: Views):
+    """A manifest per event type, each without a year: all are rejected into the side table, once."""
+    lake, folder, checkpoint = v.lake().create_all(), v.scratch("manifests"), v.scratch("checkpoint")
+    kinds = v.events.select("event_type").distinct()
+    files = kinds.select(
+        F.concat(F.lit("/nowhere/"), "event_type").alias("path"), F.col("event_type").alias("source_filename"),
+        F.lit(None).cast("int").alias("source_year"), F.lit(1).alias("source_month"),
+    )
+    drop_manifests(v, folder, files)
+    for _ in range(2):
+        drain(v, lake, folder, checkpoint)
+    return lake.read(manifests.REJECTED).groupBy("reject_reason").agg(F.count("*").alias("n"))
+
+
+@query("i2_pending_manifests", "SELECT count(*) AS bronze_rows, CAST(0 AS BIGINT) AS waiting FROM events")
+def _(v: Views):
+    """Manifests arrive before their files: they wait, and are ingested once the files are there."""
+    lake, folder, checkpoint = v.lake().create_all(), v.scratch("manifests"), v.scratch("checkpoint")
+    files = landed(v, 2).cache()
+    # announced under a folder that does not exist yet
+    late = v.scratch("late")
+    announced = files.withColumn("path", F.concat(F.lit(late + "/"), "source_filename"))
+    drop_manifests(v, folder, announced)
+    drain(v, lake, folder, checkpoint)
+    source = files.first()["path"].rsplit("/", 1)[0]
+    v.spark.read.parquet(source).write.parquet(late)  # the files arrive, under names of their own
+    arrived = landed_in(v, late)
+    drop_manifests(v, folder, arrived)
+    drain(v, lake, folder, checkpoint)
+    manifests.retry_pending(lake)
+    waiting = manifests.waiting(lake).join(arrived, F.col("source_filepath") == F.col("path"), "left_semi")
+    return lake.read(BRONZE).agg(F.count("*").alias("bronze_rows")).crossJoin(waiting.agg(F.count("*").alias("waiting")))
+
+
+def landed_in(v: Views, folder: str):
+    from tidegrid.sources.files import list_files
+
+    return list_files(v.spark, folder, glob="*.parquet").select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("source_filename"),
+        F.lit(2024).alias("source_year"), F.lit(1).alias("source_month"),
+    )
+
+
+@query(
+    "i3_incremental_ingest",
+    "SELECT count(*) AS bronze_rows, CAST(3 AS BIGINT) AS files, CAST(3 AS BIGINT) AS ledger_rows FROM events",
+)
+def _(v: Views):
+    """Manifest-driven ingestion; a replay from a fresh checkpoint adds nothing."""
+    lake, folder = v.lake().create_all(), v.scratch("manifests")
+    drop_manifests(v, folder, landed(v, 3))
+    for _ in range(2):
+        drain(v, lake, folder, v.scratch("checkpoint"))
+    rows = lake.read(BRONZE).agg(
+        F.count("*").alias("bronze_rows"), F.count_distinct("source_filename").alias("files")
+    )
+    return rows.crossJoin(lake.read(INGESTION_LEDGER).agg(F.count("*").alias("ledger_rows")))
+
+
+@query(
+    "i4_hourly_stream_counts",
+    "SELECT CAST(user_id % 20 + 1 AS INT) AS pickup_location_id, date_trunc('hour', CASE WHEN k = 97 THEN ts - INTERVAL 31 DAY ELSE ts END) AS pickup_hour_ts, count(*) AS ride_count FROM x GROUP BY ALL",
+    after="x",
+)
+def _(v: Views):
+    """Running hourly counts kept in a keyed table by update mode and upsert."""
+    lake = v.lake()
+    schema = v.spark.read.parquet(f"{v.folder}/events.parquet").schema
+    stream = counts.parquet_stream(v.spark, v.folder, schema, "events.parquet")
+    trips = trips_from_events(stream).select(F.col("PULocationID").alias(ZONE), F.col("tpep_pickup_datetime").alias("pickup_datetime"))
+    hourly = counts.hourly_stream_counts(trips, lateness="60 days")
+    counts.publish_counts(lake, hourly, v.scratch("checkpoint")).awaitTermination()
+    return lake.read(counts.LIVE_COUNTS).select(ZONE, HOUR, "ride_count")

@@ -17,13 +17,16 @@ WHOLE_FILE_LIMIT = 512 * 1024 * 1024  # larger files are hashed in blocks instea
 HASH_BLOCK = 1024 * 1024
 
 
+CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"  # the default would cut microseconds
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Header CSV with declared types; a declared schema avoids the inference pass."""
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return spark.read.options(header=True, timestampFormat=CSV_TIMESTAMP).schema(schema).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).csv(path)
+    df.write.options(header=True, timestampFormat=CSV_TIMESTAMP).csv(path)
 
 
 def write_day_partitioned(df: DataFrame, path: str, ts: str) -> None:
