@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 BINS = 4096
 SKETCH_ACCURACY = 10_000
+OUTSIDE = -1  # bin number of rows on the counted side of a bracket
 
 
 @dataclass
@@ -26,6 +27,7 @@ class _Target:
     rank: int
     lo: float
     hi: float
+    from_top: bool = False  # count the rows outside the bracket on this, smaller, side
     below: int | None = None  # rows known to be smaller than lo
 
     @property
@@ -64,9 +66,10 @@ def _histograms(df: DataFrame, targets: list[_Target]) -> dict[int, list]:
         place = F.floor((value - F.lit(t.lo)) / F.lit(width) * F.lit(BINS)) if width > 0 else F.lit(0)
         inside = value.between(F.lit(t.lo), F.lit(t.hi))
         bin_no = F.when(inside, F.least(place, F.lit(BINS - 1)).cast("int"))
-        if t.below is None:  # first histogram: the rows under the bracket must be counted too
-            bin_no = F.when(value < F.lit(t.lo), F.lit(-1)).otherwise(bin_no)
-            inside = value <= F.lit(t.hi)
+        if t.below is None:  # first histogram: rows on the shorter side of the bracket are counted too
+            outside = value > F.lit(t.hi) if t.from_top else value < F.lit(t.lo)
+            bin_no = F.when(outside, F.lit(OUTSIDE)).otherwise(bin_no)
+            inside = value >= F.lit(t.lo) if t.from_top else value <= F.lit(t.hi)
         entries.append(F.struct(F.lit(i).alias("target"), bin_no.alias("bin"), value.alias("value")))
         reach = reach | inside
     rows = (
@@ -84,15 +87,18 @@ def _histograms(df: DataFrame, targets: list[_Target]) -> dict[int, list]:
     return {i: sorted(v) for i, v in found.items()}
 
 
-def _narrow(target: _Target, bins: list, extremes: tuple[float, float]) -> None:
-    seen = target.below or 0
-    for bin_no, n, lo, hi in bins:
-        if seen + n >= target.rank:
-            if bin_no == -1:
-                break
-            target.below, target.lo, target.hi = seen, lo, hi
-            return
-        seen += n
+def _narrow(target: _Target, bins: list, total: int, extremes: tuple[float, float]) -> None:
+    inside = [b for b in bins if b[0] != OUTSIDE]
+    seen = target.below
+    if seen is None:
+        outside = sum(n for b, n, _, _ in bins if b == OUTSIDE)
+        seen = total - outside - sum(n for _, n, _, _ in inside) if target.from_top else outside
+    if seen < target.rank:
+        for _, n, lo, hi in inside:
+            if seen + n >= target.rank:
+                target.below, target.lo, target.hi = seen, lo, hi
+                return
+            seen += n
     # The sketch bracket missed the rank: fall back to the full range and histogram again.
     target.below, (target.lo, target.hi) = 0, extremes
 
@@ -105,12 +111,13 @@ def _order_statistics(df: DataFrame, wanted: dict[str, list[float]], ranks) -> t
         n, _, _, edges = info[column]
         for j, p in enumerate(probs if n else []):
             for rank in ranks(p, n):
-                targets.setdefault((column, rank), _Target(column, rank, edges[2 * j], edges[2 * j + 1]))
+                bracket = edges[2 * j], edges[2 * j + 1]
+                targets.setdefault((column, rank), _Target(column, rank, *bracket, from_top=p > 0.5))
     while pending := [t for t in targets.values() if not t.done]:
         histograms = _histograms(df, pending)
         for i, t in enumerate(pending):
-            _, low, high, _ = info[t.column]
-            _narrow(t, histograms[i], (low, high))
+            n, low, high, _ = info[t.column]
+            _narrow(t, histograms[i], n, (low, high))
     return {c: info[c][0] for c in wanted}, {key: t.lo for key, t in targets.items()}
 
 

@@ -40,12 +40,15 @@ class Lakehouse:
         namespace, table = self._split(spec)
         return f"{self.root}/{namespace}/{table}"
 
-    def create(self, spec: TableSpec) -> None:
-        """Create if absent, with the declared columns, partitioning and properties."""
-        namespace, _ = self._split(spec)
+    def _create_database(self, namespace: str) -> None:
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS `{self.prefix}{namespace}` LOCATION '{self.root}/{namespace}'"
         )
+
+    def create(self, spec: TableSpec) -> None:
+        """Create if absent, with the declared columns, partitioning and properties."""
+        namespace, _ = self._split(spec)
+        self._create_database(namespace)
         types = {f.name: f.dataType.simpleString() for f in spec.schema}
         columns = ", ".join(f"`{c}` {types[c]}" for c in spec.columns)
         partitions = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in spec.partition_by)})" if spec.partition_by else ""
@@ -170,22 +173,28 @@ class Lakehouse:
 
     @contextmanager
     def staged(self, df: DataFrame, label: str) -> Iterator[DataFrame]:
-        """Write ``df`` to a staging table, hand back its contents, and drop it in any case."""
-        spec = TableSpec(f"staging.{label.replace('.', '_')}_{uuid.uuid4().hex[:8]}", df.schema)
-        self.create(spec)
+        """Write ``df`` to a staging table, hand back its contents, and drop it in any case.
+
+        Staging tables are managed, so dropping one removes its files.
+        """
+        self._create_database("staging")
+        name = self.name(f"staging.{label.replace('.', '_')}_{uuid.uuid4().hex[:8]}")
         try:
-            self._overwrite(df, spec, dynamic=False)
-            yield self.read(spec)
+            df.write.saveAsTable(name)
+            yield self.spark.table(name)
         finally:
-            self.drop(spec)
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
     # ---- commit log -----------------------------------------------------------------
 
-    def log(self, spec: TableSpec, operation: str, slice_: str, rows: int, at: dt.datetime) -> None:
-        """One line per published change; stands in for a table format's snapshot history."""
+    def log(self, at: dt.datetime, *entries: tuple[TableSpec, str, str, int]) -> None:
+        """One line per published change ``(table, operation, slice, rows)``.
+
+        The log stands in for a table format's snapshot history.
+        """
         self.create(COMMIT_LOG)
-        entry = [(at, spec.name, operation, slice_, rows)]
-        self.append(COMMIT_LOG, self.spark.createDataFrame(entry, COMMIT_LOG.schema))
+        rows = [(at, spec.name, operation, slice_, count) for spec, operation, slice_, count in entries]
+        self.append(COMMIT_LOG, self.spark.createDataFrame(rows, COMMIT_LOG.schema).coalesce(1))
 
     def history(self, spec: TableSpec | None = None) -> DataFrame:
         log = self.read(COMMIT_LOG)

@@ -7,7 +7,7 @@ import hashlib
 from dataclasses import dataclass
 from enum import Enum
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.functions.clock import check_year_month, hour_floor, in_month, in_month_days
@@ -15,7 +15,7 @@ from tidegrid.operators import grid, quality
 from tidegrid.operators.tables import Lakehouse
 from tidegrid.schemas import (
     BRONZE, FIRST_ZONE, INGESTION_LEDGER, LAST_ZONE, MAX_DROP_PERCENT, OBSERVATIONS, PUBLISH_LEDGER,
-    QUARANTINE, RAW_TRIP, SILVER, UTILISATION,
+    QUARANTINE, RAW_TRIP, SILVER, UTILISATION, ddl,
 )
 from tidegrid.sources.files import fingerprints, footers
 from tidegrid.sources.trips import conform
@@ -73,7 +73,7 @@ def unledgered_files(lake: Lakehouse, unseen: DataFrame) -> DataFrame:
         .groupBy(F.col("source_checksum").alias("file_checksum"))
         .agg(F.min("ingestion_run_id").alias("held_run_id"))
     )
-    return unseen.join(held, "file_checksum")
+    return unseen.join(held, "file_checksum", "left")
 
 
 def bronze_rows(lake: Lakehouse, files: DataFrame, run_id: str, at: dt.datetime) -> DataFrame | None:
@@ -101,47 +101,53 @@ def bronze_rows(lake: Lakehouse, files: DataFrame, run_id: str, at: dt.datetime)
     return out.withColumns({"ingestion_run_id": F.lit(run_id), "ingested_at_utc": F.lit(at)})
 
 
-def _ledger_entries(files: DataFrame, run_id: Column, at: dt.datetime) -> DataFrame:
-    return files.select(
-        "source_filename", "file_checksum", run_id.alias("ingestion_run_id"),
-        F.lit("SUCCESS").alias("status"), F.lit(at).alias("finished_at"),
-    )
-
-
 def bronze_ingest(lake: Lakehouse, files: DataFrame, run_id: str, at: dt.datetime | None = None) -> Outcome:
     """Ingest a batch of files (``path, source_filename, source_year, source_month``) exactly once.
 
-    Re-running the same run id overwrites its own partitions; other runs skip known checksums.
+    Re-running the same run id overwrites its own partitions; other runs skip known checksums. The
+    driver holds one short row per file of the batch, never file contents.
     """
     at = utc(at)
+    spark = lake.spark
     listing = files.select("path", "source_filename", "source_year", "source_month").distinct().collect()
     if not listing:
         return Outcome(Status.MISSING, run_id)
     for row in listing:
         check_year_month(row["source_year"], row["source_month"])
-    hashed = fingerprints(lake.spark, *[r["path"] for r in listing])
-    named = files.withColumn("path_key", path_key(F.col("path"))).drop("path")
-    incoming = hashed.withColumn("path_key", path_key(F.col("path"))).join(named, "path_key")
-    with lake.staged(incoming, "incoming") as batch, lake.staged(
-        unseen_files(batch, lake.read(INGESTION_LEDGER)), "unseen"
-    ) as unseen:
-        if unseen.isEmpty():
-            return Outcome(Status.SKIPPED, run_id)
-        with lake.staged(unledgered_files(lake, unseen), "held") as held:
-            repaired = not held.isEmpty()
-            if repaired:
-                lake.append(INGESTION_LEDGER, _ledger_entries(held, F.col("held_run_id"), at))
-            fresh = unseen.join(held, "file_checksum", "left_anti")
-            rows = bronze_rows(lake, fresh, run_id, at)
-            if rows is None:
-                return Outcome(Status.REPAIRED, run_id)
-            # each input split feeds one partition, so no shuffle is needed before the write
-            written = lake.replace_counted(BRONZE, rows, balance=False)
-            lake.append(INGESTION_LEDGER, _ledger_entries(fresh, F.lit(run_id), at))
-    lake.log(BRONZE, "append", run_id, written, at)
+    named = spark.createDataFrame(listing).withColumn("path_key", path_key(F.col("path"))).drop("path")
+    hashed = fingerprints(spark, *[r["path"] for r in listing])
+    incoming = hashed.withColumn("path_key", path_key(F.col("path"))).join(F.broadcast(named), "path_key")
+    unseen = unseen_files(_local(spark, incoming), lake.read(INGESTION_LEDGER))
+    found = unledgered_files(lake, unseen).collect()
+    if not found:
+        return Outcome(Status.SKIPPED, run_id)
+    held = [r for r in found if r["held_run_id"] is not None]
+    fresh = [r for r in found if r["held_run_id"] is None]
+    if held:
+        entries = [(r["source_filename"], r["file_checksum"], r["held_run_id"], "SUCCESS", at) for r in held]
+        lake.append(INGESTION_LEDGER, spark.createDataFrame(entries, INGESTION_LEDGER.schema).coalesce(1))
+    if not fresh:
+        return Outcome(Status.REPAIRED, run_id)
+    rows = bronze_rows(lake, spark.createDataFrame(fresh, FRESH), run_id, at)
+    # each input split feeds one partition, so no shuffle is needed before the write
+    written = lake.replace_counted(BRONZE, rows, balance=False)
+    entries = [(r["source_filename"], r["file_checksum"], run_id, "SUCCESS", at) for r in fresh]
+    lake.append(INGESTION_LEDGER, spark.createDataFrame(entries, INGESTION_LEDGER.schema).coalesce(1))
+    lake.log(at, (BRONZE, "append", run_id, written))
     return Outcome(Status.DONE, run_id, total_rows=written, valid_rows=written)
 
 
+FRESH = ddl(
+    "file_checksum string, path_key string, path string, size_bytes long, source_filename string, "
+    "source_year int, source_month int, held_run_id string"
+)
+
+
+def _local(spark: SparkSession, batch: DataFrame) -> DataFrame:
+    """Evaluate a per-file frame once, so that the files are hashed once."""
+    return spark.createDataFrame(batch.collect(), batch.schema)
+
+
 # ---- silver -------------------------------------------------------------------------
 
 
@@ -225,9 +231,10 @@ def silver_wap(
     raw = lake.read(BRONZE).filter(
         (F.col("source_year") == year) & (F.col("source_month") == month) & (F.col("ingestion_run_id") == run_id)
     )
-    if raw.isEmpty():
-        return Outcome(Status.MISSING, run_id)
-    caps = quality.outlier_caps(raw, cap_error)
+    try:
+        caps = quality.outlier_caps(raw, cap_error)
+    except quality.QualityError:
+        return Outcome(Status.MISSING if raw.isEmpty() else Status.REFUSED, run_id)
     verdict = quality.is_valid(year, month, caps)
     audit = quality.drop_rate(raw, verdict).first()
     total, valid, dropped = audit["total_rows"], audit["valid_rows"], audit["dropped_percent"]
@@ -239,9 +246,8 @@ def silver_wap(
     lake.replace_slices(QUARANTINE, bad.withColumns({"wap_run_id": F.lit(short), "quarantined_at": F.lit(at)}), False)
     lake.replace_slices(SILVER, silver_rows(raw.filter(verdict), at))
     entry = [(run_id, source_filename, "SUCCESS", at)]
-    lake.append(PUBLISH_LEDGER, spark.createDataFrame(entry, PUBLISH_LEDGER.schema))
-    lake.log(SILVER, "publish", run_id, valid, at)
-    lake.log(QUARANTINE, "publish", run_id, total - valid, at)
+    lake.append(PUBLISH_LEDGER, spark.createDataFrame(entry, PUBLISH_LEDGER.schema).coalesce(1))
+    lake.log(at, (SILVER, "publish", run_id, valid), (QUARANTINE, "publish", run_id, total - valid))
     return Outcome(Status.DONE, run_id, total, valid, dropped)
 
 
@@ -267,7 +273,7 @@ def gold_utilisation(lake: Lakehouse, year: int, month: int, at: dt.datetime | N
     check_year_month(year, month)
     mart = utilisation(silver_month(lake, year, month))
     rows = lake.replace_slice(UTILISATION, {"target_year": year, "target_month": month}, mart)
-    lake.log(UTILISATION, "replace", f"{year}-{month:02d}", rows, utc(at))
+    lake.log(utc(at), (UTILISATION, "replace", f"{year}-{month:02d}", rows))
     return rows
 
 
@@ -290,5 +296,5 @@ def gold_observations(
     rows = lake.replace_slice(
         OBSERVATIONS, {"target_year": year, "target_month": month}, quality.forbid_leakage(cells)
     )
-    lake.log(OBSERVATIONS, "replace", f"{year}-{month:02d}", rows, utc(at))
+    lake.log(utc(at), (OBSERVATIONS, "replace", f"{year}-{month:02d}", rows))
     return rows

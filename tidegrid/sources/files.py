@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,29 +107,46 @@ def list_files(spark: SparkSession, *paths: str, glob: str = "*", recursive: boo
     )
 
 
-def _open(path: str):
-    """Open a file of any filesystem Arrow knows, given the URI Spark listed it under."""
-    from pyarrow import fs
+def _opener():
+    """A function that opens a listed URI through Arrow.
+
+    Task functions are built inside functions, imports included, so that they travel to the executors
+    by value and this package need not be installed there.
+    """
+
+    def open_uri(path: str):
+        from pyarrow import fs
+
+        if "://" not in path:
+            path = "file://" + path.removeprefix("file:")
+        filesystem, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        return filesystem.open_input_file(inner)
+
+    return open_uri
 
-    if "://" not in path:
-        path = "file://" + path.removeprefix("file:")
-    filesystem, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-    return filesystem.open_input_file(inner)
 
+def _block_hasher(block_size: int = HASH_BLOCK):
+    open_uri = _opener()
 
-def _hash_blocks(batches):
-    for frame in batches:
-        digests = []
-        for path in frame["path"]:
-            digest = hashlib.sha256()
-            with _open(path) as stream:
-                while block := stream.read(HASH_BLOCK):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
-        yield frame.assign(file_checksum=digests)
+    def hash_files(batches):
+        import hashlib
 
+        for frame in batches:
+            digests = []
+            for path in frame["path"]:
+                digest = hashlib.sha256()
+                with open_uri(path) as stream:
+                    while block := stream.read(block_size):
+                        digest.update(block)
+                digests.append(digest.hexdigest())
+            yield frame.assign(file_checksum=digests)
 
-def fingerprints(spark: SparkSession, *paths: str, glob: str = "*", recursive: bool = False) -> DataFrame:
+    return hash_files
+
+
+def fingerprints(
+    spark: SparkSession, *paths: str, glob: str = "*", recursive: bool = False, whole_limit: int = WHOLE_FILE_LIMIT
+) -> DataFrame:
     """SHA-256 of every file, one task per file slice.
 
     Files up to 512 MiB are hashed as one value in the JVM; larger ones are streamed in blocks,
@@ -145,30 +158,37 @@ def fingerprints(spark: SparkSession, *paths: str, glob: str = "*", recursive: b
         .option("recursiveFileLookup", str(recursive).lower())
         .load(list(paths))
     )
-    small = listed.filter(F.col("length") <= WHOLE_FILE_LIMIT).select(
+    small = listed.filter(F.col("length") <= whole_limit).select(
         "path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("file_checksum")
     )
     large = (
-        listed.filter(F.col("length") > WHOLE_FILE_LIMIT)
+        listed.filter(F.col("length") > whole_limit)
         .select("path", F.col("length").alias("size_bytes"))
         .repartition(F.col("path"))
-        .mapInPandas(_hash_blocks, "path string, size_bytes long, file_checksum string")
+        .mapInPandas(_block_hasher(), "path string, size_bytes long, file_checksum string")
     )
     return small.unionByName(large)
 
 
-def _footer_types(batches):
-    import pyarrow.parquet as pq
+def _footer_reader():
+    open_uri = _opener()
+
+    def read_footers(batches):
+        import json
+
+        import pyarrow.parquet as pq
+
+        for frame in batches:
+            found = []
+            for path in frame["path"]:
+                with open_uri(path) as stream:
+                    schema = pq.read_schema(stream)
+                found.append(json.dumps([[f.name, str(f.type)] for f in schema]))
+            yield frame.assign(footer=found)
 
-    for frame in batches:
-        found = []
-        for path in frame["path"]:
-            with _open(path) as stream:
-                schema = pq.read_schema(stream)
-            found.append(json.dumps([[f.name, str(f.type)] for f in schema]))
-        yield pd.DataFrame({"path": frame["path"], "footer": found})
+    return read_footers
 
 
 def footers(files: DataFrame) -> DataFrame:
     """Column names and physical types from each Parquet footer (``path`` in, ``path, footer`` out)."""
-    return files.select("path").mapInPandas(_footer_types, "path string, footer string")
+    return files.select("path").mapInPandas(_footer_reader(), "path string, footer string")

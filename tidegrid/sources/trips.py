@@ -25,7 +25,10 @@ def trips_from_events(events: DataFrame) -> DataFrame:
         .when(k == 97, pickup + F.make_dt_interval(mins=F.lit(10)))
         .otherwise(pickup + F.make_dt_interval(mins=k))
     )
-    return events.withColumn("k", F.regexp_extract("props", "([0-9]+)", 1).cast("int")).select(
+    # exploding a one-element array keeps ``k`` a column: as a plain projection the optimizer would
+    # inline the regular expression into every predicate pushed below it
+    number = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
+    return events.select("event_id", "ts", "user_id", "value", F.explode(F.array(number)).alias("k")).select(
         (F.col("event_id") % 2 + 1).cast("int").alias("VendorID"),
         pickup.alias("tpep_pickup_datetime"),
         dropoff.alias("tpep_dropoff_datetime"),
