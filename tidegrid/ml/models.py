@@ -73,8 +73,15 @@ def _preparation(features: list[str], scaled: bool) -> list:
 
 
 def as_model_input(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
-    """Features as doubles (``is_weekend`` is an int), label untouched."""
-    return df.withColumns({f: F.col(f).cast("double") for f in features})
+    """Features as doubles (``is_weekend`` is an int); a label is marked as one of the three classes.
+
+    With the mark every fit has three outputs, also when a class is absent from the training rows.
+    """
+    out = df.withColumns({f: F.col(f).cast("double") for f in features})
+    if LABEL in df.columns:
+        values = {"ml_attr": {"type": "nominal", "vals": [str(c) for c in CLASSES]}}
+        out = out.withColumn(LABEL, F.col(LABEL).alias(LABEL, metadata=values))
+    return out
 
 
 def _logistic(params: dict, rows: int) -> LogisticRegression:
@@ -110,7 +117,9 @@ def with_weights(train: DataFrame, balanced: bool) -> DataFrame:
     if not balanced:
         return train.withColumn("_weight", F.lit(1.0))
     weights = class_weights(train, LABEL).select(LABEL, F.col("weight").alias("_weight"))
-    return train.join(F.broadcast(weights), LABEL)
+    # joined under another name, so that the label column keeps its class metadata
+    weights = weights.withColumnRenamed(LABEL, "_class")
+    return train.join(F.broadcast(weights), F.col(LABEL) == F.col("_class")).drop("_class")
 
 
 def fit(family: str, params: dict, train: DataFrame, features: list[str] = FEATURES) -> FittedModel:

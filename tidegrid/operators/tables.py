@@ -46,7 +46,12 @@ class Lakehouse:
         )
 
     def create(self, spec: TableSpec) -> None:
-        """Create if absent, with the declared columns, partitioning and properties."""
+        """Create if absent, with the declared columns, partitioning and properties.
+
+        A catalog that does not know the table yet learns the partitions already in its folder.
+        """
+        if self.exists(spec):
+            return
         namespace, _ = self._split(spec)
         self._create_database(namespace)
         types = {f.name: f.dataType.simpleString() for f in spec.schema}
@@ -57,6 +62,12 @@ class Lakehouse:
             f"CREATE TABLE IF NOT EXISTS {self.name(spec)} ({columns}) USING parquet {partitions} "
             f"LOCATION '{self.location(spec)}' {f'TBLPROPERTIES ({properties})' if properties else ''}"
         )
+        if spec.partition_by:
+            try:
+                self.spark.catalog.recoverPartitions(self.name(spec))
+            except Py4JJavaError as error:  # a table that is new altogether has no folder yet
+                if "FileNotFoundException" not in str(error.java_exception):
+                    raise
 
     def create_all(self) -> Lakehouse:
         for spec in ALL_TABLES:
