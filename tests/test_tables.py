@@ -46,7 +46,7 @@ def test_slice_can_become_empty(spark, marks):
 
 
 def test_upsert_newest_wins_and_known_values_stay(spark, marks):
-    new = rows(spark, (2, "old", 7, 1), (2, "new", None, 1), (5, "e", 5, 1))
+    new = rows(spark, (2, "a old", 7, 1), (2, "new", None, 1), (5, "e", 5, 1))
     for _ in range(2):
         marks.upsert(MARKS, new, F.col("note"), keep_known=("known",))
         assert state(marks) == [(1, "a", 1, 1), (2, "new", 2, 1), (3, "c", 3, 2), (5, "e", 5, 1)]

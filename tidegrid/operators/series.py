@@ -157,11 +157,16 @@ def latest_rows(df: DataFrame, zone: str, ts: str) -> DataFrame:
 
 
 def within_lookback(df: DataFrame, days: int | None, zone: str, ts: str) -> DataFrame:
-    """Rows at most ``days`` older than their series' newest row; ``None`` keeps all history."""
+    """Rows at most ``days`` older than their series' newest row; ``None`` keeps all history.
+
+    The newest rows come from a combined aggregate joined back, not from a window, so that a series
+    holding a large share of all rows is never one task's partition.
+    """
     if days is None:
         return df
-    newest = F.max(ts).over(Window.partitionBy(zone))
-    return df.withColumn("_newest", newest).filter(F.col(ts) >= add_hours(F.col("_newest"), -24 * days)).drop("_newest")
+    newest = df.groupBy(zone).agg(F.max(ts).alias("_newest"))
+    kept = df.join(newest, zone).filter(F.col(ts) >= add_hours(F.col("_newest"), -24 * days))
+    return kept.select(*df.columns)
 
 
 def zone_totals(observations: DataFrame) -> DataFrame:

@@ -13,11 +13,12 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegrid.schemas import ALL_TABLES, COMMIT_LOG, TableSpec
+from tidegrid.session import use_utc
 
 
 class Lakehouse:
@@ -25,6 +26,7 @@ class Lakehouse:
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
         self.spark, self.root, self.prefix = spark, root.rstrip("/"), prefix
+        use_utc(spark)
 
     # ---- names and definitions ------------------------------------------------------
 
@@ -131,15 +133,15 @@ class Lakehouse:
             self.drop_partition(spec, values)
         return rows
 
-    def upsert(self, spec: TableSpec, new: DataFrame, newest_first: Column, keep_known: tuple[str, ...] = ()) -> None:
+    def upsert(self, spec: TableSpec, new: DataFrame, version: Column, keep_known: tuple[str, ...] = ()) -> None:
         """Insert or overwrite by key, rewriting only the partitions that ``new`` touches.
 
-        ``new`` may repeat a key: the first row in ``newest_first`` order wins. ``keep_known`` columns
+        ``new`` may repeat a key: the highest ``version`` wins. ``keep_known`` columns
         keep their stored value where the new row has null. The new rows are staged once, so that
         scoring is not repeated for finding the partitions and for merging.
         """
         keys, parts = list(spec.keys), list(spec.partition_by)
-        incoming = newest_per_key(new.select(*spec.columns), keys, newest_first)
+        incoming = newest_per_key(new.select(*spec.columns), keys, version)
         with self.staged(incoming, f"upsert_{spec.name}") as fresh:
             touched = fresh.select(*parts).distinct().collect()  # partition folders, not rows
             old = self.read(spec).filter(_any_partition(parts, touched))
@@ -236,10 +238,15 @@ def _sql_literal(value) -> str:
     return f"'{text}'"
 
 
-def newest_per_key(df: DataFrame, keys: list[str], newest_first: Column) -> DataFrame:
-    """One row per key: the first in ``newest_first`` order."""
-    w = Window.partitionBy(*keys).orderBy(newest_first)
-    return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
+def newest_per_key(df: DataFrame, keys: list[str], version: Column) -> DataFrame:
+    """The row of the highest ``version`` per key.
+
+    An aggregate with map-side combine: many copies of one key shrink to one per task before the shuffle.
+    """
+    others = [c for c in df.columns if c not in keys]
+    newest = F.max_by(F.struct(*others), version).alias("_row")
+    picked = df.groupBy(*keys).agg(newest)
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def merge_by_key(old: DataFrame, new: DataFrame, keys: list[str], keep_known: tuple[str, ...] = ()) -> DataFrame:

@@ -76,15 +76,21 @@ def unledgered_files(lake: Lakehouse, unseen: DataFrame) -> DataFrame:
     return unseen.join(held, "file_checksum", "left")
 
 
+BROADCAST_FILES = 10_000  # lineage rows; above this the planner chooses the join
+
+
 def bronze_rows(lake: Lakehouse, files: DataFrame, run_id: str, at: dt.datetime) -> DataFrame | None:
     """Conformed rows of all files with lineage; files of equal footer are read by one scan."""
     spark = lake.spark
     by_footer: dict[str, list[str]] = {}
-    for row in footers(files).collect():  # one short row per file of the batch
+    read = footers(files).collect()  # one short row per file of the batch
+    for row in read:
         by_footer.setdefault(row["footer"], []).append(row["path"])
     lineage = files.select(
         "path_key", "source_filename", F.col("file_checksum").alias("source_checksum"), "source_year", "source_month"
     )
+    if len(read) <= BROADCAST_FILES:
+        lineage = F.broadcast(lineage)
     out = None
     for paths in by_footer.values():
         schema = spark.read.parquet(paths[0]).schema
@@ -92,7 +98,7 @@ def bronze_rows(lake: Lakehouse, files: DataFrame, run_id: str, at: dt.datetime)
         rows = (
             scan.withColumn("path_key", path_key(F.col("_metadata.file_path")))
             .drop(*[f.name for f in BRONZE.schema if f.name not in RAW_TRIP.names])
-            .join(F.broadcast(lineage), "path_key")  # one row per file of the batch
+            .join(lineage, "path_key")
         )
         rows = conform(rows, keep=("source_filename", "source_checksum", "source_year", "source_month"))
         out = rows if out is None else out.unionByName(rows)
@@ -116,7 +122,7 @@ def bronze_ingest(lake: Lakehouse, files: DataFrame, run_id: str, at: dt.datetim
         check_year_month(row["source_year"], row["source_month"])
     named = spark.createDataFrame(listing).withColumn("path_key", path_key(F.col("path"))).drop("path")
     hashed = fingerprints(spark, *[r["path"] for r in listing])
-    incoming = hashed.withColumn("path_key", path_key(F.col("path"))).join(F.broadcast(named), "path_key")
+    incoming = hashed.withColumn("path_key", path_key(F.col("path"))).join(named, "path_key")
     unseen = unseen_files(_local(spark, incoming), lake.read(INGESTION_LEDGER))
     found = unledgered_files(lake, unseen).collect()
     if not found:

@@ -64,8 +64,7 @@ def with_month(predictions: DataFrame) -> DataFrame:
 
 def publish_predictions(lake: Lakehouse, records: DataFrame) -> None:
     """Keyed replace; a re-score never erases settled values."""
-    newest = F.col("scored_at_ts").desc()
-    lake.upsert(PREDICTIONS, with_month(records), newest, keep_known=SETTLEMENT_COLUMNS)
+    lake.upsert(PREDICTIONS, with_month(records), F.col("scored_at_ts"), keep_known=SETTLEMENT_COLUMNS)
 
 
 def month_window(first: Column, last: Column) -> Column:
@@ -118,7 +117,7 @@ def settle(lake: Lakehouse, now: dt.datetime) -> None:
     """Fill in actuals and penalties of due predictions; the lake is the copy of record."""
     pending = evaluation.pending_rows(lake.read(PREDICTIONS), utc_literal(now))
     settled = evaluation.settle_rows(pending, lake.read(OBSERVATIONS))
-    lake.upsert(PREDICTIONS, settled, F.col("scored_at_ts").desc())
+    lake.upsert(PREDICTIONS, settled, F.col("scored_at_ts"))
 
 
 def serving_rows(predictions: DataFrame) -> DataFrame:
@@ -137,7 +136,7 @@ def sync_serving(lake: Lakehouse, first: dt.datetime, last: dt.datetime, zone: i
     if zone is not None:
         chosen = chosen.filter(F.col(ZONE) == zone)
     unique = quality.require_unique(chosen, [ZONE, "prediction_hour_ts"])
-    lake.upsert(SERVING, with_month(serving_rows(unique)), F.col("scored_at_ts").desc())
+    lake.upsert(SERVING, with_month(serving_rows(unique)), F.col("scored_at_ts"))
 
 
 def prediction_at(predictions: DataFrame, zone: int, hour: dt.datetime | str) -> DataFrame:

@@ -244,7 +244,7 @@ def _(v: Views):
     blank = {c: F.lit(None).cast(PREDICTION_COLUMNS[c].dataType) for c in SETTLEMENT_COLUMNS}
     newer = _rescored(v, 4, predicted_class=2 - F.col("predicted_class"), **blank)
     older = _rescored(v, 2, **blank)
-    lake.upsert(PREDICTIONS, older.unionByName(newer), F.col("scored_at_ts").desc(), SETTLEMENT_COLUMNS)
+    lake.upsert(PREDICTIONS, older.unionByName(newer), F.col("scored_at_ts"), SETTLEMENT_COLUMNS)
     return lake.read(PREDICTIONS).select(*_UPSERT_COLUMNS)
 
 

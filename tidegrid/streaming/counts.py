@@ -45,7 +45,7 @@ def publish_counts(lake: Lakehouse, counts: DataFrame, checkpoint: str, continuo
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumns({"version": F.lit(batch_id), "pickup_date": F.to_date("pickup_hour_ts")})
-        lake.upsert(LIVE_COUNTS, rows, F.col("version").desc())
+        lake.upsert(LIVE_COUNTS, rows, F.col("version"))
 
     return run_available(counts, checkpoint, write, "update", continuous)
 
