@@ -35,23 +35,19 @@ class FittedModel:
 
     def with_probabilities(self, df: DataFrame) -> DataFrame:
         """Add ``prob_class_0..2``; a class unseen in training has a null probability."""
-        out = df
-        if self.family != BOOSTED:
+        names = {c: PROBABILITIES[c] for c in self.classes}
+        vector = vector_to_array("probability")
+        if self.family == BOOSTED:
+            out = df
+            for c, name in names.items():
+                out = self.pipelines[str(c)].transform(out).select(*out.columns, vector[1].alias(name))
+        else:
             scored = self.pipelines["all"].transform(df)
-            vector = vector_to_array("probability")
-            columns = {p: (vector[c] if c in self.classes else F.lit(None).cast("double")) for c, p in zip(CLASSES, PROBABILITIES)}
-            return scored.select(*df.columns, *[v.alias(n) for n, v in columns.items()])
-        for c in self.classes:
-            name = PROBABILITIES[c]
-            scored = self.pipelines[str(c)].transform(out)
-            out = scored.select(*out.columns, vector_to_array("probability")[1].alias(name))
-        total = sum((F.col(PROBABILITIES[c]) for c in self.classes), F.lit(0.0))
-        return out.withColumns(
-            {
-                PROBABILITIES[c]: (F.try_divide(F.col(PROBABILITIES[c]), total) if c in self.classes else F.lit(None).cast("double"))
-                for c in CLASSES
-            }
-        )
+            out = scored.select(*df.columns, *[vector[c].alias(n) for c, n in names.items()])
+        # one-against-rest scores, and vectors with a slot for an unseen class, are rescaled to sum 1
+        total = sum((F.col(n) for n in names.values()), F.lit(0.0))
+        unseen = {p: F.lit(None).cast("double") for p in PROBABILITIES if p not in names.values()}
+        return out.withColumns({**{n: F.try_divide(F.col(n), total) for n in names.values()}, **unseen})
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Probabilities plus the class of least expected cost."""

@@ -472,7 +472,7 @@ def _(v: Views):
     lake = silver_lake(v)
     lake.create(UTILISATION)
     medallion.gold_utilisation(lake, YEAR, MONTH, AT)
-    return rounded(lake.read(UTILISATION), 6, "avg_distance")
+    return rounded(lake.read(UTILISATION), 9, "avg_distance")
 
 
 @query(

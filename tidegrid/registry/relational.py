@@ -325,12 +325,12 @@ def _(v: Views):
 
 # ---- D: aggregations ----------------------------------------------------------------
 
-HOURLY_SQL = f"SELECT pickup_hour_ts, pickup_location_id, trip_count, {r6('avg_distance')} AS avg_distance FROM hourly"
+HOURLY_SQL = f"SELECT pickup_hour_ts, pickup_location_id, trip_count, {r6('avg_distance', 9)} AS avg_distance FROM hourly"
 
 
 @query("d1_hourly_mart", HOURLY_SQL, after="hourly")
 def hourly_mart(v: Views):
-    return rounded(v.hourly, 6, "avg_distance")
+    return rounded(v.hourly, 9, "avg_distance")
 
 
 @query(
@@ -432,8 +432,8 @@ def _(v: Views):
 
 
 _PROFILE_SQL = """SELECT 2024 AS target_year, 1 AS target_month, CAST(hour(pickup_hour_ts) AS INT) AS hour_of_day,
-    CAST(sum(trip_count) AS BIGINT) AS total_trips, round(avg(avg_distance), 6) + 0.0 AS monthly_avg_distance,
-    round(sum(avg_distance * trip_count) / sum(trip_count), 6) + 0.0 AS weighted_avg_distance FROM hourly GROUP BY 3"""
+    CAST(sum(trip_count) AS BIGINT) AS total_trips, round(avg(avg_distance), 9) + 0.0 AS monthly_avg_distance,
+    round(sum(avg_distance * trip_count) / sum(trip_count), 9) + 0.0 AS weighted_avg_distance FROM hourly GROUP BY 3"""
 
 
 def _profile(v: Views):
@@ -442,7 +442,7 @@ def _profile(v: Views):
 
 @query("d9_hour_of_day_profile", _PROFILE_SQL, after="hourly")
 def _(v: Views):
-    return rounded(_profile(v), 6)
+    return rounded(_profile(v), 9)
 
 
 @query(
@@ -601,12 +601,12 @@ def _(v: Views):
 @query(
     "d22_table_fingerprint",
     """SELECT (SELECT count(*) FROM hourly) AS row_count, pickup_hour_ts, pickup_location_id, trip_count,
-    round(avg_distance, 6) + 0.0 AS avg_distance FROM hourly ORDER BY pickup_hour_ts, pickup_location_id LIMIT 5""",
+    round(avg_distance, 9) + 0.0 AS avg_distance FROM hourly ORDER BY pickup_hour_ts, pickup_location_id LIMIT 5""",
     after="hourly",
 )
 def _(v: Views):
     summary, sample = fingerprint(v.hourly, [HOUR, ZONE])
-    return rounded(sample.crossJoin(F.broadcast(summary.select("row_count"))), 6, "avg_distance")
+    return rounded(sample.crossJoin(F.broadcast(summary.select("row_count"))), 9, "avg_distance")
 
 
 @query("d22_content_hash")
