@@ -1,5 +1,3 @@
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,4 +72,3 @@ def test_first_of_equal_runs_is_champion():
     assert experiments.choose_champion([run(1, 2.0), run(2, 1.0), run(3, 1.0)]).run_order == 2
     with pytest.raises(ValueError):
         experiments.choose_champion([])
-    assert dt.datetime

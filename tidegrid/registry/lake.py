@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegrid.functions import clock
-from tidegrid.operators import evaluation, grid, quality
-from tidegrid.operators.tables import Lakehouse, fingerprint
+from tidegrid.operators.tables import Lakehouse
 from tidegrid.plans import medallion, report, scoring, training
 from tidegrid.registry.core import query, r6, rounded, sql_class
 from tidegrid.registry.relational import HOURLY_SQL, HOUR, NOW, PENDING_SQL, ZONE, _RAW_SELECT, pending_pred
@@ -19,7 +18,7 @@ from tidegrid.schemas import (
     SETTLEMENT_COLUMNS, SILVER, UTILISATION, TableSpec, ddl,
 )
 from tidegrid.sources import files as sources
-from tidegrid.sources.manifest import derive_manifests, parse_manifests, to_manifest_json
+from tidegrid.sources.manifest import derive_manifests, parse_manifests
 from tidegrid.sources.trips import conform
 
 AT = dt.datetime(2024, 2, 1, 3, tzinfo=dt.timezone.utc)
@@ -379,8 +378,6 @@ def _(v: Views):
 def _(v: Views):
     """Rows out of time order inside their file, counted per day in stored row order."""
     back = sources.read_partitioned(v.spark, partitioned_events(v))
-    from pyspark.sql import Window
-
     # physical position: one file of one day is one task here, so ids rise in stored order
     placed = back.select("day", "event_time", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"))
     earlier = F.lag("event_time").over(Window.partitionBy("f").orderBy("i"))
@@ -617,5 +614,3 @@ def _(v: Views):
     scoring.settle(lake, dt.datetime(2024, 1, 31, 23))
     return report.reconcile(lake)
 
-
-assert evaluation and fingerprint and grid and quality and to_manifest_json

@@ -11,9 +11,9 @@ from tidegrid.operators import evaluation, grid, quality, series
 from tidegrid.operators.quantile import discrete_quantiles, interpolated_quantiles
 from tidegrid.operators.tables import bounded_rows, fingerprint
 from tidegrid.plans import medallion, report, scoring
-from tidegrid.registry.core import chain, query, r6, rounded, sql_class, sql_penalty
+from tidegrid.registry.core import query, r6, rounded, sql_class, sql_penalty
 from tidegrid.registry.views import MONTH, YEAR, Views
-from tidegrid.schemas import FEATURES, PREDICTION_COLUMNS
+from tidegrid.schemas import FEATURES
 from tidegrid.sources.trips import conform, stamp
 
 ZONE, HOUR = "pickup_location_id", "pickup_hour_ts"
@@ -1077,5 +1077,3 @@ def _(v: Views):
 def _(v: Views):
     return scoring.with_baseline(v.graded.drop("baseline_predicted_class")).select(ZONE, HOUR, "baseline_predicted_class")
 
-
-assert chain and PREDICTION_COLUMNS  # re-exported for the other registry modules
