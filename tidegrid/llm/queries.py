@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, mixing, quality, sharding
+from tidegrid.llm import chat, minhash, mixing, quality, sharding
 from tidegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,12 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return fn
 
 
+@register
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents over 5-word shingles at a similarity of 0.75."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed to 150 % of all words with sources weighing 5, 2, 1 in turn."""
