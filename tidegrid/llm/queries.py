@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, minhash, mixing, quality, sharding
+from tidegrid.llm import chat, minhash, mixing, piece_sampling, quality, sharding, token_counts, token_files
 from tidegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,12 +20,25 @@ def register(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return fn
 
 
+@register
+def op1_sample_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sampled segmentation of every document; seeded by doc_id, decoded to check that nothing is lost."""
+    rows = piece_sampling.sample_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select("doc_id", "n_pieces", "pieces", "lossless")
+
+
 @register
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents over 5-word shingles at a similarity of 0.75."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register
+def op3_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as compressed token-id files, read back."""
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @register
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed to 150 % of all words with sources weighing 5, 2, 1 in turn."""
@@ -55,6 +69,12 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op9_count_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of the best unigram segmentation of every document, counted without building it."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @register
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of whole texts, the base rules, and the verdict of the learned decision list."""
