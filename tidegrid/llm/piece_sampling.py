@@ -15,13 +15,15 @@ from tidegrid.llm.common import pick, text_slices
 from tidegrid.llm.lattice import SPACE, Vocabulary, automaton, build
 
 #: No piece crosses into a space from the left or contains a line break, so the lattice of a text is
-#: that of these chunks one after another, and they can be sampled independently.
-CHUNK = re.compile(" *[^ \n]+| +|\n")
+#: that of these chunks one after another, and they can be sampled independently. Where no piece mixes
+#: letters and digits with other characters either, chunks end there too, and more of them are alike.
+COARSE = re.compile(" *[^ \n]+| +|\n")
+FINE = re.compile(r" *[^\W_]+| *(?:[^\w \n]|_)+| +|\n")
 #: Stand-ins for bytes that are written as byte pieces: private-use characters, which no piece has.
 BYTE_BASE = 0xF0000
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 #: Chunks whose sampling tables a task keeps; it starts afresh beyond.
-TABLE_CHUNKS = 200_000
+TABLE_CHUNKS = 300_000
 
 _STEP = 0x9E3779B97F4A7C15
 
@@ -47,6 +49,8 @@ class Sampler:
         self.single = {p for p in usable if len(p) == 1} - {SPACE}
         usable = {p: i for p, i in usable.items() if all(c == SPACE or c in self.single for c in p)}
         usable |= {chr(BYTE_BASE + b): int(i) for b, i in enumerate(vocabulary.byte_ids)}
+        mixed = any(len({c.isalnum() for c in p.lstrip(SPACE)}) > 1 for p in usable)
+        self.chunks = (COARSE if mixed else FINE).findall
         self.machine = automaton(usable)
         self.lengths = np.ones(len(vocabulary.pieces), np.int64)
         for p, i in usable.items():
@@ -57,8 +61,8 @@ class Sampler:
     def reset(self) -> None:
         self.place: dict[str, int] = {}
         self.nodes = 0
-        #: per edge: end node + share of the edges up to it; piece; one per chunk: its end node
-        self.mark, self.piece = np.empty(0), np.empty(0, np.int32)
+        #: per node its first edge; per edge the share of the node's edges up to it, and its piece
+        self.first, self.upto, self.piece = np.empty(0, np.int64), np.empty(0), np.empty(0, np.int32)
         self.end, self.start = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _spell(self, chunk: str, strange: set[str]) -> str:
@@ -80,14 +84,16 @@ class Sampler:
             total = np.logaddexp.reduceat(value, first)
             reach[lattice.head[at][first]] = total
             share[at] = np.exp(value - np.repeat(total, np.diff(np.append(first, len(value)))))
-        order = np.argsort(lattice.head, kind="stable")
+        order = np.lexsort((-share, lattice.head))  # the likeliest edge first
         head, share = lattice.head[order], share[order]
         running = np.cumsum(share)
-        new = np.concatenate([[True], head[1:] != head[:-1]])
-        before = np.where(new, running - share, 0.0)[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
-        # the last share of a node ends at 1 exactly, whatever was lost in summing
-        upto = np.where(np.append(new[1:], True), 1.0, np.clip(running - before, 0.0, 1.0 - 1e-12))
-        self.mark = np.concatenate([self.mark, self.nodes + head + upto])
+        first = np.flatnonzero(np.concatenate([[True], head[1:] != head[:-1]]))
+        sizes = np.diff(np.append(first, len(head)))
+        upto = running - np.repeat(running[first] - share[first], sizes)
+        upto[first + sizes - 1] = 2.0  # the last edge takes what is left, whatever was lost in summing
+        edges = np.zeros(n, np.int64)
+        edges[head[first]] = len(self.piece) + first
+        self.first, self.upto = np.concatenate([self.first, edges]), np.concatenate([self.upto, upto])
         self.piece = np.concatenate([self.piece, lattice.piece[order].astype(np.int32)])
         self.place.update(zip(chunks, range(len(self.end), len(self.end) + len(chunks)), strict=True))
         self.end = np.concatenate([self.end, self.nodes + lattice.ends])
@@ -96,7 +102,7 @@ class Sampler:
 
     def sample(self, texts: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The piece ids of all texts one after another, and how many each text has."""
-        split = [CHUNK.findall(" " + t) if t else [] for t in texts]
+        split = [self.chunks(" " + t) if t else [] for t in texts]
         wanted = {c for cs in split for c in cs}
         missing = [c for c in wanted if c not in self.place]
         if missing:
@@ -113,8 +119,11 @@ class Sampler:
         count = np.zeros(len(chunk), np.int64)
         while len(live):
             u = (_mixed(key[live] + np.uint64(step * _STEP % (1 << 64))) >> np.uint64(12)).astype(np.float64) * 2.0**-52
-            # an edge is chosen where the node's running shares pass u; whole nodes are apart by 1
-            edge = np.searchsorted(self.mark, node[live] + u, "right")
+            edge = self.first[node[live]]
+            short = np.flatnonzero(self.upto[edge] <= u)
+            while len(short):  # on to the edge where the running share passes u
+                edge[short] += 1
+                short = short[self.upto[edge[short]] <= u[short]]
             piece = self.piece[edge]
             drawn.append((live, piece))
             count[live] += 1
