@@ -58,28 +58,18 @@ def _boundary(rows: DataFrame, goal: DataFrame, bucket: Column) -> DataFrame:
     )
 
 
-def mix(
-    docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, cap: float = 2.0,
-    key: str = "doc_id", source: str = "source", text: str = "text",
-) -> DataFrame:
-    """(key, size, source_size, target, taken, copies) per row: every document is taken
-    floor(target / source_size) times, and once more if its hash lies below the source's threshold.
-
-    The threshold is found from above: sizes are summed by source and hash bucket, the bucket where the
-    running sum passes the target is refined with the next bits, and the last bucket by whole hashes;
-    rows are then filtered by comparing hashes, never sorted. Of the two thresholds around the
-    target the nearer one is taken (the lower on a tie), so a source misses its target by at most half a
-    document. Rows equal in key and text share a hash and are taken together. A null source is a source
-    of its own, last in order; null and empty texts have size 0; without any size all targets are 0.
-    """
+def mixing_law(docs: DataFrame, weights: Sequence[int], share: float, cap: float, key: str, source: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The staged rows (doc_id, source, size, hash) and, per source, (law_source, source_size, target,
+    whole, threshold): every document is taken ``whole`` times, and once more below the threshold."""
     plain = pick(docs, key, source, text).toDF("doc_id", "source", "text")
     staged = checkpoint(plain.select("doc_id", "source", count_words(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("hash")))
     sizes = staged.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = checkpoint(source_targets(sizes, weights, share, cap))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    plan = targets.select(F.col("source").alias("goal_source"), "source_size", "target", whole.cast("int").alias("whole"))
-    goal = plan.select("goal_source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("wanted"), F.lit(0).cast("long").alias("taken_before"))
-
+    plan = targets.select(F.col("source").alias("law_source"), "source_size", "target", whole.cast("int").alias("whole"))
+    goal = plan.select(
+        F.col("law_source").alias("goal_source"), (F.col("target") - F.col("whole") * F.col("source_size")).alias("wanted"), F.lit(0).cast("long").alias("taken_before")
+    )
     rows, shift = staged, HASH_BITS
     for level in range(3):
         shift = max(0, shift - LEVEL_BITS) if level < 2 else 0
@@ -90,10 +80,47 @@ def mix(
             here = rows["source"].eqNullSafe(inside["goal_source"]) & (F.shiftright(rows["hash"], shift) == inside["edge"])
             rows = rows.join(inside, here, "left_semi")
     nearer = F.col("taken_before") + F.col("held") - F.col("wanted") < F.col("wanted") - F.col("taken_before")
-    edges = goal.select(F.col("goal_source").alias("edge_source"), (F.col("edge") + F.when(nearer, 1).otherwise(0)).alias("threshold"))
-    law = small_side(checkpoint(plan.join(edges, plan["goal_source"].eqNullSafe(edges["edge_source"]), "left").drop("edge_source")), BROADCAST_SOURCES)
-    copies = F.col("whole") + F.when(F.col("hash") < F.coalesce(F.col("threshold"), F.lit(0)), 1).otherwise(0)
-    return staged.join(law, staged["source"].eqNullSafe(law["goal_source"])).select(
-        F.col("doc_id").alias(key), "size", F.col("source_size").cast("long").alias("source_size"), F.col("target"),
-        (F.col("size") * copies).cast("long").alias("taken"), copies.cast("int").alias("copies"),
+    edges = goal.select("goal_source", (F.col("edge") + F.when(nearer, 1).otherwise(0)).alias("threshold"))
+    law = plan.join(edges, plan["law_source"].eqNullSafe(edges["goal_source"]), "left")
+    return staged, checkpoint(law.select("law_source", "source_size", "target", "whole", F.coalesce("threshold", F.lit(0)).alias("threshold")))
+
+
+def _copies(hash_: Column) -> Column:
+    return (F.col("whole") + F.when(hash_ < F.col("threshold"), 1).otherwise(0)).cast("int")
+
+
+def mix(
+    docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, cap: float = 2.0,
+    key: str = "doc_id", source: str = "source", text: str = "text",
+) -> DataFrame:
+    """(key, size, source_size, target, taken, copies) per row: every document is taken
+    floor(target / source_size) times, and once more if its hash lies below the source's threshold.
+
+    The threshold is found from above: sizes are summed by source and hash bucket, the bucket where the
+    running sum passes the target is refined with the next bits, and the last bucket by whole hashes;
+    rows are then filtered by comparing hashes, never sorted. Of the two thresholds around the
+    target the nearer one is taken (the lower on a tie), so a source misses its target by at most half a
+    document. Rows equal in key and text share a hash and are taken together. A null source is a source
+    of its own, last in order; null and empty texts have size 0; without any size all targets are 0.
+    """
+    staged, law = mixing_law(docs, weights, share, cap, key, source, text)
+    law = small_side(law, BROADCAST_SOURCES)
+    copies = _copies(F.col("hash"))
+    return staged.join(law, staged["source"].eqNullSafe(law["law_source"])).select(
+        F.col("doc_id").alias(key), "size", F.col("source_size").cast("long").alias("source_size"), "target",
+        (F.col("size") * copies).cast("long").alias("taken"), copies.alias("copies"),
     )
+
+
+def mixed_rows(
+    docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, cap: float = 2.0,
+    key: str = "doc_id", source: str = "source", text: str = "text",
+) -> DataFrame:
+    """The mix itself: the rows of ``docs``, all columns, each as often as it is taken (perhaps never)."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = {c: names[docs.columns.index(c)] for c in (key, source, text)}
+    _, law = mixing_law(docs, weights, share, cap, key, source, text)
+    law = small_side(law, BROADCAST_SOURCES)
+    plain = docs.toDF(*names)
+    times = F.explode(F.array_repeat(F.lit(0), _copies(row_hash(F.col(at[key]), F.col(at[text]))))).alias("time")
+    return plain.join(law, plain[at[source]].eqNullSafe(law["law_source"])).select(*names, times).drop("time").toDF(*docs.columns)

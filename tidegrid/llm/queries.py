@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, minhash, mixing, piece_sampling, quality, sharding, token_counts, token_files
+from tidegrid.llm import chat, fingerprints, language, minhash, mixing, piece_sampling, quality, sharding, token_counts, token_files
 from tidegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,6 +69,19 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op7_language_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by a word-labelling CRF learned on the documents not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn(docs))
+
+
+@register
+def op8_paragraph_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts, and how alike they are."""
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 @register
 def op9_count_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of the best unigram segmentation of every document, counted without building it."""
