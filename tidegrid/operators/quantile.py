@@ -27,6 +27,7 @@ class _Target:
     rank: int
     lo: float
     hi: float
+    finite: tuple[float, float] = (0.0, 0.0)  # extremes of the column's finite values
     from_top: bool = False  # count the rows outside the bracket on this, smaller, side
     below: int | None = None  # rows known to be smaller than lo
 
@@ -40,6 +41,20 @@ def _usable(column: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def _bin(value: Column, lo: float, hi: float) -> Column:
+    """Equal-width bins over the finite values of a bracket; the infinities have the end bins to
+    themselves. Halves keep the width finite, whatever the extremes are."""
+    width = hi / 2 - lo / 2
+    inner = BINS - 2
+    place = F.floor((value / 2 - F.lit(lo / 2)) / F.lit(width) * F.lit(inner)) if width > 0 else F.lit(0)
+    if width == 0 and hi > lo:  # so narrow that halving lost it
+        place = F.floor((value - F.lit(lo)) / F.lit(hi - lo) * F.lit(inner))
+    bounded = F.greatest(F.least(place, F.lit(inner - 1)), F.lit(0)) + F.lit(1)
+    return (
+        F.when(value == F.lit(float("-inf")), F.lit(0)).when(value == F.lit(float("inf")), F.lit(BINS - 1)).otherwise(bounded).cast("int")
+    )
+
+
 def _bracket(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, tuple]:
     """Row count, extremes and sketch brackets of every column, in one pass."""
     margin = 2.0 / SKETCH_ACCURACY
@@ -57,15 +72,24 @@ def _bracket(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, tuple]:
     return {c: (row[f"n{i}"], row[f"min{i}"], row[f"max{i}"], row[f"edges{i}"]) for i, c in enumerate(wanted)}
 
 
+def _finite(df: DataFrame, extremes: dict[str, tuple]) -> dict[str, tuple[float, float]]:
+    """Extremes of the finite values; a pass of its own only for columns that hold infinite ones."""
+    found = {c: (low, high) for c, (low, high) in extremes.items() if low is not None}
+    wild = [c for c, pair in found.items() if any(math.isinf(x) for x in pair)]
+    if wild:
+        calm = [F.when(F.abs(_usable(c)) < float("inf"), _usable(c)) for c in wild]
+        row = df.agg(*(f(v).alias(f"{f.__name__}{i}") for i, v in enumerate(calm) for f in (F.min, F.max))).first()
+        found |= {c: (row[f"min{i}"] or 0.0, row[f"max{i}"] or 0.0) for i, c in enumerate(wild)}
+    return found
+
+
 def _histograms(df: DataFrame, targets: list[_Target]) -> dict[int, list]:
     """(bin, rows, min, max) of every open target, in one pass over the bracketed rows."""
     entries, reach = [], F.lit(False)
     for i, t in enumerate(targets):
         value = _usable(t.column)
-        width = t.hi - t.lo
-        place = F.floor((value - F.lit(t.lo)) / F.lit(width) * F.lit(BINS)) if width > 0 else F.lit(0)
         inside = value.between(F.lit(t.lo), F.lit(t.hi))
-        bin_no = F.when(inside, F.least(place, F.lit(BINS - 1)).cast("int"))
+        bin_no = F.when(inside, _bin(value, max(t.lo, t.finite[0]), min(t.hi, t.finite[1])))
         if t.below is None:  # first histogram: rows on the shorter side of the bracket are counted too
             outside = value > F.lit(t.hi) if t.from_top else value < F.lit(t.lo)
             bin_no = F.when(outside, F.lit(OUTSIDE)).otherwise(bin_no)
@@ -106,18 +130,22 @@ def _narrow(target: _Target, bins: list, total: int, extremes: tuple[float, floa
 def _order_statistics(df: DataFrame, wanted: dict[str, list[float]], ranks) -> tuple[dict, dict]:
     """Row counts per column and exact values at ``ranks(p, n)`` (nulls and NaN ignored)."""
     info = _bracket(df, wanted)
+    finite = _finite(df, {c: info[c][1:3] for c in wanted})
     targets: dict[tuple[str, int], _Target] = {}
     for column, probs in wanted.items():
         n, _, _, edges = info[column]
         for j, p in enumerate(probs if n else []):
             for rank in ranks(p, n):
                 bracket = edges[2 * j], edges[2 * j + 1]
-                targets.setdefault((column, rank), _Target(column, rank, *bracket, from_top=p > 0.5))
+                targets.setdefault((column, rank), _Target(column, rank, *bracket, finite.get(column, (0.0, 0.0)), from_top=p > 0.5))
     while pending := [t for t in targets.values() if not t.done]:
         histograms = _histograms(df, pending)
         for i, t in enumerate(pending):
             n, low, high, _ = info[t.column]
+            before = t.lo, t.hi, t.below
             _narrow(t, histograms[i], n, (low, high))
+            if (t.lo, t.hi, t.below) == before:
+                raise ArithmeticError(f"quantile of {t.column}: no progress within [{t.lo}, {t.hi}]")
     return {c: info[c][0] for c in wanted}, {key: t.lo for key, t in targets.items()}
 
 
@@ -151,5 +179,6 @@ def interpolated_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dic
                 continue
             lower, upper = (values[c, r] for r in _cont_ranks(p, counts[c]))
             position = p * (counts[c] - 1)
-            out[c].append(lower + (upper - lower) * (position - math.floor(position)))
+            share = position - math.floor(position)
+            out[c].append(lower if lower == upper or share == 0 else lower + (upper - lower) * share)
     return out

@@ -144,7 +144,7 @@ class Lakehouse:
         incoming = newest_per_key(new.select(*spec.columns), keys, version)
         with self.staged(incoming, f"upsert_{spec.name}") as fresh:
             touched = fresh.select(*parts).distinct().collect()  # partition folders, not rows
-            old = self.read(spec).filter(_any_partition(parts, touched))
+            old = _of_partitions(self.read(spec), parts, touched)
             merged = merge_by_key(old, fresh, keys, keep_known)
             self._overwrite(self._arrange(merged, spec, True), spec, dynamic=True)
 
@@ -165,7 +165,7 @@ class Lakehouse:
         )
         partly = [r for r in hit if r["kept"]]
         if partly:
-            remaining = self.read(spec).filter(_any_partition(parts, partly)).filter(kept)
+            remaining = _of_partitions(self.read(spec), parts, partly).filter(kept)
             self._overwrite(self._arrange(remaining, spec, True), spec, dynamic=True)
         for row in hit:
             if not row["kept"]:
@@ -216,15 +216,24 @@ class Lakehouse:
         return log.orderBy("committed_at", "table_name", "operation", "slice")
 
 
-def _any_partition(columns: list[str], rows: list) -> Column:
-    """Static partition filter for a short list of partition values."""
-    found = F.lit(False)
-    for row in rows:
-        match = F.lit(True)
-        for c in columns:
-            match = match & F.col(c).eqNullSafe(F.lit(row[c]))
-        found = found | match
-    return found
+def _of_partitions(df: DataFrame, columns: list[str], rows: list) -> DataFrame:
+    """The rows of the listed partitions. One value set per column prunes folders, however many
+    partitions there are; a semi-join with the list keeps only their combinations."""
+    if not rows:
+        return df.limit(0)
+    pruned = df
+    for c in columns:
+        values = {row[c] for row in rows}
+        found = F.col(c).isin([v for v in values if v is not None])
+        pruned = pruned.filter(found | F.col(c).isNull() if None in values else found)
+    if len(columns) == 1:
+        return pruned
+    listed = df.sparkSession.createDataFrame([tuple(row[c] for c in columns) for row in rows], T.StructType([df.schema[c] for c in columns]))
+    named = listed.toDF(*(f"_p{i}" for i in range(len(columns))))
+    same = F.lit(True)
+    for i, c in enumerate(columns):
+        same = same & pruned[c].eqNullSafe(named[f"_p{i}"])
+    return pruned.join(named, same, "left_semi")
 
 
 def _sql_literal(value) -> str:
@@ -242,9 +251,11 @@ def newest_per_key(df: DataFrame, keys: list[str], version: Column) -> DataFrame
     """The row of the highest ``version`` per key.
 
     An aggregate with map-side combine: many copies of one key shrink to one per task before the shuffle.
+    Of rows with equal versions the greatest by its other columns wins, so a re-run picks the same one.
     """
     others = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*others), version).alias("_row")
+    tie = F.to_json(F.struct(*others), {"ignoreNullFields": "false"})
+    newest = F.max_by(F.struct(*others), F.struct(version, tie)).alias("_row")
     picked = df.groupBy(*keys).agg(newest)
     return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 

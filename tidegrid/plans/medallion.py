@@ -76,9 +76,6 @@ def unledgered_files(lake: Lakehouse, unseen: DataFrame) -> DataFrame:
     return unseen.join(held, "file_checksum", "left")
 
 
-BROADCAST_FILES = 10_000  # lineage rows; above this the planner chooses the join
-
-
 def bronze_rows(lake: Lakehouse, files: DataFrame, run_id: str, at: dt.datetime) -> DataFrame | None:
     """Conformed rows of all files with lineage; files of equal footer are read by one scan."""
     spark = lake.spark
@@ -89,8 +86,6 @@ def bronze_rows(lake: Lakehouse, files: DataFrame, run_id: str, at: dt.datetime)
     lineage = files.select(
         "path_key", "source_filename", F.col("file_checksum").alias("source_checksum"), "source_year", "source_month"
     )
-    if len(read) <= BROADCAST_FILES:
-        lineage = F.broadcast(lineage)
     out = None
     for paths in by_footer.values():
         schema = spark.read.parquet(paths[0]).schema
@@ -107,23 +102,32 @@ def bronze_rows(lake: Lakehouse, files: DataFrame, run_id: str, at: dt.datetime)
     return out.withColumns({"ingestion_run_id": F.lit(run_id), "ingested_at_utc": F.lit(at)})
 
 
-def bronze_ingest(lake: Lakehouse, files: DataFrame, run_id: str, at: dt.datetime | None = None) -> Outcome:
+def content_run_id(checksums: list[str]) -> str:
+    """A run id that a replay of the same files repeats and other files never get."""
+    return "batch-" + hashlib.sha256("\n".join(sorted(checksums)).encode()).hexdigest()[:24]
+
+
+def bronze_ingest(lake: Lakehouse, files: DataFrame, run_id: str | None = None, at: dt.datetime | None = None) -> Outcome:
     """Ingest a batch of files (``path, source_filename, source_year, source_month``) exactly once.
 
-    Re-running the same run id overwrites its own partitions; other runs skip known checksums. The
-    driver holds one short row per file of the batch, never file contents.
+    Known checksums are skipped, whatever their run. Bronze is partitioned by file within a run, so a run
+    id may come again with more files: only the slices of files being written are replaced. Without
+    a run id the files' contents give one. The driver holds one short row per file of the batch, never
+    file contents.
     """
     at = utc(at)
     spark = lake.spark
     listing = files.select("path", "source_filename", "source_year", "source_month").distinct().collect()
     if not listing:
-        return Outcome(Status.MISSING, run_id)
+        return Outcome(Status.MISSING, run_id or "")
     for row in listing:
         check_year_month(row["source_year"], row["source_month"])
     named = spark.createDataFrame(listing).withColumn("path_key", path_key(F.col("path"))).drop("path")
     hashed = fingerprints(spark, *[r["path"] for r in listing])
     incoming = hashed.withColumn("path_key", path_key(F.col("path"))).join(named, "path_key")
-    unseen = unseen_files(_local(spark, incoming), lake.read(INGESTION_LEDGER))
+    batch = _local(spark, incoming)
+    run_id = run_id or content_run_id([r["file_checksum"] for r in batch.select("file_checksum").collect()])
+    unseen = unseen_files(batch, lake.read(INGESTION_LEDGER))
     found = unledgered_files(lake, unseen).collect()
     if not found:
         return Outcome(Status.SKIPPED, run_id)
@@ -167,19 +171,21 @@ def earliest_success(ledger: DataFrame) -> DataFrame:
 
 
 def resolve_runs(requested: DataFrame, bronze_runs: DataFrame, ledger: DataFrame, published: DataFrame) -> DataFrame:
-    """Which run serves each request ``(source_filename, requested_run_id)``.
+    """Which run serves each request ``(source_filename, requested_run_id[, source_year, source_month])``.
 
     A run without bronze rows falls back to the earliest successful run of its file; ``state`` is
-    ``skip`` when the serving run is published already and ``missing`` when none exists.
+    ``skip`` when the serving run (its requested month, if requests name months) is published
+    already and ``missing`` when none exists.
     """
+    month = [c for c in ("source_year", "source_month") if c in requested.columns]
     own = bronze_runs.select(F.col("ingestion_run_id").alias("requested_run_id")).distinct()
     original = earliest_success(ledger).withColumnRenamed("ingestion_run_id", "_original")
-    done = published.filter(F.col("status") == "SUCCESS").select("ingestion_run_id").distinct()
+    done = published.filter(F.col("status") == "SUCCESS").select("ingestion_run_id", *month).distinct()
     return (
         requested.join(own.withColumn("_own", F.lit(True)), "requested_run_id", "left")
         .join(original, "source_filename", "left")
         .withColumn("ingestion_run_id", F.when(F.col("_own"), F.col("requested_run_id")).otherwise(F.col("_original")))
-        .join(done.withColumn("_done", F.lit(True)), "ingestion_run_id", "left")
+        .join(done.withColumn("_done", F.lit(True)), ["ingestion_run_id", *month], "left")
         .select(
             "source_filename", "requested_run_id", "ingestion_run_id",
             F.when(F.col("ingestion_run_id").isNull(), "missing")
@@ -225,8 +231,11 @@ def silver_wap(
     check_year_month(year, month)
     at = utc(at)
     spark = lake.spark
-    request = spark.createDataFrame([(source_filename, run_id)], "source_filename string, requested_run_id string")
-    runs = lake.read(BRONZE).filter(F.col("ingestion_run_id") == run_id).select("ingestion_run_id").limit(1)
+    request = spark.createDataFrame(
+        [(source_filename, run_id, year, month)], "source_filename string, requested_run_id string, source_year int, source_month int"
+    )
+    in_slice = (F.col("source_year") == year) & (F.col("source_month") == month)
+    runs = lake.read(BRONZE).filter(in_slice & (F.col("ingestion_run_id") == run_id)).select("ingestion_run_id").limit(1)
     plan = resolve_runs(request, runs, lake.read(INGESTION_LEDGER), lake.read(PUBLISH_LEDGER)).first()
     if plan["state"] == "missing":
         return Outcome(Status.MISSING, run_id)
@@ -234,9 +243,7 @@ def silver_wap(
     if plan["state"] == "skip":
         return Outcome(Status.SKIPPED, run_id)
 
-    raw = lake.read(BRONZE).filter(
-        (F.col("source_year") == year) & (F.col("source_month") == month) & (F.col("ingestion_run_id") == run_id)
-    )
+    raw = lake.read(BRONZE).filter(in_slice & (F.col("ingestion_run_id") == run_id))
     try:
         caps = quality.outlier_caps(raw, cap_error)
     except quality.QualityError:
@@ -251,12 +258,29 @@ def silver_wap(
     bad = raw.filter(~verdict).drop("ingested_at_utc")
     lake.replace_slices(QUARANTINE, bad.withColumns({"wap_run_id": F.lit(short), "quarantined_at": F.lit(at)}), False)
     lake.replace_slices(SILVER, silver_rows(raw.filter(verdict), at))
-    entry = [(run_id, source_filename, "SUCCESS", at)]
+    entry = [(run_id, source_filename, year, month, "SUCCESS", at)]
     lake.append(PUBLISH_LEDGER, spark.createDataFrame(entry, PUBLISH_LEDGER.schema).coalesce(1))
     lake.log(at, (SILVER, "publish", run_id, valid), (QUARANTINE, "publish", run_id, total - valid))
     return Outcome(Status.DONE, run_id, total, valid, dropped)
 
 
+def run_month(lake: Lakehouse, files: DataFrame, run_id: str | None = None, at: dt.datetime | None = None) -> list[Outcome]:
+    """The whole chain for a batch of files: bronze, then silver and both gold tables of every month the
+    batch names. Months published before are skipped, a refused month leaves gold as it was."""
+    named = files.select("source_filename", "source_year", "source_month").distinct()
+    months = named.groupBy("source_year", "source_month").agg(F.min("source_filename").alias("source_filename")).collect()
+    bronze = bronze_ingest(lake, files, run_id, at)
+    outcomes = [bronze]
+    for m in sorted(months):
+        year, month = m["source_year"], m["source_month"]
+        done = silver_wap(lake, bronze.run_id, m["source_filename"], year, month, at=at)
+        outcomes.append(done)
+        if done.status is Status.DONE:
+            gold_utilisation(lake, year, month, at)
+            gold_observations(lake, year, month, at)
+    return outcomes
+
+
 # ---- gold ---------------------------------------------------------------------------
 
 

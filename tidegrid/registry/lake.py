@@ -378,8 +378,7 @@ def _(v: Views):
 def _(v: Views):
     """Rows out of time order inside their file, counted per day in stored row order."""
     back = sources.read_partitioned(v.spark, partitioned_events(v))
-    # physical position: one file of one day is one task here, so ids rise in stored order
-    placed = back.select("day", "event_time", F.col("_metadata.file_path").alias("f"), F.monotonically_increasing_id().alias("i"))
+    placed = back.select("day", "event_time", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
     earlier = F.lag("event_time").over(Window.partitionBy("f").orderBy("i"))
     return placed.withColumn("p", earlier).groupBy("day").agg(F.count_if(F.col("p") > F.col("event_time")).alias("inversions"))
 
@@ -431,6 +430,66 @@ def _(v: Views):
     return lake.read(BRONZE).drop("source_filename", "source_checksum", "ingested_at_utc")
 
 
+def _land(v: Views, trips: DataFrame, month: int = MONTH) -> DataFrame:
+    """Trips landed as one file, listed under a month."""
+    folder = v.scratch("landing")
+    trips.drop("event_id", "source_year", "source_month").coalesce(1).write.parquet(folder)
+    return sources.list_files(v.spark, folder, glob="*.parquet").select(
+        "path", F.element_at(F.split("path", "/"), -1).alias("source_filename"), F.lit(YEAR).alias("source_year"), F.lit(month).alias("source_month"),
+    )
+
+
+@query(
+    "l1_run_grows",
+    "SELECT count(*) AS bronze_rows, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(1 AS BIGINT) AS runs FROM events",
+)
+def _(v: Views):
+    """One run id ingests a file, comes again with another one; a later run repairs the lost ledger."""
+    lake = v.lake().create_all()
+    trips = v.trips.withColumn("congestion_surcharge", F.col("event_id").cast("double"))
+    first = _land(v, trips.where("event_id % 3 <> 2"))
+    both = first.unionByName(_land(v, trips.where("event_id % 3 = 2")))
+    medallion.bronze_ingest(lake, first, RUN, AT)
+    medallion.bronze_ingest(lake, both, RUN, AT)
+    lake.purge(INGESTION_LEDGER, F.lit(True))
+    medallion.bronze_ingest(lake, both, "run-2", AT)
+    return lake.read(BRONZE).agg(
+        F.count("*").alias("bronze_rows"), F.sum("congestion_surcharge").cast("long").alias("id_sum"), F.count_distinct("ingestion_run_id").alias("runs")
+    )
+
+
+@query(
+    "l1_crash_with_held_and_fresh",
+    "SELECT count(*) AS bronze_rows, CAST(sum(event_id) AS BIGINT) AS id_sum, CAST(2 AS BIGINT) AS ledger_rows FROM events",
+)
+def _(v: Views):
+    """A run that crashed before its ledger comes again with one file that bronze holds and one it doesn't."""
+    lake = v.lake().create_all()
+    trips = v.trips.withColumn("congestion_surcharge", F.col("event_id").cast("double"))
+    held = _land(v, trips.where("event_id % 3 <> 2"))
+    medallion.bronze_ingest(lake, held, RUN, AT)
+    lake.purge(INGESTION_LEDGER, F.lit(True))
+    medallion.bronze_ingest(lake, held.unionByName(_land(v, trips.where("event_id % 3 = 2"))), RUN, AT)
+    rows = lake.read(BRONZE).agg(F.count("*").alias("bronze_rows"), F.sum("congestion_surcharge").cast("long").alias("id_sum"))
+    return rows.crossJoin(lake.read(INGESTION_LEDGER).agg(F.count("*").alias("ledger_rows")))
+
+
+@query(
+    "l2_two_month_run",
+    """SELECT CAST(1 AS INT) AS source_month, count(*) AS silver_rows FROM clean
+    UNION ALL SELECT 2, count(*) FROM clean WHERE pickup_datetime < TIMESTAMP '2024-01-30'""",
+    after="clean",
+)
+def _(v: Views):
+    """One run holds January and the same trips 31 days later: the whole chain publishes both months,
+    the second without the days that February lacks."""
+    lake = v.lake().create_all()
+    later = {c: F.col(c) + F.expr("INTERVAL 31 DAYS") for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")}
+    files = _land(v, v.trips).unionByName(_land(v, v.trips.withColumns(later), 2))
+    medallion.run_month(lake, files, RUN, AT)
+    return lake.read(SILVER).groupBy("source_month").agg(F.count("*").alias("silver_rows"))
+
+
 @query(
     "l2_silver_publish",
     """SELECT 'silver' AS part, CAST(pickup_location_id AS INT) AS zone, pickup_datetime AS ts, trip_distance FROM clean

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -1040,8 +1041,12 @@ def _(v: Views):
     "SELECT event_type, count(*) AS n, CAST(max(user_id) AS BIGINT) AS top_user FROM events GROUP BY 1",
 )
 def _(v: Views):
-    v.events.createOrReplaceTempView("tidegrid_events")
-    return v.spark.sql("SELECT event_type, count(*) AS n, max(user_id) AS top_user FROM tidegrid_events GROUP BY 1")
+    name = f"events_{uuid.uuid4().hex[:12]}"
+    v.events.createTempView(name)
+    try:  # the plan is resolved here, so the view needn't outlive it
+        return v.spark.sql(f"SELECT event_type, count(*) AS n, max(user_id) AS top_user FROM {name} GROUP BY 1")
+    finally:
+        v.spark.catalog.dropTempView(name)
 
 
 @query(

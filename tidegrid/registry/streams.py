@@ -45,24 +45,28 @@ def _(v: Views):
     return lake.read(manifests.REJECTED).groupBy("reject_reason").agg(F.count("*").alias("n"))
 
 
-@query("i2_pending_manifests", "SELECT count(*) AS bronze_rows, CAST(0 AS BIGINT) AS waiting FROM events")
+@query("i2_pending_manifests", "SELECT count(*) AS bronze_rows, CAST(2 AS BIGINT) AS waited, CAST(0 AS BIGINT) AS waiting FROM events")
 def _(v: Views):
-    """Manifests arrive before their files: they wait, and are ingested once the files are there."""
+    """Manifests arrive before their files: they wait, and a retry ingests them once the files are there."""
     lake, folder, checkpoint = v.lake().create_all(), v.scratch("manifests"), v.scratch("checkpoint")
-    files = landed(v, 2).cache()
-    # announced under a folder that does not exist yet
-    late = v.scratch("late")
-    announced = files.withColumn("path", F.concat(F.lit(late + "/"), "source_filename"))
-    drop_manifests(v, folder, announced)
-    drain(v, lake, folder, checkpoint)
+    files, late = landed(v, 2).cache(), v.scratch("late")
     source = files.first()["path"].rsplit("/", 1)[0]
-    v.spark.read.parquet(source).write.parquet(late)  # the files arrive, under names of their own
-    arrived = landed_in(v, late)
-    drop_manifests(v, folder, arrived)
+    # announced under the folder that they will arrive in
+    drop_manifests(v, folder, files.withColumn("path", F.concat(F.lit(late + "/"), "source_filename")))
     drain(v, lake, folder, checkpoint)
+    waited = manifests.waiting(lake).count()
+    moved(v, source, late)
     manifests.retry_pending(lake)
-    waiting = manifests.waiting(lake).join(arrived, F.col("source_filepath") == F.col("path"), "left_semi")
-    return lake.read(BRONZE).agg(F.count("*").alias("bronze_rows")).crossJoin(waiting.agg(F.count("*").alias("waiting")))
+    left = manifests.waiting(lake).agg(F.count("*").alias("waiting"))
+    rows = lake.read(BRONZE).agg(F.count("*").alias("bronze_rows"))
+    return rows.crossJoin(left).withColumn("waited", F.lit(waited).cast("long"))
+
+
+def moved(v: Views, source: str, target: str) -> None:
+    """A folder renamed through the file system that Spark uses for it."""
+    paths = v.spark._jvm.org.apache.hadoop.fs
+    system = paths.Path(source).getFileSystem(v.spark._jsc.hadoopConfiguration())
+    system.rename(paths.Path(source), paths.Path(target))
 
 
 def landed_in(v: Views, folder: str):
@@ -90,6 +94,25 @@ def _(v: Views):
     return rows.crossJoin(lake.read(INGESTION_LEDGER).agg(F.count("*").alias("ledger_rows")))
 
 
+@query(
+    "i3_fresh_checkpoint",
+    """SELECT CAST(sum(CASE WHEN event_id % 3 <> 2 THEN 1 ELSE 0 END) AS BIGINT) AS first_rows, count(*) AS bronze_rows,
+    CAST(sum(event_id) AS BIGINT) AS id_sum FROM events""",
+)
+def _(v: Views):
+    """Old and new manifests after a checkpoint was lost: batch numbers start again, no row is replaced."""
+    lake, folder, seen = v.lake().create_all(), v.scratch("manifests"), []
+    trips = v.trips.drop("source_year", "source_month").withColumn("congestion_surcharge", F.col("event_id").cast("double"))
+    for part in ("event_id % 3 <> 2", "event_id % 3 = 2"):
+        data = v.scratch("part")
+        trips.where(part).drop("event_id").coalesce(2).write.parquet(data)
+        drop_manifests(v, folder, landed_in(v, data))
+        drain(v, lake, folder, v.scratch("checkpoint"))
+        seen.append(lake.read(BRONZE).count())
+    found = lake.read(BRONZE).agg(F.count("*").alias("bronze_rows"), F.sum("congestion_surcharge").cast("long").alias("id_sum"))
+    return found.withColumn("first_rows", F.lit(seen[0]).cast("long"))
+
+
 @query(
     "i4_hourly_stream_counts",
     "SELECT CAST(user_id % 20 + 1 AS INT) AS pickup_location_id, date_trunc('hour', CASE WHEN k = 97 THEN ts - INTERVAL 31 DAY ELSE ts END) AS pickup_hour_ts, count(*) AS ride_count FROM x GROUP BY ALL",

@@ -99,7 +99,10 @@ INGESTION_LEDGER = TableSpec(
 )
 PUBLISH_LEDGER = TableSpec(
     "audit.silver_publish_ledger",
-    ddl("ingestion_run_id string, source_filename string, status string, verified_at timestamp"),
+    ddl(
+        "ingestion_run_id string, source_filename string, source_year int, source_month int, status string, "
+        "verified_at timestamp"
+    ),
 )
 COMMIT_LOG = TableSpec(
     "audit.commit_log",
@@ -108,7 +111,8 @@ COMMIT_LOG = TableSpec(
 BRONZE = TableSpec(
     "bronze.yellow_taxi_raw",
     _fields(RAW_TRIP, LINEAGE, "ingested_at_utc timestamp"),
-    partition_by=("source_year", "source_month", "ingestion_run_id"),
+    # by file too, so that replacing a slice never touches another file's rows
+    partition_by=("source_year", "source_month", "ingestion_run_id", "source_checksum"),
 )
 SILVER = TableSpec(
     "silver.yellow_taxi_trips",

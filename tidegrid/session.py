@@ -33,10 +33,12 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """Shared folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[app] = tempfile.TemporaryDirectory(prefix="tidegrid-")

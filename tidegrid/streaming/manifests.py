@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,25 +15,24 @@ from tidegrid.schemas import MANIFEST, TableSpec, ddl
 from tidegrid.sources.files import list_files
 from tidegrid.sources.manifest import parse_manifests
 
+BUCKETS = 32  # partitions of a keyed state table, fixed, by path
 REJECTED = TableSpec(
     "audit.rejected_manifests",
-    ddl("manifest_path string, manifest_text string, reject_reason string, batch_id long"),
-    partition_by=("batch_id",),
+    ddl("manifest_path string, manifest_text string, reject_reason string, bucket int"),
+    partition_by=("bucket",),
+    keys=("manifest_path",),
 )
-# One partition per batch: the set waiting after that batch. Only the newest one is current.
-PENDING = TableSpec(
-    "audit.pending_manifests",
+# One row per announced file version: waiting for its file, or handled.
+STATE = TableSpec(
+    "audit.manifest_state",
     ddl(
         "dataset string, source_filepath string, source_filename string, source_year int, source_month int, "
-        "file_size_bytes long, discovered_at_utc timestamp, batch_id long"
+        "file_size_bytes long, discovered_at_utc timestamp, manifest_id string, state string, bucket int"
     ),
-    partition_by=("batch_id",),
-)
-HANDLED = TableSpec(
-    "audit.handled_manifests",
-    ddl("source_filepath string, source_filename string, batch_id long"),
-    partition_by=("batch_id",),
+    partition_by=("bucket",),
+    keys=("source_filepath", "manifest_id"),
 )
+WAITING, HANDLED = "waiting", "handled"
 
 
 def manifest_stream(
@@ -66,54 +65,62 @@ def _existing(spark: SparkSession, manifests: DataFrame) -> DataFrame:
     return manifests.join(present, path_key(F.col("source_filepath")) == F.col("_key"), "left_semi")
 
 
-def waiting(lake: Lakehouse, before: int | None = None) -> DataFrame:
-    """The manifests still waiting for their file after the newest batch (or the newest before one)."""
-    pending = lake.read(PENDING)
-    if before is not None:
-        pending = pending.filter(F.col("batch_id") < before)
-    newest = pending.agg(F.max("batch_id")).first()[0]
-    return pending.filter(F.col("batch_id") == (-1 if newest is None else newest)).filter(
-        F.col("source_filepath").isNotNull()
-    )
+def _bucket(path: str) -> Column:
+    return F.pmod(F.hash(F.col(path)), F.lit(BUCKETS)).alias("bucket")
+
+
+def identified(manifests: DataFrame) -> DataFrame:
+    """Manifests with their identity: a second manifest of a known path, for corrected content, is
+    another one, while a replayed text is the same."""
+    whole = F.to_json(F.struct(*MANIFEST.names), {"ignoreNullFields": "false"})
+    return manifests.select(*MANIFEST.names, F.sha2(whole, 256).alias("manifest_id"))
+
+
+def waiting(lake: Lakehouse) -> DataFrame:
+    """The manifests still waiting for their file."""
+    return lake.read(STATE).filter(F.col("state") == WAITING)
+
+
+def _remember(lake: Lakehouse, manifests: DataFrame, state: str) -> None:
+    rows = manifests.select(*MANIFEST.names, "manifest_id", F.lit(state).alias("state"), _bucket("source_filepath"))
+    lake.upsert(STATE, rows, F.lit(0))
+
+
+def _ingest(lake: Lakehouse, ready: DataFrame, at: dt.datetime | None) -> Outcome:
+    """Ready files under a run id of their contents; known checksums are skipped there."""
+    files = ready.select(F.col("source_filepath").alias("path"), "source_filename", "source_year", "source_month").distinct()
+    return bronze_ingest(lake, files, None, utc(at))
 
 
 def handle_manifests(
-    lake: Lakehouse, texts: DataFrame, batch_id: int, dataset: str | None = None, at: dt.datetime | None = None
+    lake: Lakehouse, texts: DataFrame, dataset: str | None = None, at: dt.datetime | None = None
 ) -> Outcome | None:
-    """One micro-batch: reject bad manifests, ingest the files that are there, keep the rest pending.
+    """One micro-batch: reject bad manifests, ingest the files that are there, keep the rest waiting.
 
-    All three outputs are overwritten per batch id, and ingestion itself skips known checksums, so a
-    replayed batch leaves the same state.
+    State is keyed by path and manifest identity and doesn't know batch numbers, so a replayed batch and
+    a fresh checkpoint end in the same state.
     """
-    for spec in (REJECTED, PENDING, HANDLED):
+    for spec in (REJECTED, STATE):
         lake.create(spec)
     with lake.staged(parse_manifests(texts), "manifests") as parsed:
         bad = parsed.filter(F.col("reject_reason").isNotNull())
-        lake.replace_slices(REJECTED, bad.withColumn("batch_id", F.lit(batch_id)))
-        good = parsed.filter(F.col("reject_reason").isNull()).select(*MANIFEST.names)
+        if not bad.isEmpty():
+            lake.upsert(REJECTED, bad.withColumn("bucket", _bucket("manifest_path")), F.lit(0))
+        good = parsed.filter(F.col("reject_reason").isNull())
         if dataset:
             good = good.filter(F.col("dataset") == dataset)
-        handled = lake.read(HANDLED).filter(F.col("batch_id") < batch_id).select("source_filepath")
+        handled = lake.read(STATE).filter(F.col("state") == HANDLED).select("source_filepath", "manifest_id")
         candidates = (
-            good.unionByName(waiting(lake, batch_id).select(*MANIFEST.names))
-            .dropDuplicates(["source_filepath"])
-            .join(handled, "source_filepath", "left_anti")
+            identified(good).unionByName(waiting(lake).select(*MANIFEST.names, "manifest_id"))
+            .dropDuplicates(["source_filepath", "manifest_id"])
+            .join(handled, ["source_filepath", "manifest_id"], "left_anti")
         )
         with lake.staged(candidates, "candidates") as due, lake.staged(_existing(lake.spark, due), "ready") as ready:
-            still = due.join(ready.select("source_filepath"), "source_filepath", "left_anti")
-            # an all-null row marks "nothing waits", so the newest partition is always this batch
-            marker = lake.spark.createDataFrame([tuple([None] * len(MANIFEST))], MANIFEST)
-            waits = still.select(*MANIFEST.names).unionByName(marker)
-            lake.replace_slices(PENDING, waits.withColumn("batch_id", F.lit(batch_id)))
-            outcome = None
-            if not ready.isEmpty():
-                files = ready.select(
-                    F.col("source_filepath").alias("path"), "source_filename", "source_year", "source_month"
-                )
-                outcome = bronze_ingest(lake, files, f"stream-{batch_id:06d}", utc(at))
-            lake.replace_slices(
-                HANDLED, ready.select("source_filepath", "source_filename", F.lit(batch_id).alias("batch_id"))
-            )
+            outcome = None if ready.isEmpty() else _ingest(lake, ready, at)
+            still = due.join(ready.select("source_filepath", "manifest_id"), ["source_filepath", "manifest_id"], "left_anti")
+            for rows, state in ((still, WAITING), (ready, HANDLED)):
+                if not rows.isEmpty():
+                    _remember(lake, rows, state)
     return outcome
 
 
@@ -125,7 +132,7 @@ def ingest_stream(
     writer = (
         manifest_stream(lake.spark, folder, glob, files_per_batch)
         .writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: handle_manifests(lake, batch, batch_id, dataset))
+        .foreachBatch(lambda batch, _: handle_manifests(lake, batch, dataset))
     )
     writer = writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)
     return writer.start()
@@ -133,20 +140,10 @@ def ingest_stream(
 
 def retry_pending(lake: Lakehouse, at: dt.datetime | None = None) -> Outcome | None:
     """Look again for files of waiting manifests, without waiting for a new manifest to arrive."""
-    newest = lake.read(PENDING).agg(F.max("batch_id")).first()[0]
-    if newest is None:
-        return None
-    with lake.staged(waiting(lake).select(*MANIFEST.names), "retry") as due:
-        # `still` is written over the table `due` came from only after both have been read from staging
-        ready = _existing(lake.spark, due)
-        if ready.isEmpty():
-            return None
-        files = ready.select(
-            F.col("source_filepath").alias("path"), "source_filename", "source_year", "source_month"
-        )
-        outcome = bronze_ingest(lake, files, f"retry-{newest:06d}", utc(at))
-        lake.append(HANDLED, ready.select("source_filepath", "source_filename", F.lit(newest).alias("batch_id")))
-        still = due.join(ready.select("source_filepath"), "source_filepath", "left_anti")
-        marker = lake.spark.createDataFrame([tuple([None] * len(MANIFEST))], MANIFEST)
-        lake.replace_slices(PENDING, still.unionByName(marker).withColumn("batch_id", F.lit(newest)))
+    with lake.staged(waiting(lake).select(*MANIFEST.names, "manifest_id"), "retry") as due:
+        with lake.staged(_existing(lake.spark, due), "ready") as ready:
+            if ready.isEmpty():
+                return None
+            outcome = _ingest(lake, ready, at)
+            _remember(lake, ready, HANDLED)
     return outcome
