@@ -87,6 +87,17 @@ def test_quantiles_of_awkward_columns(spark):
     assert smooth == pytest.approx(list(np.quantile(wild, probs)), rel=1e-12)
 
 
+@pytest.mark.parametrize("values", [
+    [float("inf")] + [float(i) for i in range(600)], [float("-inf")] * 3 + [1.0, 2.0] + [float("inf")] * 3, [float("inf")] * 4,
+    [-1.7e308, 1.7e308, 0.0, 5e-324, float("nan"), float("inf")], [5e-324, 1e-323, 1.5e-323],
+])
+def test_quantiles_end_on_extreme_values(spark, values):
+    frame = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+    probs = [0.0, 0.25, 0.5, 0.9, 0.999, 1.0]
+    kept = sorted(v for v in values if v == v)
+    assert discrete_quantiles(frame, {"x": probs})["x"] == [_disc(kept, p) for p in probs]
+
+
 def test_quantiles_survive_a_wrong_bracket(spark, monkeypatch):
     frame = spark.range(1, 1001).select(F.col("id").cast("double").alias("x"))
     original = quantile._bracket

@@ -115,3 +115,24 @@ def test_bounded_export(spark):
     assert len(tables.bounded_rows(spark.range(5), 5)) == 5
     with pytest.raises(ValueError):
         tables.bounded_rows(spark.range(6), 5)
+
+
+def test_partition_lists_of_any_length(spark):
+    from tidegrid.operators.tables import _of_partitions
+
+    frame = spark.range(6000).selectExpr("cast(id as int) as day", "cast(id % 7 as string) as run", "id")
+    rows = frame.where("id % 6 <> 0").select("day", "run").collect()
+    assert len(rows) == 5000
+    got = _of_partitions(frame, ["day", "run"], rows)
+    assert got.count() == 5000 and got.where("id % 6 = 0").isEmpty()
+    assert _of_partitions(frame, ["day"], [{"day": 3}, {"day": None}]).count() == 1
+    assert _of_partitions(frame, ["day"], []).isEmpty()
+
+
+def test_equal_versions_have_one_winner(spark):
+    from tidegrid.operators.tables import newest_per_key
+
+    frame = spark.createDataFrame([(1, "b", 2), (1, "c", 2), (1, "z", 1), (2, None, 1)], "k int, name string, v int")
+    for parts in (1, 3, 4):
+        got = {r["k"]: r["name"] for r in newest_per_key(frame.repartition(parts), ["k"], F.col("v")).collect()}
+        assert got == {1: "c", 2: None}
