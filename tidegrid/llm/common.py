@@ -111,9 +111,8 @@ class Memo:
         self.young: dict = {}
         self.old: dict = {}
 
-    def of(self, wanted: Iterable[bytes]) -> dict:
+    def of(self, wanted: set) -> dict:
         """A mapping that has every one of ``wanted``."""
-        wanted = set(wanted)
         missing = wanted.difference(self.young)
         if len(self.young) + len(missing) > self.limit:
             self.young, self.old, missing = {}, self.young, wanted

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -254,15 +255,15 @@ class Predictor:
 
     def _rows_of(self, split: list[list[str]], n: int) -> np.ndarray:
         """The emission table's row of every word; the table starts afresh beyond ``TABLE_WORDS``."""
-        wanted = {w for ws in split for w in ws}
-        missing = [w for w in wanted if w not in self.place]
+        wanted = set().union(*split)
+        missing = list(wanted.difference(self.place.keys()))
         if len(self.place) + len(missing) > TABLE_WORDS:
             self.reset()
             missing = list(wanted)
         if missing:
             self.place.update(zip(missing, range(len(self.table), len(self.table) + len(missing)), strict=True))
             self.table = np.concatenate([self.table, self.model.emissions(missing)])
-        return np.fromiter((self.place[w] for ws in split for w in ws), np.int64, n)
+        return np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, n)
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         split = [LETTERS.findall(t.lower()) if t else [] for t in texts]

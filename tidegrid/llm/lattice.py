@@ -62,6 +62,8 @@ class Lattice:
     layers: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
+    #: where each edge stands when all are sorted by end, longest first
+    order: np.ndarray
 
     def groups(self, layer: int) -> tuple[slice, np.ndarray]:
         """The edges of a layer, and where each end's edges begin in it."""
@@ -82,9 +84,14 @@ def build(words: list[str], machine: ahocorasick.Automaton, lengths: np.ndarray,
         points = np.frombuffer(layout.encode("utf-32-le"), np.uint32)
         unknown = np.flatnonzero(np.isin(points, extra[0]))
         head, piece = np.concatenate([head, unknown + 1]), np.concatenate([piece, np.full(len(unknown), extra[1])])
-    tail = head - lengths[piece]
-    into = head - starts[np.searchsorted(starts, head, "left") - 1]
-    order = np.lexsort((tail, head, into))
-    tail, head, piece, into = tail[order], head[order], piece[order], into[order]
+        order = np.argsort(head, kind="stable")
+        head, piece = head[order], piece[order]
+    # the automaton tells hits by their end, longest first, which a stable sort by distance keeps
+    sizes_at = np.repeat(starts, sizes + 1)[np.minimum(head, len(layout) - 1)] if len(head) else head
+    into = head - sizes_at
     deepest = int(sizes.max(initial=0))
-    return Lattice(tail, head, piece, np.searchsorted(into, np.arange(1, deepest + 2)), starts, ends)
+    order = np.argsort(into.astype(np.int16) if deepest < 1 << 15 else into, kind="stable")
+    by_layer = into[order]
+    return Lattice(
+        (head - lengths[piece])[order], head[order], piece[order], np.searchsorted(by_layer, np.arange(1, deepest + 2)), starts, ends, order
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from tidegrid.llm.lattice import GAP, SPACE, Vocabulary, automaton, build
 SLICE_BYTES = 4 << 20
 #: Below the least score, as the tokenizer has it.
 UNKNOWN_PENALTY = 10.0
+FIRST, SECOND = itemgetter(0), itemgetter(1)
 
 
 class Counter:
@@ -75,7 +77,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
 
         def learn(words: list[str]) -> Iterator[tuple[int, float]]:
             # GAP lays words out, so a word with that character is counted under a stand-in no piece has
-            counts, scores = counter([w.replace(GAP, "\x00") for w in words])
+            counts, scores = counter([SPACE + w.replace(GAP, "\x00") for w in words])
             return zip(counts.tolist(), scores.tolist(), strict=True)
 
         memo = Memo(learn, 300_000)
@@ -83,12 +85,12 @@ def count_tokens(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
             for a, b in text_slices(batch, 1, SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 split = [(SPACE + t.replace(" ", SPACE)[t.startswith((" ", SPACE)) :]).split(SPACE)[1:] if t else [] for t in part.column(1).to_pylist()]
-                known = memo.of(SPACE + w for ws in split for w in ws)
-                found = [[known[SPACE + w] for w in ws] for ws in split]
+                known = memo.of(set().union(*split))
+                found = [list(map(known.__getitem__, ws)) for ws in split]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), pa.array([len(ws) for ws in split], pa.int64()), pa.array([sum(c for c, _ in f) for f in found], pa.int64()),
-                        pa.array([sum(s for _, s in f) for f in found], pa.float64()),
+                        part.column(0), pa.array([len(ws) for ws in split], pa.int64()), pa.array([int(sum(map(FIRST, f))) for f in found], pa.int64()),
+                        pa.array([float(sum(map(SECOND, f))) for f in found], pa.float64()),
                     ],
                     names=["key", "n_words", "n_tokens", "score"],
                 )

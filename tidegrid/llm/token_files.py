@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,19 +67,20 @@ class Encoder:
     def __init__(self, path: str, width: int):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kind = Tokenizer.from_file(path), np.dtype(f"<u{width}")
-        self.memo = Memo(self._learn, 500_000)
-        self.parts = Memo(self._encode, 500_000)
+        self.tokenizer, self.kind, self.code = Tokenizer.from_file(path), np.dtype(f"<u{width}"), {2: "H", 4: "I"}[width]
+        self.memo = Memo(self._learn, 600_000)
+        self.parts = Memo(self._encode, 600_000)
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         out: list[bytes] = [b""] * len(words)
         rest = []
         model, normalizer = self.tokenizer.model, self.tokenizer.normalizer
         for i, w in enumerate(words):
-            plain = w.decode()
-            letters = plain if w.isalpha() and w.islower() else normalizer.normalize_str(plain) if plain.isalpha() else ""
-            if letters.isalpha():
-                out[i] = np.array([t.id for t in model.tokenize(letters.encode().decode("latin-1").translate(BYTE_SIGNS))], self.kind).tobytes()
+            letters = w.decode()
+            if not (w.isalpha() and w.islower()):
+                letters = normalizer.normalize_str(letters).encode().decode("latin-1").translate(BYTE_SIGNS) if letters.isalpha() else ""
+            if letters:
+                out[i] = array(self.code, [t.id for t in model.tokenize(letters)]).tobytes()
             else:
                 rest.append(i)
         if rest:
@@ -101,12 +103,12 @@ class Encoder:
 
     def _learn(self, words: list[bytes]) -> list[bytes]:
         split = [self._split(w) for w in words]
-        known = self.parts.of(p for pair in split for p in pair if p)
+        known = self.parts.of({p for pair in split for p in pair if p})
         return [known[a] + (known[b] if b else b"") for a, b in split]
 
     def ids(self, texts: list[bytes], end: bytes) -> list[bytes]:
-        split = [t.split() for t in texts]
-        known = self.memo.of(w for ws in split for w in ws)
+        split = [t.split() if b"<|" in t else t.lower().split() for t in texts]
+        known = self.memo.of(set().union(*split))
         return [b"".join(map(known.__getitem__, ws)) + end for ws in split]
 
 
