@@ -94,6 +94,13 @@ def test_settlement_is_one_equi_join(spark, lake):
     assert "IsNull(actual_class)" in text
 
 
+def test_report_is_one_shuffle_above_its_input(views):
+    rows = views.spark.createDataFrame(views.pred.limit(50).collect(), views.pred.schema)
+    text = plan(report.penalty_report(rows, 7))
+    assert len(re.findall(r"^\(\d+\) Exchange$", text, flags=re.M)) == 1
+    assert "Join" not in text
+
+
 def test_report_and_grid(views):
     assert "CartesianProduct" not in plan(report.penalty_report(views.pred, 7))
     assert "BroadcastNestedLoopJoin" in plan(grid.zone_hour_grid(

@@ -113,13 +113,23 @@ def cumulative_costs(pred: DataFrame, zone: str = "pickup_location_id", ts: str
 
 def net_savings(pred: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Total costs, savings against the baseline, their percentage and a verdict, per group or overall."""
-    model, base = F.col("model_cost"), F.col("baseline_cost")
+    return with_savings(pred.groupBy(*(by or [])).agg(*(total.alias(name) for name, total in cost_totals().items())))
+
+
+def cost_totals() -> dict[str, Column]:
+    """Settled rows and total costs, as aggregates that also serve as window functions."""
     both = F.col("model_penalty").isNotNull() & F.col("baseline_penalty").isNotNull()
-    totals = pred.groupBy(*(by or [])).agg(
-        F.count_if(both).alias("settled"),
-        F.coalesce(F.sum(F.when(both, F.col("model_penalty"))), F.lit(0.0)).alias("model_cost"),
-        F.coalesce(F.sum(F.when(both, F.col("baseline_penalty"))), F.lit(0.0)).alias("baseline_cost"),
-    )
+    return {
+        "settled": F.count(F.when(both, F.lit(1))),
+        "model_cost": F.sum(F.when(both, F.col("model_penalty")).otherwise(F.lit(0.0))),
+        "baseline_cost": F.sum(F.when(both, F.col("baseline_penalty")).otherwise(F.lit(0.0))),
+    }
+
+
+def with_savings(totals: DataFrame) -> DataFrame:
+    """Savings, their percentage and the verdict next to total costs (null: none)."""
+    totals = totals.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("model_cost", "baseline_cost")})
+    model, base = F.col("model_cost"), F.col("baseline_cost")
     percent = F.col("savings_percent")
     verdict = (
         F.when(F.col("settled") == 0, "awaiting_settlement")

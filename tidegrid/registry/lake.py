@@ -648,6 +648,41 @@ def _(v: Views):
     return report.audit_findings(gold_lake(v))
 
 
+@query(
+    "l11_expected_cells",
+    "SELECT '2024-01' AS year_month, count(*) AS observation_count, CAST(31 * 24 * 19 AS BIGINT) AS expected_count, CAST(31 * 24 * 19 AS BIGINT) - count(*) AS missing_count FROM dense",
+    after="dense",
+)
+def _(v: Views):
+    """Cells of the dense grid found in the lake against those that a full month has."""
+    return report.platform_audit(gold_lake(v))["coverage"]
+
+
+@query(
+    "l11_published_runs",
+    """SELECT 'silver.yellow_taxi_trips' AS table_name, 'run-1' AS ingestion_run_id, count(*) AS row_count FROM clean
+    UNION ALL SELECT 'quarantine.yellow_taxi_trips', 'run-1', count(*) FROM flagged WHERE NOT is_valid""",
+    after="clean",
+)
+def _(v: Views):
+    return report.platform_audit(gold_lake(v))["published"]
+
+
+@query(
+    "l11_commit_history",
+    """SELECT 'bronze.yellow_taxi_raw' AS table_name, 'append' AS operation, count(*) AS row_count FROM trips
+    UNION ALL SELECT 'silver.yellow_taxi_trips', 'publish', count(*) FROM clean
+    UNION ALL SELECT 'quarantine.yellow_taxi_trips', 'publish', count(*) FROM flagged WHERE NOT is_valid""",
+    after="clean",
+)
+def _(v: Views):
+    """What one ingested and published run leaves in the commit log."""
+    lake = v.lake().create_all()
+    medallion.bronze_ingest(lake, landed(v), RUN, AT)
+    medallion.silver_wap(lake, RUN, "trips_2024-01.parquet", YEAR, MONTH, at=AT)
+    return report.platform_audit(lake)["history"].select("table_name", "operation", "row_count")
+
+
 @query(
     "l12_rebuild_idempotency",
     "SELECT count(*) AS rows_before, count(*) AS rows_after, true AS same_content FROM hourly",
