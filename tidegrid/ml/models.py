@@ -90,7 +90,7 @@ def _logistic(params: dict, rows: int) -> LogisticRegression:
 def _forest(params: dict) -> RandomForestClassifier:
     return RandomForestClassifier(
         featuresCol="assembled", labelCol=LABEL, weightCol="_weight", seed=SEED,
-        numTrees=int(params.get("n_estimators", 100)), maxDepth=int(params.get("max_depth", 20)),
+        numTrees=int(params.get("n_estimators", 100)), maxDepth=min(30, int(params.get("max_depth", 30))),  # 30 is the library's maximum
         minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
     )
 
