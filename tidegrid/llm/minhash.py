@@ -15,13 +15,13 @@ from tidegrid.llm.graph import components
 
 SHINGLE = 5
 #: A signature has CHUNKS x CHUNK values; within a chunk one error is allowed. By the pigeonhole
-#: principle two signatures that differ in at most 2 * CHUNKS - 1 = 19 of 40 values have a chunk with
+#: principle two signatures that differ in at most 2 * CHUNKS - 1 = 23 of 60 values have a chunk with
 #: at most one error, so they share a key that leaves the erring position out. At a similarity of 0.75
-#: a chunk fails with probability 0.26, all ten with 1.5e-6.
-CHUNKS, CHUNK = 10, 4
+#: a chunk fails with probability 0.37, all twelve with 6e-6; at 0.1 a pair meets with 0.5 %.
+CHUNKS, CHUNK = 12, 5
 VALUES = CHUNKS * CHUNK
-#: Candidates that differ in more values are not confirmed: at 0.75 that has probability 1e-8.
-FAR = 26
+#: Members of a candidate group that are compared with as many others in one task.
+BLOCK = 512
 SLICE_BYTES = 4 << 20
 
 _MULTIPLY, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD)
@@ -41,7 +41,7 @@ def shingle_sets(texts: list[bytes], memo: Memo) -> list[np.ndarray]:
     """Per text the sorted distinct 64-bit hashes of its 5-word shingles (A-Z in lower case). With fewer
     words, the whole sequence is one shingle; without words, the set is empty."""
     split = [t.lower().split() for t in texts]
-    known = memo.of(w for ws in split for w in ws)
+    known = memo.of(set().union(*split))
     out = []
     for ws in split:
         n = len(ws)
@@ -124,27 +124,80 @@ def _keys(signature: Column) -> Column:
     return F.array(*keys)
 
 
-def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b, distance) of the pairs whose set sizes and signatures allow the similarity."""
-    left, right = (
-        classes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("signature").alias(f"s_{x}")) for x in "ab"
-    )
-    differ = F.size(F.filter(F.zip_with("s_a", "s_b", lambda x, y: x != y), lambda d: d))
-    fits = F.lit(100) * F.least("n_a", "n_b") >= F.lit(75) * F.greatest("n_a", "n_b")
-    return pairs.join(left, "a").join(right, "b").where(fits).select("a", "b", differ.alias("distance")).where(F.col("distance") <= FAR)
+def _sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, shingles) of ``nodes``; only their texts are shingled again. A node that stands for several
+    texts (repeated ids) has several rows, and is linked if any of them is."""
+    texts = docs.join(nodes.distinct(), docs["doc_id"] == F.col("node"), "left_semi").select(F.col("doc_id").alias("node"), "text")
+    return checkpoint(with_sets(texts))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough; only the texts of nodes in pairs are
-    shingled again. A node that stands for several texts (repeated ids) is linked if any of them is."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.join(nodes, docs["doc_id"] == nodes["node"], "left_semi").select(F.col("doc_id").alias("node"), "text")
-    sets = checkpoint(with_sets(texts))
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar enough."""
     a, b = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s_{x}")) for x in "ab")
     shared = F.size(F.array_intersect("s_a", "s_b"))
     union = F.size("s_a") + F.size("s_b") - shared
-    linked = F.lit(100) * shared >= F.lit(75) * union
-    return pairs.select("a", "b").join(a, "a").join(b, "b").where(linked).select("a", "b").distinct()
+    return pairs.join(a, "a").join(b, "b").where(F.lit(100) * shared >= F.lit(75) * union).select("a", "b").distinct()
+
+
+def _compare_blocks(table: pa.Table) -> pa.Table:
+    """Links (a, b) between components, from the full sets of one block of members (``left``) and another:
+    inverted lists of the right block give all overlaps of a set at once. Only links that join
+    components not yet joined in this block are told, so a dense group doesn't give all its pairs."""
+    left = np.array(table.column("left"), bool)
+    nodes, labels = np.array(table.column("node")), np.array(table.column("label"))
+    values = table.column("shingles").combine_chunks()
+    flat, ends = np.asarray(values.values), np.asarray(values.offsets)
+    right = np.flatnonzero(~left)
+    sizes = np.diff(ends)
+    owner = np.repeat(np.arange(len(right)), sizes[right])
+    posted = np.concatenate([flat[ends[r] : ends[r + 1]] for r in right]) if len(right) else flat[:0]
+    order = np.argsort(posted, kind="stable")
+    posted, owner = posted[order], owner[order]
+    root = {int(x): int(x) for x in labels}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    a, b = [], []
+    for i in np.flatnonzero(left):
+        mine = flat[ends[i] : ends[i + 1]]
+        lo, hi = np.searchsorted(posted, mine, "left"), np.searchsorted(posted, mine, "right")
+        n = hi - lo
+        at = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        shared = np.bincount(owner[at], minlength=len(right))
+        for j in right[100 * shared >= 75 * (len(mine) + sizes[right] - shared)]:
+            x, y = find(int(labels[i])), find(int(labels[j]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                a.append(int(labels[i]))
+                b.append(int(labels[j]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _between_components(stars: DataFrame, first: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between first components (named by their roots) within groups of classes that keys
+    connect. In a group with several components, every class outside the largest one meets every class
+    of the group, block by block, so pairs inside the largest component are never compared."""
+    joined = components(stars)
+    ends = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
+    members = (
+        ends.join(joined.withColumnRenamed("root", "group"), "node", "left").join(first.withColumnRenamed("root", "label"), "node", "left")
+        .select("node", F.coalesce("group", "node").alias("group"), F.coalesce("label", "node").alias("label"))
+    )
+    members = checkpoint(members)
+    per_label = members.groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"))
+    groups = (
+        per_label.groupBy("group").agg(F.count(F.lit(1)).alias("labels"), F.sum("n").alias("n"), F.max_by("label", F.struct("n", "label")).alias("main"))
+        .where("labels > 1").select("group", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    )
+    held = members.join(groups, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).join(sets, "node")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    left = held.where("label <> main").select("group", F.col("block").alias("x"), F.explode(every).alias("y"), F.lit(True).alias("left"), "node", "label", "shingles")
+    right = held.select("group", F.explode(every).alias("x"), F.col("block").alias("y"), F.lit(False).alias("left"), "node", "label", "shingles")
+    return left.unionByName(right).groupBy("group", "x", "y").applyInArrow(_compare_blocks, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -154,11 +207,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     1. Rows with equal sets form a class, named by its least id (a combining aggregate, so copies cost
        no pairs). Empty texts form no class and are their own component.
     2. A class emits one key for every chunk and allowed error. Of each key with several classes, the
-       least is the hub; a class is compared with its nearest hub, and confirmed links give first
-       components. A group of near copies so costs one comparison a member, not all pairs.
-    3. Keys that still hold several components give the rest: every class outside the key's largest
-       component with every class of other components. After that each pair that shares a key lies in
-       one component or was compared in full.
+       least is the hub; a class is compared with the hub it shares most keys with, and confirmed links
+       give first components. A group of near copies so costs one comparison a member, not all pairs.
+    3. Groups of classes that keys connect and that still hold several components give the rest: their
+       full sets are compared in blocks, all but pairs inside the group's largest component. So
+       each pair that shares a key lies in one component or was compared in full.
 
     A row without an id is in no component and kept. Repeated rows get equal results. Rows that share an
     id but not the text follow the class of their own text. An empty table gives no rows.
@@ -166,40 +219,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     plain = pick(docs, key, text).toDF("doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = checkpoint(with_signatures(plain))
     classes = checkpoint(
-        rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest")
-        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+        rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
     )
     keyed = classes.select("node", F.explode(_keys(F.col("signature"))).alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1").select("key", "hub")
-    members = checkpoint(keyed.join(shared, "key"))
-    stars = members.where("node <> hub").groupBy(F.col("node").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("n")).select("a", "b")
-    best = _near(stars, classes).groupBy("a").agg(F.min(F.struct("distance", "b")).alias("at")).select("a", F.col("at.b").alias("b"))
-    tried = checkpoint(best)
-    first = checkpoint(components(_confirm(tried, plain)))
-
-    labelled = members.select("key", "node").join(first, "node", "left").select("key", "node", F.coalesce("root", "node").alias("label"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("key")
-    left = checkpoint(labelled.join(mixed, "key", "left_semi"))
-    main = (
-        left.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
-        .agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    )
-    sides = left.join(main, "key")
-    few = sides.where("label <> main").select("key", F.col("node").alias("x"), F.col("label").alias("x_label"), "main")
-    all_ = sides.select("key", F.col("node").alias("y"), F.col("label").alias("y_label"))
-    across = (
-        few.join(all_, "key").where("x_label <> y_label and (y_label = main or x > y)")
-        .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-    )
-    more = checkpoint(_near(across, classes).select("a", "b").join(tried, ["a", "b"], "left_anti"))
-    late = _confirm(more, plain)
-    # links between first components, contracted once more
-    roots = first.select(F.col("node"), F.col("root"))
-    bridged = (
-        late.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left")
-        .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a <> b")
+    stars = checkpoint(
+        keyed.join(shared, "key").where("node <> hub").groupBy(F.col("node").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     )
-    second = components(bridged)
+    sets = _sets_of(stars.select(F.explode(F.array("a", "b")).alias("node")), plain)
+    nearest = stars.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
+    first = components(_linked(nearest, sets))
+    second = components(_between_components(stars.select("a", "b"), first, sets))
     named = (
         classes.select("digest", "node").join(first, "node", "left").select("digest", F.coalesce("root", "node").alias("node"))
         .join(second, "node", "left").select("digest", F.coalesce("root", "node").alias("component"))
