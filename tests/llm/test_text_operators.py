@@ -119,7 +119,7 @@ def test_chat_escapes_and_parts(spark):
 
 
 def brute_digests(text):
-    return set(re.findall(r"[^\n]{1,256}", text or ""))
+    return set(re.findall(r"[^\n]{1,512}", text or ""))
 
 
 def test_fingerprints(odd_docs, no_docs, small_docs):

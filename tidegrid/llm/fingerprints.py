@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from tidegrid.llm.common import let, pick
 
 #: Lines are paragraphs; longer ones are cut after so many code points.
-PARAGRAPH = "[^\\n]{1,256}"
+PARAGRAPH = "[^\\n]{1,512}"
 #: Cells of the fingerprint itself, and what a retry takes per paragraph of both texts together.
 CELLS, RETRIES = 48, (2.0, 4.0)
 HASHES = 3
@@ -56,7 +56,13 @@ def _gathered(entries: Column) -> Column:
 
     none = F.struct(F.lit(-1).alias("cell"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("id"), F.lit(0).alias("check"))
     start = F.struct(F.array().cast(f"array<{CELL}>").alias("done"), none.alias("open"))
-    folded = F.aggregate(F.array_sort(entries), start, step, lambda s: F.concat(s["done"], F.array(s["open"])))
+
+    def ordered(e: Column) -> Column:
+        # plain numbers sort much faster than structs: the cell, and below it the entry's place
+        places = F.sort_array(F.transform(e, lambda x, i: F.shiftleft(x["cell"].cast("long"), 32) + i))
+        return F.transform(places, lambda k: F.get(e, k.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")))
+
+    folded = F.aggregate(let(entries, ordered), start, step, lambda s: F.concat(s["done"], F.array(s["open"])))
     return F.filter(folded, lambda c: (c["n"] != 0) | (c["id"] != 0) | (c["check"] != 0))
 
 
@@ -70,9 +76,18 @@ def _entries(items: Column, cells: Column) -> Column:
     return F.flatten(F.transform(items, placed))
 
 
+def _items(digests: Column, sign: int) -> Column:
+    return F.transform(digests, lambda d: F.struct(d.alias("id"), _check(d).alias("check"), F.lit(sign).alias("sign")))
+
+
 def sketch(digests: Column, cells: Column) -> Column:
     """array<CELL>: of the cells that digests hash to, how many do, and the xor of them and of their checks."""
-    return _gathered(_entries(F.transform(digests, lambda d: F.struct(d.alias("id"), _check(d).alias("check"), F.lit(1).alias("sign"))), cells))
+    return _gathered(_entries(_items(digests, 1), cells))
+
+
+def difference(a: Column, b: Column, cells: Column) -> Column:
+    """What ``subtract`` makes of the sketches of two digest sets, in one go: sketches are linear."""
+    return _gathered(_entries(F.concat(_items(a, 1), _items(b, -1)), cells))
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -81,7 +96,7 @@ def subtract(a: Column, b: Column) -> Column:
     return _gathered(F.concat(a, minus))
 
 
-def peel(difference: Column, cells: Column) -> Column:
+def peel(left: Column, cells: Column) -> Column:
     """array<struct<id, check, sign>> of the digests in which two sketches differ (sign 1: only in the
     first), or null if it can't be told from so few cells. A cell with one digest left (count 1 or -1, fitting
     check) gives it away; taking those digests out of their other cells frees more, round by round."""
@@ -106,7 +121,7 @@ def peel(difference: Column, cells: Column) -> Column:
         ).otherwise(state)
 
     nothing = F.array().cast("array<struct<id:bigint,check:int,sign:int>>")
-    start = F.struct(difference.alias("cells"), nothing.alias("found"), F.lit(True).alias("more"))
+    start = F.struct(left.alias("cells"), nothing.alias("found"), F.lit(True).alias("more"))
     rounds = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, again)
     return let(rounds, lambda s: F.when(F.size(s["cells"]) == 0, s["found"]))
 
@@ -115,11 +130,12 @@ def differing(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Colum
     """How many digests two texts differ in: first from the fingerprints' cells, then from larger
     sketches of both, sized by the number of paragraphs. Should even the largest not peel, which
     takes digests that collide in all cells, the digest sets are compared."""
-    small = F.size(peel(subtract(sketch_a, sketch_b), F.lit(CELLS)))
+    # with nearly every cell taken there is hardly a lone digest to begin with
+    small = let(subtract(sketch_a, sketch_b), lambda d: F.when(F.size(d) <= int(0.9 * CELLS), F.size(peel(d, F.lit(CELLS)))))
 
     def attempt(factor: float) -> Column:
         cells = (F.ceil((F.size(a) + F.size(b)) * F.lit(factor / HASHES)) + 8).cast("int") * HASHES
-        return let(cells, lambda m: F.size(peel(subtract(sketch(a, m), sketch(b, m)), m)))
+        return let(cells, lambda m: F.size(peel(difference(a, b, m), m)))
 
     known = lambda n: F.when(n >= 0, n)  # noqa: E731  size of null is -1 or null
     exact = F.size(F.array_except(a, b)) + F.size(F.array_except(b, a))
@@ -147,8 +163,8 @@ def fingerprint(cells: Column) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) with ``next``: the digests and text of the document next in descending doc_id, the
-    first one's for the last. Equal ids follow one another by hash of the text; rows without id come last.
+    """(doc_id, text) with digests, sketch and ``next``: text, digests and sketch of the document next in
+    descending doc_id, the first one's for the last. Equal ids follow one another by hash of the text; rows without id come last.
 
     Ids are cut into blocks by value, about ``BLOCK_ROWS`` rows each, and a window runs in each block; a
     copy of the next lower block's head closes it. Heads are at most ``MOST_BLOCKS`` ids.
@@ -166,12 +182,12 @@ def with_next(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), block.alias("block"))
     ids = rows.alias("r").join(F.broadcast(closes).alias("h"), F.col("r.block").eqNullSafe(F.col("h.block")) & F.col("r.doc_id").eqNullSafe(F.col("h.head")))
     closing = ids.select(F.col("r.doc_id"), F.col("r.text"), F.col("h.closes").alias("block"), F.lit(True).alias("closing"))
-    # every row carries its digests, so the neighbour's needn't be made again
+    # every row carries its digests and sketch, so the neighbour's needn't be made again
     every = rows.withColumn("closing", F.lit(False)).unionByName(closing)
-    made = every.withColumn("own", paragraph_digests(F.col("text")))
+    made = every.withColumn("own", paragraph_digests(F.col("text"))).withColumn("cells", sketch(F.col("own"), F.lit(CELLS)))
     order = Window.partitionBy("block").orderBy("closing", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
-    led = made.withColumn("next", F.lead(F.struct("text", "own")).over(order))
-    return led.where(~F.col("closing")).select("doc_id", "text", "own", F.col("next.text").alias("next_text"), F.col("next.own").alias("next_own"))
+    led = made.withColumn("next", F.lead(F.struct("text", "own", "cells")).over(order))
+    return led.where(~F.col("closing")).select("doc_id", "text", "own", "cells", "next")
 
 
 def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -184,21 +200,20 @@ def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text")
     """
     plain = pick(docs, key, text).toDF("doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     half = F.floor(F.length("text") / F.lit(2)).cast("int")
-    edited = F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr("next_text", F.lit(1), half))
-    rows = with_next(plain).select("doc_id", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"), "own", "next_own")
+    edited = F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr(F.col("next.text"), F.lit(1), half))
+    rows = with_next(plain).select("doc_id", F.length("text").cast("long").alias("n_chars"), edited.alias("edited"), "own", "cells", "next.own", "next.cells")
+    rows = rows.toDF("doc_id", "n_chars", "edited", "own", "cells", "next_own", "next_cells")
 
     def compared(r: Column) -> Column:
-        sketches = F.struct(*(sketch(r[x], F.lit(CELLS)).alias(x) for x in ("own", "edited", "next")))
-
-        def result(s: Column) -> Column:
+        def result(changed: Column) -> Column:
             return F.struct(
-                fingerprint(s["own"]).alias("fingerprint"), fingerprint(s["edited"]).alias("edited_fingerprint"),
-                likeness(r["own"], r["edited"], s["own"], s["edited"]).alias("near_edited"),
-                likeness(r["own"], r["next"], s["own"], s["next"]).alias("near_next"),
+                fingerprint(r["cells"]).alias("fingerprint"), fingerprint(changed).alias("edited_fingerprint"),
+                likeness(r["own"], r["edited"], r["cells"], changed).alias("near_edited"),
+                likeness(r["own"], r["next"], r["cells"], r["next_cells"]).alias("near_next"),
             )
 
-        return let(sketches, result)
+        return let(sketch(r["edited"], F.lit(CELLS)), result)
 
-    digests = F.struct(F.col("own").alias("own"), paragraph_digests(F.col("edited")).alias("edited"), F.col("next_own").alias("next"))
+    digests = F.struct("own", "cells", paragraph_digests(F.col("edited")).alias("edited"), F.col("next_own").alias("next"), "next_cells")
     out = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), let(digests, compared).alias("r"))
     return out.select(F.col("doc_id").alias(key), "n_chars", "edited_sha256", "r.fingerprint", "r.edited_fingerprint", "r.near_edited", "r.near_next")
