@@ -59,8 +59,8 @@ class Encoder:
 
     The tokenizer drops white space and never joins text across it, so a text's ids are those of its
     ASCII-white-space-separated words; words are looked up in a bounded memo. New words go through the
-    tokenizers library, in one call; a word of letters only is one pre-token, so after normalizing it
-    the model is asked directly. A word with trailing punctuation is its stem's ids and the punctuation's, as letters
+    tokenizers library, in one call; a word that is letters only after normalizing is one pre-token, so the
+    model is asked directly. A word with trailing punctuation is its stem's ids and the punctuation's, as letters
     and digits never join with what follows them there.
     """
 
@@ -78,7 +78,8 @@ class Encoder:
         for i, w in enumerate(words):
             letters = w.decode()
             if not (w.isalpha() and w.islower()):
-                letters = normalizer.normalize_str(letters).encode().decode("latin-1").translate(BYTE_SIGNS) if letters.isalpha() else ""
+                letters = normalizer.normalize_str(letters) if letters.isalpha() else ""
+                letters = letters.encode().decode("latin-1").translate(BYTE_SIGNS) if letters.isalpha() else ""
             if letters:
                 out[i] = array(self.code, [t.id for t in model.tokenize(letters)]).tobytes()
             else:
