@@ -1,11 +1,10 @@
-"""Model fitting, search, persistence and scoring on the derived area frames.
-
-The searches here run few trials over narrow ranges; the library defaults are the full ones.
-"""
+"""Model fitting, search, persistence and scoring on the derived area frames, at the library's defaults."""
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -23,17 +22,6 @@ from tidegrid.registry.relational import HOUR, ZONE
 from tidegrid.registry.views import MONTH, YEAR, Views
 from tidegrid.schemas import EXPERIMENTS, FEATURES, OBSERVATIONS, PREDICTIONS
 
-LIGHT = {
-    models.LOGISTIC: {"max_iter": 15},
-    models.FOREST: {"n_estimators": 10, "max_depth": 5},
-    models.BOOSTED: {"n_estimators": 5, "max_depth": 3},
-}
-LIGHT_SPACES = {
-    models.LOGISTIC: {"C": ("log", 1e-2, 10.0), "class_weight": ("choice", [None, "balanced"])},
-    models.FOREST: {"max_depth": ("int", 3, 7, 1), "min_samples_leaf": ("int", 1, 5, 1)},
-    models.BOOSTED: {"learning_rate": ("log", 0.05, 0.2), "min_child_samples": ("int", 10, 30, 5)},
-}
-
 
 def labelled(v: Views) -> DataFrame:
     """Labelled frames as a written table, since a fit passes over them many times."""
@@ -50,9 +38,9 @@ def _split(frames: DataFrame, name: str) -> DataFrame:
     return frames.filter(F.col("split") == name)
 
 
-def _fitted_predictions(v: Views, family: str, params: dict | None = None) -> DataFrame:
+def _fitted_predictions(v: Views, family: str) -> DataFrame:
     frames = labelled(v)
-    model = models.fit(family, LIGHT[family] if params is None else params, _split(frames, "train"))
+    model = models.fit(family, {}, _split(frames, "train"))
     predicted = model.predict(models.as_model_input(_split(frames, "val")))
     return predicted.select(ZONE, HOUR, "demand_class", *models.PROBABILITIES, "predicted_class")
 
@@ -89,17 +77,16 @@ _DECISIONS = "SELECT pickup_location_id, pickup_hour_ts, actual_class AS demand_
 
 @query("k3_logistic_regression", _DECISIONS, after="graded")
 def _(v: Views):
-    return _decisions(_fitted_predictions(v, models.LOGISTIC, {}))
+    return _decisions(_fitted_predictions(v, models.LOGISTIC))
 
 
 @query("k4_random_forest", _DECISIONS, after="graded")
 def _(v: Views):
-    return _decisions(_fitted_predictions(v, models.FOREST, {}))
+    return _decisions(_fitted_predictions(v, models.FOREST))
 
 
 @query("k5_boosted_trees", _DECISIONS, after="graded")
 def _(v: Views):
-    """Few rounds here; the library's default is 100."""
     return _decisions(_fitted_predictions(v, models.BOOSTED))
 
 
@@ -118,25 +105,26 @@ def _(v: Views):
 
 @query("k7_parameter_search")
 def _(v: Views):
-    """Validation penalty of every seeded draw of one family, cheapest first."""
+    """Each family tuned by twenty seeded draws; validation scores and parameters of the best draw."""
     frames = labelled(v)
-    best = experiments.tune(
-        models.LOGISTIC, _split(frames, "train"), _split(frames, "val"), 2, LIGHT_SPACES[models.LOGISTIC],
-        base=LIGHT[models.LOGISTIC],
-    )
-    model = models.fit(models.LOGISTIC, best, _split(frames, "train"))
-    predicted = model.predict(models.as_model_input(_split(frames, "val")))
-    return evaluation.classification_scores(predicted, "demand_class", "predicted_class").withColumns(
-        {"C": F.lit(best["C"]), "class_weight": F.lit(best["class_weight"])}
-    )
+    train, validation = _split(frames, "train"), _split(frames, "val")
+
+    def tuned(family: str) -> DataFrame:
+        best = experiments.tune(family, train, validation)
+        predicted = models.fit(family, best, train).predict(models.as_model_input(validation))
+        return evaluation.classification_scores(predicted, "demand_class", "predicted_class").withColumns(
+            {
+                "model_family": F.lit(family), "params": F.lit(json.dumps(best, sort_keys=True)),
+                "C": F.lit(best.get("C")).cast("double"), "class_weight": F.lit(best["class_weight"]).cast("string"),
+            }
+        )
+
+    return reduce(DataFrame.unionByName, map(tuned, models.FAMILIES))
 
 
 def _run_matrix(v: Views) -> tuple[DataFrame, list[experiments.Experiment]]:
     frames = labelled(v)
-    results = experiments.run_experiments(
-        _split(frames, "train"), _split(frames, "val"), 2, AT, LIGHT_SPACES, LIGHT
-    )
-    return frames, results
+    return frames, experiments.run_experiments(_split(frames, "train"), _split(frames, "val"), started=AT)
 
 
 @query("k8_experiment_matrix")
@@ -151,20 +139,16 @@ def _(v: Views):
 
 @query("f6_champion_choice")
 def _(v: Views):
-    """The two quick families compared; least validation penalty first, earlier run on ties."""
-    frames = labelled(v)
-    plan = [p for p in experiments.EXPERIMENT_PLAN if not p[2] and p[1] != models.BOOSTED]
-    results = experiments.run_experiments(_split(frames, "train"), _split(frames, "val"), 1, AT, None, LIGHT, plan)
-    rows = experiments.experiment_rows(v.spark, results, "validation", AT)
-    return experiments.ranking(rows).limit(1)
+    """The six runs compared; least validation penalty first, earlier run on ties."""
+    _, results = _run_matrix(v)
+    return experiments.ranking(experiments.experiment_rows(v.spark, results, "validation", AT)).limit(1)
 
 
 @query("k9_retrain_and_test")
 def _(v: Views):
-    """Default forest refitted on train + validation, scored once on the test rows."""
-    frames = labelled(v)
-    champion = experiments.Experiment("r", 1, "EXP-03", models.FOREST, False, LIGHT[models.FOREST], {"val_mean_penalty": 0.0})
-    _, scores = experiments.retrain_and_test(champion, frames)
+    """The champion of the six runs refitted on train + validation, scored once on the test rows."""
+    frames, results = _run_matrix(v)
+    _, scores = experiments.retrain_and_test(experiments.choose_champion(results), frames)
     return v.spark.createDataFrame(sorted(scores.items()), "metric string, value double")
 
 
@@ -175,8 +159,7 @@ def _trained_lake(v: Views, zones: int | None = None):
         lake.create(spec)
     lake.replace_slices(OBSERVATIONS, v.area.withColumns({"target_year": F.lit(YEAR), "target_month": F.lit(MONTH)}))
     path = v.scratch("champion")
-    plan = [p for p in experiments.EXPERIMENT_PLAN if not p[2] and p[1] == models.FOREST]
-    meta = training.train_champion(lake, lake.read(OBSERVATIONS), path, zones, 1, AT, LIGHT_SPACES, LIGHT, plan)
+    meta = training.train_champion(lake, lake.read(OBSERVATIONS), path, zones, at=AT)
     return lake, path, meta
 
 
@@ -227,11 +210,9 @@ def _(v: Views):
 
 @query("k13_per_zone_models")
 def _(v: Views):
-    """Own thresholds per zone under one common model, fitted for the two busiest areas."""
-    busiest = series.busiest_zones(v.area, 2)
-    frames, _ = training.training_frames(v.area.join(F.broadcast(busiest.select(ZONE)), ZONE, "left_semi"))
-    frames = written(v, frames)
-    model = models.fit(models.FOREST, LIGHT[models.FOREST], _split(frames, "train"))
+    """Own thresholds per zone under one common model, fitted for all areas."""
+    frames = labelled(v)
+    model = models.fit(models.FOREST, {}, _split(frames, "train"))
     predicted = model.predict(models.as_model_input(_split(frames, "val")))
     return evaluation.penalty_summary(predicted, "demand_class", "predicted_class", [ZONE])
 
