@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidegrid.llm.common import let, pick
+from tidegrid.llm.common import checkpoint, let, pick
 
 #: Lines are paragraphs; longer ones are cut after so many code points.
 PARAGRAPH = "[^\\n]{1,512}"
@@ -14,8 +14,8 @@ PARAGRAPH = "[^\\n]{1,512}"
 CELLS, RETRIES = 48, (2.0, 4.0)
 HASHES = 3
 ROUNDS = 24
-#: Rows of a window that finds each document's neighbour, and most windows (their heads are broadcast).
-BLOCK_ROWS, MOST_BLOCKS = 2048, 1_000_000
+#: Rows of a window that finds each document's neighbour, and about the most windows (the driver holds their first places).
+BLOCK_ROWS, MOST_BLOCKS = 2048, 1 << 16
 
 
 def paragraph_digests(text: Column) -> Column:
@@ -162,32 +162,79 @@ def fingerprint(cells: Column) -> Column:
     return F.base64(F.unhex(F.array_join(packed, "")))
 
 
+def _place(doc_id: Column, digest: Column) -> Column:
+    """What rows are ordered by: descending doc_id, none last, then the hash of the text. The complement turns
+    the order of ids around for every 64-bit id."""
+    return F.struct(doc_id.isNull().cast("int").alias("none"), F.coalesce(F.bitwise_not(doc_id), F.lit(0).cast("long")).alias("down"), digest.alias("digest"))
+
+
+def _cut_places(keys: DataFrame, most: int) -> list[tuple[int, int, int]]:
+    """The first place of each block, in order: blocks hold rows of ``keys`` (place, n) until ``most`` are
+    reached, and begin afresh with each partition of the sorted keys, so no task numbers all of them."""
+    parts = keys.orderBy("place").withColumn("part", F.spark_partition_id())
+    inside = Window.partitionBy("part").orderBy("place")
+    before = F.coalesce(F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = parts.withColumn("before", before).withColumn("last", F.lag("before").over(inside))
+    starts = numbered.where(F.col("last").isNull() | (F.floor(F.col("before") / most) > F.floor(F.col("last") / most)))
+    return sorted(tuple(r) for r in starts.select("place.none", "place.down", "place.digest").collect())
+
+
+def _block_of(place: Column, cuts: list[tuple[int, int, int]]) -> Column:
+    """struct<block, head>: how many of ``cuts`` are at or before ``place``, and whether it is the last of them; a binary search."""
+    lists = [F.split(F.lit(",".join(str(c[i]) for c in cuts)), ",").cast(f"array<{kind}>") for i, kind in enumerate(("int", "bigint", "bigint"))]
+    strides = F.array(*(F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))))
+
+    def cut(i: Column) -> Column:
+        return F.struct(*(F.get(x, i - 1).alias(n) for x, n in zip(lists, ("none", "down", "digest"), strict=True)))
+
+    def found(p: Column) -> Column:
+        block = F.aggregate(strides, F.lit(0), lambda at, stride: F.when((at + stride <= len(cuts)) & (cut(at + stride) <= p), at + stride).otherwise(at))
+        return let(block, lambda b: F.struct(b.alias("block"), (cut(b) == p).alias("head")))
+
+    return let(place, found)
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with digests, sketch and ``next``: text, digests and sketch of the document next in
     descending doc_id, the first one's for the last. Equal ids follow one another by hash of the text; rows without id come last.
 
-    Ids are cut into blocks by value, about ``BLOCK_ROWS`` rows each, and a window runs in each block; a
-    copy of the next lower block's head closes it. Heads are at most ``MOST_BLOCKS`` ids.
+    Rows are cut by their place in this order into blocks of fewer than 2 * ``BLOCK_ROWS`` rows (more only
+    beyond ``MOST_BLOCKS`` blocks), and a window runs in each block; copies of the next block's head close it.
+    Neither the spread of ids nor a hot id matters. More than ``BLOCK_ROWS`` rows with one id and one text
+    are one row to the windows; each of the others is followed by its like.
     """
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    blocks = max(1, min(MOST_BLOCKS, n // BLOCK_ROWS))
-    width = max(1, -(-(int(high or 0) - int(low or 0) + 1) // blocks))
-    block = F.coalesce(F.floor((F.col("doc_id") - F.lit(int(low or 0))) / F.lit(width)), F.lit(-1)).cast("long")
-    heads = docs.select(F.coalesce("doc_id", F.lit(None)).alias("id"), block.alias("block")).groupBy("block").agg(F.max("id").alias("head"))
-    down = Window.orderBy(F.col("block").desc())
-    top = F.first("block").over(down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    last = F.last("block").over(down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    # a block's head closes the next higher block; the top one's head closes the lowest
-    closes = heads.select("head", "block", F.when(F.col("block") == top, last).otherwise(F.lag("block").over(down)).alias("closes"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), block.alias("block"))
-    ids = rows.alias("r").join(F.broadcast(closes).alias("h"), F.col("r.block").eqNullSafe(F.col("h.block")) & F.col("r.doc_id").eqNullSafe(F.col("h.head")))
-    closing = ids.select(F.col("r.doc_id"), F.col("r.text"), F.col("h.closes").alias("block"), F.lit(True).alias("closing"))
-    # every row carries its digests and sketch, so the neighbour's needn't be made again
-    every = rows.withColumn("closing", F.lit(False)).unionByName(closing)
-    made = every.withColumn("own", paragraph_digests(F.col("text"))).withColumn("cells", sketch(F.col("own"), F.lit(CELLS)))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    keys = checkpoint(rows.groupBy("doc_id", F.xxhash64("text").alias("digest")).agg(F.count(F.lit(1)).alias("n")))
+    total = keys.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    most = max(BLOCK_ROWS, -(-total // MOST_BLOCKS))
+    place = _place(F.col("doc_id"), F.col("digest"))
+    cuts = _cut_places(keys.select(place.alias("place"), F.when(F.col("n") > most, F.lit(1)).otherwise(F.col("n")).alias("n")), most) or [(0, 0, 0)]
+    repeats = None
+    hot = keys.where(F.col("n") > most).select(F.col("doc_id").alias("hot_id"), F.col("digest").alias("hot_digest"))
+    if not hot.isEmpty():
+        same = F.col("doc_id").eqNullSafe(F.col("hot_id")) & (F.xxhash64("text") == F.col("hot_digest"))
+        single = checkpoint(rows.join(F.broadcast(hot), same, "left_semi").groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n")))
+        rows = rows.join(F.broadcast(hot), same, "left_anti").unionByName(single.select("doc_id", "text"))
+        chunk = single.where("n > 1").select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 2) / most))).alias("chunk")).repartition("doc_id", "chunk")
+        copies = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(most), F.col("n") - 1 - F.col("chunk") * most)))
+        repeats = chunk.select("doc_id", "text", copies.alias("copy")).drop("copy")
+    found = rows.withColumn("at", _block_of(_place(F.col("doc_id"), F.xxhash64("text")), cuts))
+    # a block's head also closes the block before; the first one's closes the last
+    before = F.when(F.col("at.block") > 1, F.col("at.block") - 1).otherwise(F.lit(len(cuts)))
+    here, there = (F.struct(b.alias("block"), F.lit(c).alias("closing")) for b, c in ((F.col("at.block"), False), (before, True)))
+    every = found.select("doc_id", "text", F.explode(F.when(F.col("at.head"), F.array(here, there)).otherwise(F.array(here))).alias("in"))
+
+    def made(r: DataFrame) -> DataFrame:
+        # every row carries its digests and sketch, so the neighbour's needn't be made again
+        return r.withColumn("own", paragraph_digests(F.col("text"))).withColumn("cells", sketch(F.col("own"), F.lit(CELLS)))
+
+    after = F.struct("text", "own", "cells")
     order = Window.partitionBy("block").orderBy("closing", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
-    led = made.withColumn("next", F.lead(F.struct("text", "own", "cells")).over(order))
-    return led.where(~F.col("closing")).select("doc_id", "text", "own", "cells", "next")
+    led = made(every.select("doc_id", "text", "in.block", "in.closing")).withColumn("next", F.lead(after).over(order))
+    out = led.where(~F.col("closing")).select("doc_id", "text", "own", "cells", "next")
+    if repeats is None:
+        return out
+    return out.unionByName(made(repeats).select("doc_id", "text", "own", "cells", after.alias("next")))
 
 
 def fingerprint_edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
