@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegrid.llm.common import Memo, checkpoint, pick, text_slices, utf8
 from tidegrid.llm.graph import components
@@ -91,7 +92,7 @@ def with_signatures(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                        pa.array(map(digest_of, sets), pa.binary()),
                         _list_array(signatures(sets), pa.int16()),
                     ],
                     names=["doc_id", "n_shingles", "digest", "signature"],
@@ -100,18 +101,44 @@ def with_signatures(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def digest_of(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
+
+
+def node_of(digest: Column) -> Column:
+    """The number of a class in graphs, by its sets' digest and not by an id, which texts may share."""
+    return F.xxhash64(digest)
+
+
 def with_sets(docs: DataFrame) -> DataFrame:
-    """(node, text) to (node, shingles): the full sets, for confirming."""
+    """(doc_id, text) to (node, shingles): the full sets, for confirming."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = word_memo()
         for batch in batches:
             for a, b in text_slices(batch, 1, SLICE_BYTES):
+                sets = shingle_sets(utf8(batch.slice(a, b - a).column(1)), memo)
+                digests = pa.array(map(digest_of, sets), pa.binary())
+                yield pa.RecordBatch.from_arrays([digests, _list_array([s.view(np.int64) for s in sets], pa.int64())], names=["digest", "shingles"])
+
+    found = docs.mapInArrow(run, "digest binary, shingles array<bigint>")
+    return found.select(node_of(F.col("digest")).alias("node"), "shingles")
+
+
+def with_digest(docs: DataFrame, text: str) -> DataFrame:
+    """All columns and ``digest``, that of the set of ``text``."""
+    names = [*docs.columns, "digest"]
+    at = names.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = word_memo()
+        for batch in batches:
+            for a, b in text_slices(batch, at, SLICE_BYTES):
                 part = batch.slice(a, b - a)
-                sets = [s.view(np.int64) for s in shingle_sets(utf8(part.column(1)), memo)]
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), _list_array(sets, pa.int64())], names=["node", "shingles"])
+                digests = pa.array(map(digest_of, shingle_sets(utf8(part.column(at)), memo)), pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.columns, digests], names=names)
 
-    return docs.mapInArrow(run, "node long, shingles array<bigint>")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("digest", T.BinaryType())]))
 
 
 def _keys(signature: Column) -> Column:
@@ -124,11 +151,10 @@ def _keys(signature: Column) -> Column:
     return F.array(*keys)
 
 
-def _sets_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, shingles) of ``nodes``; only their texts are shingled again. A node that stands for several
-    texts (repeated ids) has several rows, and is linked if any of them is."""
-    texts = docs.join(nodes.distinct(), docs["doc_id"] == F.col("node"), "left_semi").select(F.col("doc_id").alias("node"), "text")
-    return checkpoint(with_sets(texts))
+def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, shingles) of ``nodes`` and of other texts with their ids; only texts with such an id are shingled again."""
+    ids = classes.join(nodes.distinct(), "node", "left_semi").select("least").distinct()
+    return checkpoint(with_sets(docs.join(ids, docs["doc_id"] == ids["least"], "left_semi")))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -200,11 +226,41 @@ def _between_components(stars: DataFrame, first: DataFrame, sets: DataFrame) ->
     return left.unionByName(right).groupBy("group", "x", "y").applyInArrow(_compare_blocks, "a long, b long").distinct()
 
 
+def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_id, digest, n_shingles, component_id, kept) per row, as ``near_duplicates`` has them."""
+    plain = pick(docs, key, text).toDF("doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = checkpoint(with_signatures(plain))
+    known = rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest")
+    classes = checkpoint(known.agg(F.min("doc_id").alias("least"), F.first("signature").alias("signature")).withColumn("node", node_of(F.col("digest"))))
+    keyed = classes.select("node", "least", F.explode(_keys(F.col("signature"))).alias("key"))
+    hub = F.min(F.struct("least", "node"))["node"]
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), hub.alias("hub")).where("n > 1").select("key", "hub")
+    stars = checkpoint(
+        keyed.join(shared, "key").where("node <> hub").groupBy(F.col("node").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    )
+    sets = _sets_of(stars.select(F.explode(F.array("a", "b")).alias("node")), classes, plain)
+    nearest = stars.groupBy("a").agg(F.max_by("b", F.struct("n", F.bitwise_not("b"))).alias("b"))
+    first = components(_linked(nearest, sets))
+    second = components(_between_components(stars.select("a", "b"), first, sets))
+    rooted = checkpoint(
+        classes.select("digest", "least", "node").join(first, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("node"))
+        .join(second, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
+    )
+    heads = rooted.groupBy("root").agg(F.min(F.struct("least", "digest")).alias("head"))
+    named = rooted.join(heads, "root").select("digest", "head")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("head.least", "doc_id"))
+    alone = F.col("doc_id").isNull() | F.col("head").isNull()
+    kept = alone | ((F.col("doc_id") == F.col("head.least")) & (F.col("digest") == F.col("head.digest")))
+    return rows.join(named, "digest", "left").select(
+        "doc_id", "digest", "n_shingles", component.cast("long").alias("component_id"), kept.alias("kept")
+    )
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row: documents with 100 * |A and B| >= 75 * |A or B|
     over distinct 5-word shingles are linked, and component_id is the least doc_id reachable.
 
-    1. Rows with equal sets form a class, named by its least id (a combining aggregate, so copies cost
+    1. Rows with equal sets form a class, numbered by its digest (a combining aggregate, so copies cost
        no pairs). Empty texts form no class and are their own component.
     2. A class emits one key for every chunk and allowed error. Of each key with several classes, the
        least is the hub; a class is compared with the hub it shares most keys with, and confirmed links
@@ -214,39 +270,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
        each pair that shares a key lies in one component or was compared in full.
 
     A row without an id is in no component and kept. Repeated rows get equal results. Rows that share an
-    id but not the text follow the class of their own text. An empty table gives no rows.
+    id but not the text follow the class of their own text; where texts with the least id are in one component,
+    that of the least digest is kept. An empty table gives no rows.
     """
-    plain = pick(docs, key, text).toDF("doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = checkpoint(with_signatures(plain))
-    classes = checkpoint(
-        rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
-    )
-    keyed = classes.select("node", F.explode(_keys(F.col("signature"))).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1").select("key", "hub")
-    stars = checkpoint(
-        keyed.join(shared, "key").where("node <> hub").groupBy(F.col("node").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    )
-    sets = _sets_of(stars.select(F.explode(F.array("a", "b")).alias("node")), plain)
-    nearest = stars.groupBy("a").agg(F.max_by("b", F.struct("n", -F.col("b"))).alias("b"))
-    first = components(_linked(nearest, sets))
-    second = components(_between_components(stars.select("a", "b"), first, sets))
-    named = (
-        classes.select("digest", "node").join(first, "node", "left").select("digest", F.coalesce("root", "node").alias("node"))
-        .join(second, "node", "left").select("digest", F.coalesce("root", "node").alias("component"))
-    )
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
-    return (
-        rows.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-        .select(F.col("doc_id").alias(key), "n_shingles", component.cast("long").alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
-    )
+    return _judged(docs, key, text).select(F.col("doc_id").alias(key), "n_shingles", "component_id", "kept")
 
 
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns: one of each group of near duplicates, that of the least id.
-    Of repeated rows with one id the first by hash stays; rows without an id stay."""
+
+    Each id and shingle set is judged by itself, so texts that share an id neither take each other along
+    nor stand in for each other. Of repeated rows with one id and one set, that with the least hash of
+    all columns stays; rows without an id stay.
+    """
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain, at = docs.toDF(*names), names[docs.columns.index(key)]
-    kept = near_duplicates(docs, key, text).where("kept").select(F.col(key).alias("kept_id")).distinct()
-    identified = plain.join(kept, plain[at] == kept["kept_id"], "left_semi").dropDuplicates([at])
+    kept = _judged(docs, key, text).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest")).distinct()
+    digested = with_digest(plain.where(F.col(at).isNotNull()), names[docs.columns.index(text)])
+    same = (digested[at].cast("long") == kept["kept_id"]) & (digested["digest"] == kept["kept_digest"])
+    identified = (
+        digested.join(kept, same, "left_semi").groupBy(at, "digest")
+        .agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row")).select("row.*")
+    )
     return identified.unionByName(plain.where(F.col(at).isNull())).toDF(*docs.columns)
