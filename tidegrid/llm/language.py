@@ -20,11 +20,11 @@ LETTERS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 SLICE_BYTES = 8 << 20
 ROWS = 1 << 16
-#: Training bounds: languages with most documents, documents of all languages together, words of one.
-MOST_LANGUAGES, SAMPLE_DOCS, SAMPLE_WORDS = 64, 1600, 200
+#: Training bounds: documents of all languages together, but so many of each at least, and words of one.
+SAMPLE_DOCS, LEAST_DOCS, SAMPLE_WORDS = 1600, 25, 200
 LENGTH, EPOCHS, BATCH = 24, 4, 128
-#: Words whose emissions a task keeps.
-TABLE_WORDS = 300_000
+#: Numbers in the table of words' emissions that a task keeps (words times languages).
+TABLE_CELLS = 300_000 * 64
 
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -74,6 +74,11 @@ class Model:
     first: np.ndarray
     pair: np.ndarray
 
+    @property
+    def slice_bytes(self) -> int:
+        """Text to label at a time: the more languages, the less."""
+        return max(1 << 16, SLICE_BYTES * 8 // max(8, len(self.languages)))
+
     def emissions(self, words: list[str]) -> np.ndarray:
         at, start = word_features(words)
         counts = np.diff(np.append(start, len(at)))[:, None]
@@ -130,8 +135,9 @@ def _pair_expectation(emission: np.ndarray, first: np.ndarray, pair: np.ndarray)
     pairs = np.zeros((k, k))
     for t in range(length - 1, 0, -1):
         into = local[:, t] * beta[t]
-        both = alpha[t - 1][:, :, None] * move * into[:, None, :]
-        pairs += (both / both.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        # a product of matrices, so no table of all label pairs is made for each sequence
+        total = ((alpha[t - 1] @ move) * into).sum(axis=1, keepdims=True)
+        pairs += move * ((alpha[t - 1] / total).T @ into)
         beta[t - 1] = into @ move.T
         beta[t - 1] /= beta[t - 1].sum(axis=1, keepdims=True)
     post = alpha * beta
@@ -215,15 +221,15 @@ def fit(samples: list[tuple[str, list[str]]], languages: list[str], seed: int =
 
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", seed: int = 0) -> Model:
     """A model from the labelled rows that aren't held out. It is fitted on the driver on a bounded
-    sample: about ``SAMPLE_DOCS`` documents, as many of each language, chosen by a hash of their key, and
-    of each at most ``SAMPLE_WORDS`` consecutive words from a place that the hash gives."""
+    sample: about ``SAMPLE_DOCS`` documents, as many of each language but ``LEAST_DOCS`` at least (or all it
+    has), so every language gets a place in the model. They are chosen by a hash of their key, and of each at most ``SAMPLE_WORDS`` consecutive words from a place that the hash gives."""
     plain = pick(docs, key, text, lang).toDF("key", "text", "lang")
     rows = plain.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("key")))
-    found = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MOST_LANGUAGES).collect()
+    found = rows.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in found)
     if not languages:
         return fit([], [], seed)
-    each = max(1, SAMPLE_DOCS // len(languages))
+    each = max(LEAST_DOCS, SAMPLE_DOCS // len(languages))
     share = F.create_map(*(F.lit(v) for r in found for v in (r["lang"], min(1.0, each / r["count"]))))
     drawn = F.pmod(F.xxhash64(F.lit(seed), F.col("key")), F.lit(1 << 30))
     sample = rows.withColumn("drawn", drawn).where(drawn < share[F.col("lang")] * F.lit(1 << 30)).select("drawn", "text", "lang")
@@ -238,7 +244,7 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string())), batch.column(2)], names=["drawn", "words", "lang"])
 
     # the draw is bounded in expectation; the limit bounds it in any case, in a fixed order
-    got = sample.mapInArrow(cut, "drawn long, words array<string>, lang string").orderBy("drawn", "lang", "words").limit(3 * SAMPLE_DOCS).collect()
+    got = sample.mapInArrow(cut, "drawn long, words array<string>, lang string").orderBy("drawn", "lang", "words").limit(3 * each * len(languages)).collect()
     return fit([(r["lang"], r["words"]) for r in got], languages, seed)
 
 
@@ -254,10 +260,10 @@ class Predictor:
         self.table = np.empty((0, max(1, len(self.model.languages))))
 
     def _rows_of(self, split: list[list[str]], n: int) -> np.ndarray:
-        """The emission table's row of every word; the table starts afresh beyond ``TABLE_WORDS``."""
+        """The emission table's row of every word; the table starts afresh beyond ``TABLE_CELLS``."""
         wanted = set().union(*split)
         missing = list(wanted.difference(self.place.keys()))
-        if len(self.place) + len(missing) > TABLE_WORDS:
+        if (len(self.place) + len(missing)) * len(self.model.languages) > TABLE_CELLS:
             self.reset()
             missing = list(wanted)
         if missing:
@@ -293,7 +299,7 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = Predictor(model)
         for batch in batches:
-            for a, b in text_slices(batch, 1, SLICE_BYTES):
+            for a, b in text_slices(batch, 1, model.slice_bytes):
                 part = batch.slice(a, b - a)
                 lang, score = predict(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang), pa.array(score, pa.float64())], names=["key", "lang_pred", "score"])
@@ -310,7 +316,7 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.35, te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = Predictor(model)
         for batch in batches:
-            for a, b in text_slices(batch, at, SLICE_BYTES):
+            for a, b in text_slices(batch, at, model.slice_bytes):
                 part = batch.slice(a, b - a)
                 lang, score = predict(part.column(at).to_pylist())
                 yield part.filter(pa.array([l != UNDETERMINED and s >= least_score for l, s in zip(lang, score, strict=True)]))
