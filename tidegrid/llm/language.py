@@ -248,8 +248,23 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     return fit([(r["lang"], r["words"]) for r in got], languages, seed)
 
 
+@dataclass
+class Labelled:
+    """What a model says of some texts. ``certainty`` is the mean, over a text's words, of the largest posterior;
+    ``spans`` (SPANS) are the runs of words with one label."""
+
+    languages: list[str]
+    scores: list[float]
+    certainty: list[float]
+    spans: pa.Array
+
+
+SPAN = pa.struct([("first_word", pa.int32()), ("n_words", pa.int32()), ("lang", pa.string()), ("posterior", pa.float64())])
+SPANS = "array<struct<first_word:int,n_words:int,lang:string,posterior:double>>"
+
+
 class Predictor:
-    """Language and score of texts under a model."""
+    """Labels of the words of texts under a model, and what they say of each text."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -271,28 +286,47 @@ class Predictor:
             self.table = np.concatenate([self.table, self.model.emissions(missing)])
         return np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, n)
 
-    def __call__(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    def __call__(self, texts: list[str | None]) -> Labelled:
         split = [LETTERS.findall(t.lower()) if t else [] for t in texts]
         lengths = np.fromiter(map(len, split), np.int64, len(split))
-        languages = self.model.languages
+        languages, n = self.model.languages, len(texts)
+        predicted, score, certainty = [UNDETERMINED] * n, [0.0] * n, [0.0] * n
         if not languages or not lengths.sum():
-            return [UNDETERMINED] * len(texts), [0.0] * len(texts)
+            return Labelled(predicted, score, certainty, pa.array([[]] * n, pa.list_(SPAN)))
         rows = self._rows_of(split, int(lengths.sum()))
-        emission = self.table[rows]
         full = np.flatnonzero(lengths)
-        post = forward_backward(emission, lengths[full], self.model.first, self.model.pair)
-        mean = np.add.reduceat(post, np.cumsum(lengths[full]) - lengths[full]) / lengths[full][:, None]
-        predicted, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
-        best = mean.argmax(axis=1)
-        for i, j, s in zip(full.tolist(), best.tolist(), mean.max(axis=1).tolist(), strict=True):
-            predicted[i], score[i] = languages[j], min(1.0, s)
-        return predicted, score
+        sizes = lengths[full]
+        starts = np.cumsum(sizes) - sizes
+        post = forward_backward(self.table[rows], sizes, self.model.first, self.model.pair)
+        mean = np.add.reduceat(post, starts) / sizes[:, None]
+        top, label = post.max(axis=1), post.argmax(axis=1)
+        sure = np.add.reduceat(top, starts) / sizes
+        for i, j, s, c in zip(full.tolist(), mean.argmax(axis=1).tolist(), mean.max(axis=1).tolist(), sure.tolist(), strict=True):
+            predicted[i], score[i], certainty[i] = languages[j], min(1.0, s), min(1.0, c)
+        # a span begins with a text or another label
+        begins = np.append(True, label[1:] != label[:-1])
+        begins[starts] = True
+        at = np.flatnonzero(begins)
+        owner = np.repeat(full, sizes)[at]
+        run = np.diff(np.append(at, len(label)))
+        flat = pa.StructArray.from_arrays(
+            [
+                pa.array(at - np.repeat(starts, sizes)[at], pa.int32()), pa.array(run, pa.int32()),
+                pa.array(languages, pa.string()).take(pa.array(label[at])), pa.array(np.minimum(1.0, np.add.reduceat(top, at) / run)),
+            ],
+            fields=list(SPAN),
+        )
+        ends = np.cumsum(np.bincount(owner, minlength=n))
+        return Labelled(predicted, score, certainty, pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), flat))
 
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, held_out, lang_pred, score) per row: the language with the largest mean posterior over the
-    words of the whole text, and that mean. A text that is null or has no letter is ``und`` at 0, as is
-    everything if no language was learned; ties go to the language first in order."""
+    """(key, held_out, lang_pred, score, certainty, spans) per row. ``spans`` label the words (runs of letters of
+    the lower-cased text, numbered from 0): runs of words whose largest posterior is of one language, with its
+    mean. ``lang_pred`` has the largest mean posterior over all words of the text, ``score`` is that mean, and
+    ``certainty`` the mean of each word's largest posterior, however many languages the text has. A text
+    that is null or has no letter is ``und`` at 0 without spans, as is everything if no language was
+    learned; ties go to the language first in order."""
     plain = pick(docs, key, text).toDF("key", "text")
     kind = plain.schema["key"].dataType.simpleString()
 
@@ -301,15 +335,17 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
         for batch in batches:
             for a, b in text_slices(batch, 1, model.slice_bytes):
                 part = batch.slice(a, b - a)
-                lang, score = predict(part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang), pa.array(score, pa.float64())], names=["key", "lang_pred", "score"])
+                said = predict(part.column(1).to_pylist())
+                columns = [part.column(0), pa.array(said.languages), pa.array(said.scores, pa.float64()), pa.array(said.certainty, pa.float64()), said.spans]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "lang_pred", "score", "certainty", "spans"])
 
-    out = plain.mapInArrow(run, f"key {kind}, lang_pred string, score double")
-    return out.select(F.col("key").alias(key), held_out(F.col("key")).alias("held_out"), "lang_pred", "score")
+    out = plain.mapInArrow(run, f"key {kind}, lang_pred string, score double, certainty double, spans {SPANS}")
+    return out.select(F.col("key").alias(key), held_out(F.col("key")).alias("held_out"), "lang_pred", "score", "certainty", "spans")
 
 
-def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.35, text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose language the model tells with at least ``least_score``."""
+def keep_identified(docs: DataFrame, model: Model, least_certainty: float = 0.35, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose words the model labels with at least ``least_certainty``; into how
+    many languages doesn't matter."""
     at = docs.columns.index(text)
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
 
@@ -318,7 +354,7 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = 0.35, te
         for batch in batches:
             for a, b in text_slices(batch, at, model.slice_bytes):
                 part = batch.slice(a, b - a)
-                lang, score = predict(part.column(at).to_pylist())
-                yield part.filter(pa.array([l != UNDETERMINED and s >= least_score for l, s in zip(lang, score, strict=True)]))
+                said = predict(part.column(at).to_pylist())
+                yield part.filter(pa.array([bool(len(x)) and c >= least_certainty for x, c in zip(said.spans, said.certainty, strict=True)]))
 
     return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
