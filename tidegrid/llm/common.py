@@ -65,6 +65,22 @@ def small_side(df: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def join_hot(rows: DataFrame, side: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` with the columns of ``side`` (checkpointed, one row for every value of ``key``, ``count`` rows each).
+
+    Values that at least a thousandth of all rows have are at most 1000, so they are joined by broadcast;
+    the other rows are shuffled, where no value fills a task.
+    """
+    total = side.agg(F.sum(count)).first()[0] or 0
+    often = F.col(count) * 1000 >= F.lit(total)
+    hot = F.broadcast(side.where(often).withColumnRenamed(key, "hot_key").drop(count))
+    names = [c for c in side.columns if c not in (key, count)]
+    split = rows.join(hot, F.col(key).eqNullSafe(F.col("hot_key")), "left")
+    met = split.where(F.col("hot_key").isNotNull()).drop("hot_key")
+    rest = split.where(F.col("hot_key").isNull()).drop("hot_key", *names)
+    return met.unionByName(rest.join(side.where(~often).drop(count), key))
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 

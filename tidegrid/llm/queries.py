@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, fingerprints, language, minhash, mixing, piece_sampling, quality, sharding, token_counts, token_files
+from tidegrid.llm import chat, fingerprints, language, minhash, mixing, piece_sampling, quality, sharding, simhash, token_counts, token_files
 from tidegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register
+def op13_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all documents and their components at two differing bits or fewer."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 ORACLES["op4_mix_sources"] = r"""
 WITH d AS (
     SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
