@@ -10,11 +10,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 #: A word is a run of anything but these ASCII white-space characters.
 WORD = "[^\\x20\\x09-\\x0D]+"
 SPACE = "[\\x20\\x09-\\x0D]+"
 
+#: A table of one row per range and group is broadcast up to so many rows, and shuffled beyond.
+OFFSET_ROWS = 50_000
+
 _OWN_FOLDERS: dict[str, tempfile.TemporaryDirectory] = {}
 
 
@@ -65,6 +69,25 @@ def small_side(df: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
 
 
+def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """``rows`` (checkpointed) with ``pos``, their place from 0 within their group, and ``total``, its size.
+
+    Rows are dealt to ranges of (group, order, row number) and sorted there, so neither a large group nor a
+    repeated key makes a large task; counts of (range, group) give the offsets. Nulls come first.
+    """
+    keys = [F.col(c).asc_nulls_first() for c in (group, *order, "uid")]
+    ranged = rows.withColumn("uid", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = checkpoint(ranged.withColumns({"range": F.spark_partition_id(), "at": F.monotonically_increasing_id()}))
+    per = placed.groupBy(F.col(group).alias("g"), F.col("range").alias("r")).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    whole = Window.partitionBy("g")
+    before = whole.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = checkpoint(per.select("g", "r", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), F.sum("n").over(whole).alias("total")))
+    here = (F.col("range") == F.col("r")) & F.col(group).eqNullSafe(F.col("g"))
+    return placed.join(small_side(offsets, OFFSET_ROWS), here).select(
+        *rows.columns, (F.col("before") + F.col("at") - F.col("first")).alias("pos"), "total"
+    )
+
+
 def join_hot(rows: DataFrame, side: DataFrame, key: str, count: str) -> DataFrame:
     """``rows`` with the columns of ``side`` (checkpointed, one row for every value of ``key``, ``count`` rows each).
 

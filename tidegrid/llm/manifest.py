@@ -8,16 +8,15 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tidegrid.llm.common import checkpoint, pick, small_side
+from tidegrid.llm.common import checkpoint, numbered, pick, small_side
 
 FANOUT = 2
 #: Levels of the tree that one row of the record store spans, and so many leaves below it.
 LEVELS = 10
 SPAN = FANOUT**LEVELS
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-#: Offset and lang tables are broadcast up to so many rows, and shuffled beyond.
+#: A table of one row per lang is broadcast up to so many rows, and shuffled beyond.
 BROADCAST_ROWS = 50_000
 #: Requests that one copy of a record serves; a record that more requests name is copied.
 SERVED = 16
@@ -43,25 +42,6 @@ def with_leaves(docs: DataFrame, tampered: Column) -> DataFrame:
     return plain.select("doc_id", "lang", leaf_digest(values).alias("leaf"), F.when(tampered, leaf_digest(changed)).alias("changed"))
 
 
-def numbered(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """``rows`` (checkpointed) with ``pos``, their place from 0 within their group, and ``total``, its size.
-
-    Rows are dealt to ranges of (group, order, row number) and sorted there, so neither a large group nor a
-    repeated key makes a large task; counts of (range, group) give the offsets. Nulls come first.
-    """
-    keys = [F.col(c).asc_nulls_first() for c in (group, *order, "uid")]
-    ranged = rows.withColumn("uid", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    placed = checkpoint(ranged.withColumns({"range": F.spark_partition_id(), "at": F.monotonically_increasing_id()}))
-    per = placed.groupBy(F.col(group).alias("g"), F.col("range").alias("r")).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy("g")
-    before = whole.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = checkpoint(per.select("g", "r", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), F.sum("n").over(whole).alias("total")))
-    here = (F.col("range") == F.col("r")) & F.col(group).eqNullSafe(F.col("g"))
-    return placed.join(small_side(offsets, BROADCAST_ROWS), here).select(
-        *rows.columns, (F.col("before") + F.col("at") - F.col("first")).alias("pos"), "total"
-    )
-
-
 def _digest(children: list[bytes]) -> bytes:
     """H of nodes given and returned as lowercase hex."""
     return hashlib.sha256(b"".join(children)).hexdigest().encode()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm import chat, fingerprints, language, manifest, minhash, mixing, piece_sampling, quality, sharding, simhash, token_counts, token_files
+from tidegrid.llm import chat, fingerprints, importance, language, manifest, minhash, mixing, piece_sampling, quality, sharding, simhash, token_counts, token_files
 from tidegrid.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register
+def op11_importance_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents drawn towards the benchmark's distribution of words."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Membership proofs of all documents; rows whose id's crc32 is a multiple of 7 were tampered with."""
