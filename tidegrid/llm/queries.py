@@ -161,3 +161,83 @@ g AS (
 SELECT conv_id, n_turns, sha256(listed) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
     CAST(formatted_chars AS BIGINT) AS formatted_chars FROM g
 """
+
+_CRC32 = r"""crc AS (
+    SELECT list(list_reduce(list_prepend(b::BIGINT, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY b) AS steps
+    FROM range(256) t(b))"""
+
+
+def _crc32(word: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of a string's UTF-8 bytes, next to the one row of ``crc``."""
+    byte = f"CAST('0x' || substr(hex(encode({word})), CAST(2 * i - 1 AS INT), 2) AS BIGINT)"
+    found = f"list_transform(range(1, octet_length(encode({word})) + 1), lambda i: {byte})"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, {found}), lambda c, x: xor(steps[xor(c & 255, x) + 1], c >> 8)))"
+
+
+ORACLES["op11_importance_sample"] = rf"""
+WITH {_CRC32},
+w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words, true AS own
+    FROM documents
+    UNION ALL
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), false
+    FROM benchmark),
+u AS (SELECT own, doc_id, unnest(words) AS word FROM w),
+c AS (SELECT own, doc_id, word, count(*) AS n FROM u GROUP BY ALL),
+v AS (SELECT word, {_crc32("word")} % 10000 AS bucket FROM (SELECT DISTINCT word FROM u), crc),
+b AS (SELECT bucket, coalesce(sum(n) FILTER (own), 0) AS s, coalesce(sum(n) FILTER (NOT own), 0) AS t FROM c JOIN v USING (word) GROUP BY 1),
+g AS (
+    SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain
+    FROM b),
+x AS (SELECT doc_id, sum(n * gain) AS weight FROM c JOIN v USING (word) JOIN g USING (bucket) WHERE own GROUP BY 1),
+r AS (
+    SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || w.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS noise
+    FROM w LEFT JOIN x USING (doc_id) WHERE own),
+o AS (SELECT doc_id, row_number() OVER (ORDER BY weight + noise DESC, doc_id) AS nth, count(*) OVER () AS n FROM r WHERE n_features >= 20)
+SELECT r.doc_id, n_features, weight, weight + noise AS score, CAST(CASE WHEN nth <= 10 * n // 100 THEN nth END AS BIGINT) AS rank
+FROM r LEFT JOIN o USING (doc_id)
+"""
+
+_FIELDS = "||".join(
+    f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "{n_chars}", "text")
+)
+
+ORACLES["op12_merkle_manifest"] = rf"""
+WITH RECURSIVE {_CRC32},
+d AS MATERIALIZED (
+    SELECT doc_id, lang, sha256({_FIELDS.format(n_chars="n_chars")}) AS leaf,
+        CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN sha256({_FIELDS.format(n_chars="(n_chars + 1)")}) END AS changed
+    FROM documents, crc),
+p AS MATERIALIZED (
+    SELECT *, dense_rank() OVER (ORDER BY lang COLLATE "binary" NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos,
+        count(*) OVER (PARTITION BY lang) AS n FROM d),
+t AS (
+    SELECT tree, 0 AS level, pos, n, leaf AS digest FROM p
+    UNION ALL
+    SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM t WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+s AS MATERIALIZED (SELECT tree AS pos, digest, (SELECT count(DISTINCT tree) FROM p) AS n FROM t WHERE n = 1),
+m AS (
+    SELECT 0 AS level, pos, n, digest FROM s
+    UNION ALL
+    SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM m WHERE n > 1 GROUP BY level, pos // 2, n),
+a AS MATERIALIZED (SELECT tree, level, pos, digest, max(level) OVER (PARTITION BY tree) AS height FROM t),
+b AS MATERIALIZED (
+    SELECT p.doc_id, a.level, (p.pos >> a.level) & 1 AS digit, o.digest AS sibling
+    FROM p JOIN (SELECT DISTINCT tree, level, height FROM a) a ON a.tree = p.tree AND a.level < a.height
+    LEFT JOIN a o ON o.tree = p.tree AND o.level = a.level AND o.pos = xor(p.pos >> a.level, 1)
+    UNION ALL
+    SELECT p.doc_id, 100 + k.level, (p.tree >> k.level) & 1, o.digest
+    FROM p JOIN (SELECT DISTINCT level FROM m WHERE n > 1) k ON true
+    LEFT JOIN m o ON o.level = k.level AND o.pos = xor(p.tree >> k.level, 1)),
+e AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY level) AS step FROM b),
+f AS (
+    SELECT doc_id, 0 AS step, coalesce(changed, leaf) AS now FROM p
+    UNION ALL
+    SELECT f.doc_id, e.step, sha256(CASE WHEN sibling IS NULL THEN now WHEN digit = 0 THEN now || sibling ELSE sibling || now END)
+    FROM f JOIN e ON e.doc_id = f.doc_id AND e.step = f.step + 1),
+q AS (SELECT doc_id, sha256(coalesce(string_agg(sibling, '' ORDER BY level), '')) AS proof_sha256 FROM b GROUP BY 1)
+SELECT p.doc_id, p.leaf, s.digest AS subroot, r.digest AS root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256, z.now AS folded_root, z.now = r.digest AS verified
+FROM p JOIN s ON s.pos = p.tree JOIN (SELECT digest FROM m WHERE n = 1) r ON true LEFT JOIN q USING (doc_id)
+JOIN (SELECT doc_id, arg_max(now, step) AS now FROM f GROUP BY 1) z USING (doc_id)
+"""
