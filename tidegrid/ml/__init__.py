@@ -1 +1,8 @@
-"""Class models fitted by Spark ML, tuned and chosen by operational penalty."""
+"""Class models fitted on Spark, tuned and chosen by operational penalty."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions of this subpackage travel to executors by value, so executors need no copy of it
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

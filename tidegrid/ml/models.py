@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import json
-import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.functions.cost import CLASSES, cheapest_class
+from tidegrid.ml import boosting, forest
+from tidegrid.ml.trees import TreeModel
 from tidegrid.operators.evaluation import class_weights
+from tidegrid.operators.quantile import interpolated_quantiles
 from tidegrid.schemas import FEATURES, MODEL_VERSION, PENALTY_VERSION
 
 LOGISTIC, FOREST, BOOSTED = "LogisticRegression", "RandomForest", "LightGBM"  # fixed family names
@@ -26,28 +29,31 @@ PROBABILITIES = [f"prob_class_{c}" for c in CLASSES]
 
 @dataclass(frozen=True)
 class FittedModel:
-    """A family, its parameters, and one Spark ML pipeline (or one per class for boosted trees)."""
+    """A family, its parameters, the training medians that fill nulls, and a Spark ML pipeline or a tree ensemble."""
 
     family: str
     params: dict
     classes: tuple[int, ...]
-    pipelines: dict[str, PipelineModel] = field(compare=False)
+    features: tuple[str, ...]
+    medians: dict[str, float] = field(compare=False)
+    pipeline: PipelineModel | None = field(default=None, compare=False)
+    trees: TreeModel | None = field(default=None, compare=False)
 
     def with_probabilities(self, df: DataFrame) -> DataFrame:
         """Add ``prob_class_0..2``; a class unseen in training has a null probability."""
         names = {c: PROBABILITIES[c] for c in self.classes}
-        vector = vector_to_array("probability")
-        if self.family == BOOSTED:
-            out = df
-            for c, name in names.items():
-                out = self.pipelines[str(c)].transform(out).select(*out.columns, vector[1].alias(name))
+        filled = filled_columns(self.features, self.medians)
+        if self.trees is not None:
+            found = df.withColumn("_p", self.trees.column(list(filled.values()), len(names)))
+            scored = found.select(*df.columns, *[F.col("_p")[i].alias(n) for i, n in enumerate(names.values())])
         else:
-            scored = self.pipelines["all"].transform(df)
-            out = scored.select(*df.columns, *[vector[c].alias(n) for c, n in names.items()])
-        # one-against-rest scores, and vectors with a slot for an unseen class, are rescaled to sum 1
+            vector = vector_to_array("probability")
+            found = self.pipeline.transform(df.withColumns(filled))
+            scored = found.select(*df.columns, *[vector[c].alias(n) for c, n in names.items()])
+        # vectors with a slot for an unseen class are rescaled to sum 1
         total = sum((F.col(n) for n in names.values()), F.lit(0.0))
         unseen = {p: F.lit(None).cast("double") for p in PROBABILITIES if p not in names.values()}
-        return out.withColumns({**{n: F.try_divide(F.col(n), total) for n in names.values()}, **unseen})
+        return scored.withColumns({**{n: F.try_divide(F.col(n), total) for n in names.values()}, **unseen})
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Probabilities plus the class of least expected cost."""
@@ -56,16 +62,15 @@ class FittedModel:
         )
 
 
-def imputer(features: list[str] = FEATURES) -> Imputer:
-    return Imputer(strategy="median", inputCols=features, outputCols=[f"{f}__filled" for f in features])
+def filled_columns(features: tuple[str, ...] | list[str], medians: dict[str, float]) -> dict[str, Column]:
+    """``<feature>__filled`` columns: nulls and NaN replaced by the medians (0 where a feature had no value)."""
+    return {f"{f}__filled": F.coalesce(F.nanvl(F.col(f), F.lit(None)), F.lit(medians.get(f, 0.0))) for f in features}
 
 
-def _preparation(features: list[str], scaled: bool) -> list:
-    stages = [imputer(features), VectorAssembler(inputCols=[f"{f}__filled" for f in features], outputCol="assembled")]
-    if scaled:
-        # ML scales by the sample deviation; on n rows this differs by sqrt(n / (n - 1)) only
-        stages.append(StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True, withStd=True))
-    return stages
+def exact_medians(train: DataFrame, features: list[str]) -> dict[str, float]:
+    """Interpolated medians of the known values; features without any are left out."""
+    found = interpolated_quantiles(train, {f: [0.5] for f in features})
+    return {f: float(m[0]) for f, m in found.items() if m and m[0] is not None}
 
 
 def as_model_input(df: DataFrame, features: list[str] = FEATURES) -> DataFrame:
@@ -87,27 +92,6 @@ def _logistic(params: dict, rows: int) -> LogisticRegression:
     )
 
 
-def _forest(params: dict) -> RandomForestClassifier:
-    return RandomForestClassifier(
-        featuresCol="assembled", labelCol=LABEL, weightCol="_weight", seed=SEED,
-        numTrees=int(params.get("n_estimators", 100)), maxDepth=min(30, int(params.get("max_depth", 30))),  # 30 is the library's maximum
-        minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
-    )
-
-
-def _boosted(params: dict) -> GBTClassifier:
-    # trees grow level by level here, so a leaf budget becomes a depth limit
-    depth = min(int(params.get("max_depth", 30)), math.ceil(math.log2(int(params.get("num_leaves", 31)))))
-    return GBTClassifier(
-        featuresCol="assembled", labelCol="_is_class", weightCol="_weight", seed=SEED,
-        maxIter=int(params.get("n_estimators", 100)), maxDepth=depth,
-        stepSize=float(params.get("learning_rate", 0.1)),
-        minInstancesPerNode=int(params.get("min_child_samples", 20)),
-        subsamplingRate=float(params.get("subsample", 1.0)),
-        featureSubsetStrategy=str(params.get("colsample_bytree", "all")),
-    )
-
-
 def with_weights(train: DataFrame, balanced: bool) -> DataFrame:
     """Row weights: all 1, or n / (k * n_class). The weight table has one row per class."""
     if not balanced:
@@ -118,27 +102,45 @@ def with_weights(train: DataFrame, balanced: bool) -> DataFrame:
     return train.join(F.broadcast(weights), F.col(LABEL) == F.col("_class")).drop("_class")
 
 
-def fit(family: str, params: dict, train: DataFrame, features: list[str] = FEATURES) -> FittedModel:
-    """Fit one family on labelled rows. The caller persists ``train``; fitting iterates over it."""
+def fit_all(family: str, trials: list[dict], train: DataFrame, features: list[str] = FEATURES, parallel: int = 4) -> list[FittedModel]:
+    """One model per set of parameters on the same labelled rows. The caller persists ``train``; fitting iterates over it.
+
+    Tree ensembles share one binned frame and one job (or one aggregate a step, see ``trees.LOCAL_ROWS``); the
+    logistic fits are independent Spark jobs, submitted from a few driver threads.
+    """
+    if family not in FAMILIES:
+        raise ValueError(f"unknown model family: {family}")
     known = as_model_input(train.filter(F.col(LABEL).isNotNull()), features)
     sizes = {r[LABEL]: r["n"] for r in known.groupBy(LABEL).agg(F.count("*").alias("n")).collect()}
     if not sizes:
         raise ValueError("no labelled rows to fit")
     classes = tuple(sorted(sizes))
-    weighted = with_weights(known, params.get("class_weight") == "balanced")
+    counts = [sizes[c] for c in classes]
+    medians = exact_medians(known, features)
+    filled = known.withColumns(filled_columns(features, medians))
+    inputs = [f"{f}__filled" for f in features]
+
+    def logistic(params: dict) -> PipelineModel:
+        stages = [
+            VectorAssembler(inputCols=inputs, outputCol="assembled"),
+            # ML scales by the sample deviation; on n rows this differs by sqrt(n / (n - 1)) only
+            StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True, withStd=True),
+            _logistic(params, sum(counts)),
+        ]
+        return Pipeline(stages=stages).fit(with_weights(filled, params.get("class_weight") == "balanced"))
+
     if family == LOGISTIC:
-        stages = [*_preparation(features, True), _logistic(params, sum(sizes.values()))]
-        return FittedModel(family, params, classes, {"all": Pipeline(stages=stages).fit(weighted)})
-    if family == FOREST:
-        stages = [*_preparation(features, False), _forest(params)]
-        return FittedModel(family, params, classes, {"all": Pipeline(stages=stages).fit(weighted)})
-    if family == BOOSTED:
-        pipelines = {}
-        for c in classes:
-            marked = weighted.withColumn("_is_class", (F.col(LABEL) == c).cast("double"))
-            pipelines[str(c)] = Pipeline(stages=[*_preparation(features, False), _boosted(params)]).fit(marked)
-        return FittedModel(family, params, classes, pipelines)
-    raise ValueError(f"unknown model family: {family}")
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            fitted = [{"pipeline": p} for p in pool.map(logistic, trials)]
+    else:
+        module = boosting if family == BOOSTED else forest
+        settings = [module.Settings.of(p, SEED) for p in trials]
+        fitted = [{"trees": t} for t in module.fit_trees(filled, inputs, LABEL, classes, counts, settings)]
+    return [FittedModel(family, p, classes, tuple(features), medians, **f) for p, f in zip(trials, fitted)]
+
+
+def fit(family: str, params: dict, train: DataFrame, features: list[str] = FEATURES) -> FittedModel:
+    return fit_all(family, [params], train, features)[0]
 
 
 # ---- persistence --------------------------------------------------------------------
@@ -146,7 +148,7 @@ def fit(family: str, params: dict, train: DataFrame, features: list[str] = FEATU
 
 @dataclass(frozen=True)
 class ChampionMetadata:
-    """What scoring needs besides the pipelines."""
+    """What scoring needs besides the fitted model."""
 
     pickup_location_id: int | None
     model_name: str
@@ -164,17 +166,23 @@ class ChampionMetadata:
 
 
 def save_champion(spark: SparkSession, model: FittedModel, meta: ChampionMetadata, path: str) -> None:
-    for key, pipeline in model.pipelines.items():
-        pipeline.write().overwrite().save(f"{path}/pipelines/{key}")
-    text = spark.createDataFrame([(json.dumps(asdict(meta)),)], "value string")
-    text.coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+    if model.trees is not None:
+        model.trees.save(spark, f"{path}/trees")
+    else:
+        model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    for name, value in (("metadata", asdict(meta)), ("medians", model.medians)):
+        text = spark.createDataFrame([(json.dumps(value),)], "value string")
+        text.coalesce(1).write.mode("overwrite").text(f"{path}/{name}")
 
 
 def load_champion(spark: SparkSession, path: str) -> tuple[FittedModel, ChampionMetadata]:
-    meta = ChampionMetadata(**json.loads(spark.read.text(f"{path}/metadata").first()["value"]))
-    keys = [str(c) for c in meta.classes] if meta.model_name == BOOSTED else ["all"]
-    pipelines = {k: PipelineModel.load(f"{path}/pipelines/{k}") for k in keys}
-    return FittedModel(meta.model_name, meta.best_params, tuple(meta.classes), pipelines), meta
+    meta, medians = (json.loads(spark.read.text(f"{path}/{name}").first()["value"]) for name in ("metadata", "medians"))
+    meta = ChampionMetadata(**meta)
+    if meta.model_name == LOGISTIC:
+        held = {"pipeline": PipelineModel.load(f"{path}/pipeline")}
+    else:
+        held = {"trees": TreeModel.load(spark, f"{path}/trees")}
+    return FittedModel(meta.model_name, meta.best_params, tuple(meta.classes), tuple(meta.features), medians, **held), meta
 
 
 def probability_columns() -> list[Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -48,3 +48,11 @@ def scratch_root(spark: SparkSession) -> str:
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder path below the scratch root; nothing is created yet."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written once below the scratch root, so later jobs and lost executors read it again."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(scratch_root(df.sparkSession))
+    return df.checkpoint()
