@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.ml.trees import LOCAL_ROWS, SCALE, Layout, TreeModel, TreeNodes, binned_blocks, fit_locally, histograms, learn_layout, pack, uniform, unpack
+from tidegrid.ml.trees import LOCAL_ROWS, SCALE, BinnedFrame, Layout, TreeModel, TreeNodes, fit_locally, histograms, pack, uniform, unpack
 from tidegrid.session import checkpointed
 
 LEAST_HESSIAN = 1e-3
@@ -338,12 +338,8 @@ def boost_table(blocks: DataFrame, features: int, counts: np.ndarray, layout: La
     return [pack(f, layout, s, True) for f, (_, s) in zip(forests, facts)]
 
 
-def fit_trees(frame: DataFrame, features: list[str], label: str, classes: tuple[int, ...], counts: list[int], trials: list[Settings]) -> list[TreeModel]:
-    """One ensemble per trial, over the classes seen (``classes`` with their row ``counts``). The features are binned once."""
-    layout = learn_layout(frame, features)
-    known = F.array_position(F.array(*map(F.lit, classes)), F.col(label)).cast("int") - 1
-    blocks = checkpointed(binned_blocks(frame.withColumn("_class", known), features, "_class", layout))
-    held = np.array(counts, np.float64)
-    if sum(counts) > LOCAL_ROWS:
-        return boost_table(blocks, len(features), held, layout, trials)
-    return fit_locally(blocks, len(features), lambda bins, labels, ids, t: boost_local(bins, labels, ids, held, layout, t), trials)
+def fit_trees(data: BinnedFrame, trials: list[Settings]) -> list[TreeModel]:
+    """One ensemble per trial, over the classes seen."""
+    if data.counts.sum() > LOCAL_ROWS:
+        return boost_table(data.blocks, data.features, data.counts, data.layout, trials)
+    return fit_locally(data, boost_local, trials)

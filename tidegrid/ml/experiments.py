@@ -10,10 +10,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.functions.cost import penalty
 from tidegrid.ml import models, search
-from tidegrid.ml.models import BOOSTED, FOREST, LABEL, LOGISTIC, FittedModel
+from tidegrid.ml.models import BOOSTED, FOREST, LABEL, LOGISTIC, FittedModel, TrainingSet
 from tidegrid.operators.evaluation import classification_scores
-from tidegrid.schemas import EXPERIMENTS, FEATURES
+from tidegrid.schemas import EXPERIMENTS
 
 METRICS = ["mean_penalty", "total_penalty", "accuracy", "precision_macro", "recall_macro", "macro_f1"]
 
@@ -61,19 +62,22 @@ class Experiment:
     metrics: dict[str, float]
 
 
-def tune(
-    family: str, train: DataFrame, validation: DataFrame, trials: int = 20, space: dict | None = None,
-    features: list[str] = FEATURES, parallel: int = 4, base: dict | None = None,
-) -> dict:
-    """Parameters of least validation mean penalty by a seeded search; the first of equal trials wins.
+def penalties(fitted: list[FittedModel], frame: DataFrame) -> list[float]:
+    """Mean penalty of each model on the labelled rows of a frame, all in one aggregate."""
+    known = models.as_model_input(frame.filter(F.col(LABEL).isNotNull()))
+    columns = known.columns
+    for i, model in enumerate(fitted):
+        known = model.predict(known).withColumnRenamed("predicted_class", f"said_{i}").select(*columns, f"said_{i}")
+        columns = [*columns, f"said_{i}"]
+    return list(known.agg(*(F.avg(penalty(F.col(LABEL), F.col(f"said_{i}"))).alias(f"loss_{i}") for i in range(len(fitted)))).first())
+
 
-    A batch of trials is fitted together; its evaluations are independent Spark jobs from a few driver threads.
-    """
+def tune(family: str, train: TrainingSet, validation: DataFrame, trials: int = 20, space: dict | None = None, parallel: int = 4, base: dict | None = None) -> dict:
+    """Parameters of least validation mean penalty by a seeded search; the first of equal trials wins.
+    A batch of trials is fitted and scored together."""
 
     def losses(batch: list[dict]) -> list[float]:
-        fitted = models.fit_all(family, [{**(base or {}), **p} for p in batch], train, features, parallel)
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
-            return [m["val_mean_penalty"] for m in pool.map(lambda f: evaluate(f, validation, "val"), fitted)]
+        return penalties(models.fit_all(family, [{**(base or {}), **p} for p in batch], train, parallel), validation)
 
     seen = search.minimise(space or SEARCH_SPACES[family], losses, trials, models.SEED)
     best = min(range(len(seen)), key=lambda i: seen[i][1])
@@ -87,13 +91,14 @@ def run_experiments(
     """Each family once with defaults and once tuned, scored on the validation rows. Families run side by side."""
     stamp = (started or dt.datetime.now(dt.timezone.utc)).strftime("%Y%m%d_%H%M%S")
     numbered = list(enumerate(plan or EXPERIMENT_PLAN, start=1))
+    ready = models.TrainingSet(train)
 
     def runs(family: str) -> list[Experiment]:
         out = []
         for order, (name, _, tuned) in (n for n in numbered if n[1][1] == family):
             base = (defaults or {}).get(family, {})
-            params = tune(family, train, validation, trials, (spaces or {}).get(family), base=base) if tuned else dict(base)
-            metrics = evaluate(models.fit(family, params, train), validation, "val")
+            params = tune(family, ready, validation, trials, (spaces or {}).get(family), base=base) if tuned else dict(base)
+            metrics = evaluate(models.fit(family, params, ready), validation, "val")
             out.append(Experiment(f"run_{stamp}_{name.lower()}", order, name, family, tuned, params, metrics))
         return out
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegrid.ml.trees import LOCAL_ROWS, SCALE, Layout, TreeModel, TreeNodes, binned_blocks, fit_locally, learn_layout, pack, uniform, unpack
+from tidegrid.ml.trees import LOCAL_ROWS, SCALE, BinnedFrame, Layout, TreeModel, TreeNodes, fit_locally, pack, uniform, unpack
 from tidegrid.session import checkpointed
 
 #: Cumulative Poisson(1) probabilities: how often a bootstrap sample takes a row.
@@ -297,12 +297,8 @@ def collected(table: DataFrame, counts: np.ndarray, layout: Layout, trials: list
     return out
 
 
-def fit_trees(frame: DataFrame, features: list[str], label: str, classes: tuple[int, ...], counts: list[int], trials: list[Settings]) -> list[TreeModel]:
-    """One forest per trial, over the classes seen (``classes`` with their row ``counts``). The features are binned once."""
-    layout = learn_layout(frame, features)
-    known = F.array_position(F.array(*map(F.lit, classes)), F.col(label)).cast("int") - 1
-    blocks = checkpointed(binned_blocks(frame.withColumn("_class", known), features, "_class", layout))
-    held = np.array(counts, np.float64)
-    if sum(counts) > LOCAL_ROWS:
-        return collected(node_table(blocks, len(features), held, trials), held, layout, trials)
-    return fit_locally(blocks, len(features), lambda bins, labels, ids, t: forest_local(bins, labels, ids, held, layout, t), trials)
+def fit_trees(data: BinnedFrame, trials: list[Settings]) -> list[TreeModel]:
+    """One forest per trial, over the classes seen."""
+    if data.counts.sum() > LOCAL_ROWS:
+        return collected(node_table(data.blocks, data.features, data.counts, trials), data.counts, data.layout, trials)
+    return fit_locally(data, forest_local, trials)

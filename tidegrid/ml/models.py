@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field
+from threading import Lock
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.cost import CLASSES, cheapest_class
 from tidegrid.ml import boosting, forest
-from tidegrid.ml.trees import TreeModel
+from tidegrid.ml.trees import BinnedFrame, TreeModel, binned_frame
 from tidegrid.operators.evaluation import class_weights
 from tidegrid.operators.quantile import interpolated_quantiles
 from tidegrid.schemas import FEATURES, MODEL_VERSION, PENALTY_VERSION
@@ -102,45 +103,60 @@ def with_weights(train: DataFrame, balanced: bool) -> DataFrame:
     return train.join(F.broadcast(weights), F.col(LABEL) == F.col("_class")).drop("_class")
 
 
-def fit_all(family: str, trials: list[dict], train: DataFrame, features: list[str] = FEATURES, parallel: int = 4) -> list[FittedModel]:
-    """One model per set of parameters on the same labelled rows. The caller persists ``train``; fitting iterates over it.
+class TrainingSet:
+    """Labelled rows made ready once for any number of fits: class counts, medians, filled features, binned blocks.
+
+    The caller persists ``train``; fitting iterates over it.
+    """
+
+    def __init__(self, train: DataFrame, features: list[str] = FEATURES):
+        known = as_model_input(train.filter(F.col(LABEL).isNotNull()), features)
+        sizes = {r[LABEL]: r["n"] for r in known.groupBy(LABEL).agg(F.count("*").alias("n")).collect()}
+        if not sizes:
+            raise ValueError("no labelled rows to fit")
+        self.features, self.inputs = tuple(features), [f"{f}__filled" for f in features]
+        self.classes = tuple(sorted(sizes))
+        self.counts = [sizes[c] for c in self.classes]
+        self.medians = exact_medians(known, features)
+        self.filled = known.withColumns(filled_columns(features, self.medians))
+        self._lock, self._binned = Lock(), None
+
+    def binned(self) -> BinnedFrame:
+        with self._lock:
+            if self._binned is None:
+                self._binned = binned_frame(self.filled, self.inputs, LABEL, self.classes, self.counts)
+            return self._binned
+
+
+def fit_all(family: str, trials: list[dict], train: TrainingSet, parallel: int = 4) -> list[FittedModel]:
+    """One model per set of parameters on the same rows.
 
     Tree ensembles share one binned frame and one job (or one aggregate a step, see ``trees.LOCAL_ROWS``); the
     logistic fits are independent Spark jobs, submitted from a few driver threads.
     """
     if family not in FAMILIES:
         raise ValueError(f"unknown model family: {family}")
-    known = as_model_input(train.filter(F.col(LABEL).isNotNull()), features)
-    sizes = {r[LABEL]: r["n"] for r in known.groupBy(LABEL).agg(F.count("*").alias("n")).collect()}
-    if not sizes:
-        raise ValueError("no labelled rows to fit")
-    classes = tuple(sorted(sizes))
-    counts = [sizes[c] for c in classes]
-    medians = exact_medians(known, features)
-    filled = known.withColumns(filled_columns(features, medians))
-    inputs = [f"{f}__filled" for f in features]
 
     def logistic(params: dict) -> PipelineModel:
         stages = [
-            VectorAssembler(inputCols=inputs, outputCol="assembled"),
+            VectorAssembler(inputCols=train.inputs, outputCol="assembled"),
             # ML scales by the sample deviation; on n rows this differs by sqrt(n / (n - 1)) only
             StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True, withStd=True),
-            _logistic(params, sum(counts)),
+            _logistic(params, sum(train.counts)),
         ]
-        return Pipeline(stages=stages).fit(with_weights(filled, params.get("class_weight") == "balanced"))
+        return Pipeline(stages=stages).fit(with_weights(train.filled, params.get("class_weight") == "balanced"))
 
     if family == LOGISTIC:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
             fitted = [{"pipeline": p} for p in pool.map(logistic, trials)]
     else:
         module = boosting if family == BOOSTED else forest
-        settings = [module.Settings.of(p, SEED) for p in trials]
-        fitted = [{"trees": t} for t in module.fit_trees(filled, inputs, LABEL, classes, counts, settings)]
-    return [FittedModel(family, p, classes, tuple(features), medians, **f) for p, f in zip(trials, fitted)]
+        fitted = [{"trees": t} for t in module.fit_trees(train.binned(), [module.Settings.of(p, SEED) for p in trials])]
+    return [FittedModel(family, p, train.classes, train.features, train.medians, **f) for p, f in zip(trials, fitted)]
 
 
-def fit(family: str, params: dict, train: DataFrame, features: list[str] = FEATURES) -> FittedModel:
-    return fit_all(family, [params], train, features)[0]
+def fit(family: str, params: dict, train: DataFrame | TrainingSet, features: list[str] = FEATURES) -> FittedModel:
+    return fit_all(family, [params], train if isinstance(train, TrainingSet) else TrainingSet(train, features))[0]
 
 
 # ---- persistence --------------------------------------------------------------------

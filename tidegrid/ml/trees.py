@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.session import checkpointed
+
 #: Quantiles from which a feature's cuts are taken; fewer distinct values are cut half way between all of them.
 QUANTILES = 255
 #: Rows of one block of a binned frame.
@@ -73,6 +75,23 @@ def binned_blocks(frame: DataFrame, features: list[str], label: str, layout: Lay
     return plain.mapInArrow(run, "block long, n long, bins binary, labels binary, ids binary")
 
 
+@dataclass(frozen=True)
+class BinnedFrame:
+    """A labelled frame as blocks of binned rows; labels are places in ``counts``, the classes' numbers of rows."""
+
+    blocks: DataFrame
+    layout: Layout
+    features: int
+    counts: np.ndarray
+
+
+def binned_frame(frame: DataFrame, features: list[str], label: str, classes: tuple[int, ...], counts: list[int]) -> BinnedFrame:
+    layout = learn_layout(frame, features)
+    known = F.array_position(F.array(*map(F.lit, classes)), F.col(label)).cast("int") - 1
+    blocks = checkpointed(binned_blocks(frame.withColumn("_class", known), features, "_class", layout))
+    return BinnedFrame(blocks, layout, len(features), np.array(counts, np.float64))
+
+
 def unpack(row: dict, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bins, labels, ids) of a block."""
     return np.frombuffer(row["bins"], "<i4").reshape(-1, features), np.frombuffer(row["labels"], "<i4"), np.frombuffer(row["ids"], "<i8")
@@ -209,18 +228,20 @@ def pack(trees: list[tuple[TreeNodes, np.ndarray]], layout: Layout, start: np.nd
     )
 
 
-def fit_locally(blocks: DataFrame, features: int, fit: Callable, trials: list) -> list[TreeModel]:
+def fit_locally(data: BinnedFrame, fit: Callable, trials: list) -> list[TreeModel]:
     """Trials as tasks of one job over a broadcast frame of at most ``LOCAL_ROWS`` rows."""
-    spark = blocks.sparkSession
-    parts = [unpack(r.asDict(), features) for r in blocks.collect()]
+    spark = data.blocks.sparkSession
+    parts = [unpack(r.asDict(), data.features) for r in data.blocks.collect()]
     order = np.argsort(np.concatenate([ids for _, _, ids in parts]), kind="stable")
     whole = spark.sparkContext.broadcast([np.concatenate([p[i] for p in parts])[order] for i in range(3)])
-    listed = spark.range(0, len(trials), 1, len(trials))
+    counts, layout = data.counts, data.layout
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in batch.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([pickle.dumps(vars(fit(*whole.value, trials[i])))], pa.binary())], ["id", "model"])
+                model = fit(*whole.value, counts, layout, trials[i])
+                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([pickle.dumps(vars(model))], pa.binary())], ["id", "model"])
 
-    rows = {r["id"]: TreeModel(**pickle.loads(bytes(r["model"]))) for r in listed.mapInArrow(run, "id long, model binary").collect()}
-    return [rows[i] for i in range(len(trials))]
+    rows = spark.range(0, len(trials), 1, len(trials)).mapInArrow(run, "id long, model binary").collect()
+    models = {r["id"]: TreeModel(**pickle.loads(bytes(r["model"]))) for r in rows}
+    return [models[i] for i in range(len(trials))]
