@@ -32,6 +32,22 @@ def test_sampled_pieces_are_lossless_and_reproducible(odd_docs, no_docs):
     assert piece_sampling.sample_pieces(no_docs, PIECES).count() == 0
 
 
+def test_tables_dont_depend_on_what_is_learned_together(small_docs):
+    v = Vocabulary.load(PIECES)
+    alone, together = piece_sampling.Sampler(v, 0.5), piece_sampling.Sampler(v, 0.5)
+    chunks = sorted({c for r in small_docs.select("text").limit(60).collect() for c in alone.chunks(" " + r["text"])})[:3000]
+    together.learn(chunks)
+    for at in range(0, len(chunks), 7):
+        alone.learn(chunks[at : at + 7])
+
+    def tables(s, chunk):
+        k = s.place[chunk]
+        edges = [s.first[i] for i in range(s.start[k] + 1, s.end[k] + 1)]
+        return [(int(s.piece[e]), float(s.upto[e])) for first in edges for e in range(first, first + 1 + int(np.argmax(s.upto[first:] == 2.0)))]
+
+    assert all(tables(alone, c) == tables(together, c) for c in chunks)
+
+
 def test_samples_follow_the_lattice_distribution():
     v = Vocabulary.load(PIECES)
     sampler, n, word = piece_sampling.Sampler(v, 0.5), 60_000, "▁then"

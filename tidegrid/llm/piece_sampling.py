@@ -25,6 +25,8 @@ BYTE_BASE = 0xF0000
 SLICE_BYTES = 4 << 20
 #: Chunks whose sampling tables a task keeps; it starts afresh beyond.
 TABLE_CHUNKS = 500_000
+#: Shares of a node's edges are counted in units of one over this.
+SHARES = float(1 << 40)
 
 _STEP = 0x9E3779B97F4A7C15
 
@@ -86,14 +88,15 @@ class Sampler:
             reach[lattice.head[at][first]] = total
             share[at] = np.exp(value - np.repeat(total, np.diff(np.append(first, len(value)))))
         # by end, longest first: mostly the likeliest edge is tried first
-        by_end = np.empty(len(share))
-        by_end[lattice.order] = share
+        # shares are summed as whole numbers, so a node's sums don't depend on the nodes before it
+        by_end = np.empty(len(share), np.int64)
+        by_end[lattice.order] = np.rint(share * SHARES)
         head, piece = np.empty_like(lattice.head), np.empty(len(share), np.int32)
         head[lattice.order], piece[lattice.order] = lattice.head, lattice.piece
         first = np.flatnonzero(np.concatenate([[True], head[1:] != head[:-1]]))
         sizes = np.diff(np.append(first, len(head)))
         running = np.cumsum(by_end)
-        upto = (running - np.repeat(running[first] - by_end[first], sizes)).astype(np.float32)
+        upto = ((running - np.repeat(running[first] - by_end[first], sizes)) / SHARES).astype(np.float32)
         upto[first + sizes - 1] = 2.0  # the last edge takes what is left, whatever was lost in summing
         edges = np.zeros(n, np.int32)
         edges[head[first]] = len(self.piece) + first
