@@ -67,9 +67,9 @@ def mixing_law(docs: DataFrame, weights: Sequence[int], share: float, cap: float
     targets = checkpoint(source_targets(sizes, weights, share, cap))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     plan = targets.select(F.col("source").alias("law_source"), "source_size", "target", whole.cast("int").alias("whole"))
-    goal = plan.select(
-        F.col("law_source").alias("goal_source"), (F.col("target") - F.col("whole") * F.col("source_size")).alias("wanted"), F.lit(0).cast("long").alias("taken_before")
-    )
+    wanted = F.col("target") - F.col("whole") * F.col("source_size")
+    # a source whose target is a whole multiple has no boundary: its threshold is 0
+    goal = plan.where(wanted > 0).select(F.col("law_source").alias("goal_source"), wanted.alias("wanted"), F.lit(0).cast("long").alias("taken_before"))
     rows, shift = staged, HASH_BITS
     for level in range(3):
         shift = max(0, shift - LEVEL_BITS) if level < 2 else 0
@@ -101,7 +101,10 @@ def mix(
     rows are then filtered by comparing hashes, never sorted. Of the two thresholds around the
     target the nearer one is taken (the lower on a tie), so a source misses its target by at most half a
     document. Rows equal in key and text share a hash and are taken together. A null source is a source
-    of its own, last in order; null and empty texts have size 0; without any size all targets are 0.
+    of its own, last in order; null and empty texts have size 0 and are taken like their source's others, never more
+    often than ``cap``, rounded up; without any size all targets are 0. Repeated rows are taken alike. An empty table gives no rows.
+
+    A source's histogram has at most 2^14 buckets a level, so the windows over it are bounded however large the source is.
     """
     staged, law = mixing_law(docs, weights, share, cap, key, source, text)
     law = small_side(law, BROADCAST_SOURCES)
@@ -116,7 +119,8 @@ def mixed_rows(
     docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, cap: float = 2.0,
     key: str = "doc_id", source: str = "source", text: str = "text",
 ) -> DataFrame:
-    """The mix itself: the rows of ``docs``, all columns, each as often as it is taken (perhaps never)."""
+    """The mix itself: the rows of ``docs``, all columns, each as often as it is taken (perhaps never).
+    Nulls, ties, repeated rows and empty tables count as in ``mix``."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = {c: names[docs.columns.index(c)] for c in (key, source, text)}
     _, law = mixing_law(docs, weights, share, cap, key, source, text)
