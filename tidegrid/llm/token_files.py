@@ -113,13 +113,21 @@ class Encoder:
         return [b"".join(map(known.__getitem__, ws)) + end for ws in split]
 
 
+def sample_texts(docs: DataFrame) -> list[bytes]:
+    """The ``SAMPLE_DOCS`` texts of least hash, or fewer, among those of at most ``SAMPLE_BYTES``. Whatever the table's size, only
+    texts below a hash threshold that keeps about twice as many rows meet; rows equal in id and length are one."""
+    n = docs.count()
+    tagged = docs.where(F.octet_length("text").between(1, SAMPLE_BYTES)).select("text", F.xxhash64("doc_id", F.octet_length("text")).alias("h"))
+    free = 63 - max(0, (n // (2 * SAMPLE_DOCS)).bit_length() - 1)  # bits of a hash below the threshold
+    least = tagged.where(F.shiftrightunsigned("h", 1) < F.lit(1 << free)) if free < 63 else tagged
+    rows = least.groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(SAMPLE_DOCS).collect()
+    return [r["text"].encode() for r in rows]
+
+
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, width: int) -> bytes:
-    """A zstandard dictionary trained on the serialized ids of a bounded sample: the ``SAMPLE_DOCS``
-    documents of least hash among those of at most ``SAMPLE_BYTES``. Too few of them to train on give
-    the sample itself as a raw-content dictionary, no documents an empty one."""
-    fit = docs.where(F.octet_length("text").between(1, SAMPLE_BYTES))
-    texts = [r["text"].encode() for r in fit.select("text", F.xxhash64("doc_id", "text").alias("h")).orderBy("h").limit(SAMPLE_DOCS).collect()]
-    samples = Encoder(tokenizer, width).ids(texts, np.array([end_id], f"<u{width}").tobytes())
+    """A zstandard dictionary trained on the serialized ids of a bounded sample of texts. Too few of them to
+    train on give the sample itself as a raw-content dictionary, no documents an empty one."""
+    samples = Encoder(tokenizer, width).ids(sample_texts(docs), np.array([end_id], f"<u{width}").tobytes())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
