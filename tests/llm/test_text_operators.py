@@ -1,6 +1,7 @@
 """Quality, mixing, sharding, chat and fingerprints against brute force and on odd rows."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -58,6 +59,53 @@ def test_decision_list_separates_and_is_ordered(spark, small_docs):
     assert all(r["kept"] == (r["doc_id"] % 4 != 0) for r in got)
 
 
+USUAL = {
+    "n_words": (200, 20), "word_chars": (1000, 50), "n_symbols": (5, 4), "n_dup_lines": (0, 1), "n_repeat_words": (0, 1), "n_distinct_words": (150, 10),
+    "n_lines": (20, 3), "n_upper": (30, 10), "n_marks": (4, 4), "n_digits": (20, 10),
+}
+KINDS = [
+    {"n_symbols": 60}, {"n_upper": 300}, {"n_marks": 60}, {"n_digits": 200}, {"n_dup_lines": 8}, {"n_repeat_words": 40}, {"n_distinct_words": 60}, {"word_chars": 2500},
+    {"word_chars": 500}, {"n_lines": 150}, {"n_lines": 3}, {"n_symbols": 25, "n_digits": 60},
+]
+
+
+def statistics(spark, rng, kinds):
+    """One row of statistics for each entry of ``kinds`` (None: a good text), numbered in order."""
+    rows = []
+    for i, kind in enumerate(kinds):
+        counts = {c: v + rng.randrange(j) for c, (v, j) in USUAL.items()}
+        if kind is None and rng.random() < 0.3:  # a good text may have one of what the last kind has both of
+            counts[rng.choice(["n_symbols", "n_digits"])] += 25 if rng.random() < 0.5 else 15
+        counts.update({c: v + rng.randrange(5) for c, v in (KINDS[kind] if kind is not None else {}).items()})
+        rows.append((i, tuple(counts[c] for c in quality.COUNTS)))
+    kind_of = ", ".join(f"{c}: long" for c in quality.COUNTS)
+    return quality.checkpoint(spark.createDataFrame(rows, f"doc_id long, stats struct<{kind_of}>"))
+
+
+def rejected(model, rows):
+    return {r["doc_id"] for r in rows.where(~model.keeps(F.col("stats"))).select("doc_id").collect()}
+
+
+def test_a_rule_for_each_of_twelve_kinds(spark):
+    kinds = [k % 24 if k % 24 < 12 else None for k in range(2400)]
+    rows = statistics(spark, random.Random(5), kinds)
+    labels = spark.createDataFrame([(i, int(k is None)) for i, k in enumerate(kinds)], "doc_id long, quality int")
+    out = rejected(quality.learn_decision_list(rows, labels), rows)
+    bad = {i for i, k in enumerate(kinds) if k is not None}
+    assert len(bad - out) <= 6 and len(out - bad) <= 6
+
+
+def test_a_rare_kind_and_wrong_labels(spark):
+    kinds = [2 if k % 333 == 0 else 0 if k % 3 == 0 else None for k in range(2997)]  # 0.3 % of kind 2
+    rng = random.Random(6)
+    wrong = {rng.randrange(2997) for _ in range(25)}
+    rows = statistics(spark, rng, kinds)
+    labels = spark.createDataFrame([(i, int((k is None) != (i in wrong))) for i, k in enumerate(kinds)], "doc_id long, quality int")
+    out = rejected(quality.learn_decision_list(rows, labels), rows)
+    rare, bad = {i for i, k in enumerate(kinds) if k == 2}, {i for i, k in enumerate(kinds) if k is not None}
+    assert rare <= out and len(bad - out) <= 5 and len(out - bad) <= 15
+
+
 def test_shards(odd_docs, no_docs, small_docs):
     rows = sharding.assign_shards(odd_docs.union(small_docs.selectExpr("doc_id + 100", "text", "lang", "source", "n_chars", "''", "''", "0"))).collect()
     slots = defaultdict(list)
@@ -91,6 +139,15 @@ def test_mix_on_odd_rows(odd_docs, no_docs):
     assert out.columns == odd_docs.columns and out.count() == sum(r["copies"] for r in rows)
 
 
+def test_no_row_comes_more_often_than_the_cap(spark):
+    rows = [(i, "" if i % 2 else "one two three", "a") for i in range(80)] + [(i, "word " * 40, "b") for i in range(80, 120)] + [(200, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(docs, share=1.9).collect()
+    assert max(r["copies"] for r in out) <= 2 and {r["copies"] for r in out if r["source_size"] == 120} == {2}
+    times = {r["doc_id"]: r["n"] for r in mixing.mixed_rows(docs, share=1.9).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert times == {r["doc_id"]: r["copies"] for r in out if r["copies"]}
+
+
 def test_targets_reshare(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 0), (None, 500)], "source string, source_size long")
     got = {r["source"]: r["target"] for r in mixing.source_targets(sizes, (5, 2, 1), 1.5, 2.0).collect()}

@@ -9,10 +9,12 @@ from itertools import pairwise
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import WORD, checkpoint, let, pick
+from tidegrid.llm.common import WORD, checkpoint, let, pick, small_side
 
 #: Words of a window whose repetition counts.
 WINDOW = 8
+#: Labelled ids are broadcast up to so many (8 bytes each), and shuffled beyond.
+BROADCAST_LABELS = 1_000_000
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct_words", "n_lines", "n_upper", "n_marks", "n_digits")
 
@@ -132,18 +134,60 @@ def _gain(p0: float, n0: float, p: float, n: float) -> float:
     return p * (math.log2((p + 1) / (p + n + 1)) - math.log2((p0 + 1) / (p0 + n0 + 1))) if p else -1.0
 
 
+def _covering_cuts(rows: DataFrame, names: list[str], n_cuts: int) -> dict[str, list[float]]:
+    """Cuts half way between neighbouring quantiles that the good and the bad rows have, each class for itself, so a kind that is
+    rare among all rows still has cuts of its own."""
+    share = [i / n_cuts for i in range(n_cuts + 1)]
+    sketches = [F.percentile_approx(F.when(F.col("bad") == bad, F.col(n)), share, 10_000).alias(f"{n}_{bad}") for n in names for bad in (True, False)]
+    found = rows.agg(*sketches).first()
+    points = {n: sorted({*(found[f"{n}_True"] or []), *(found[f"{n}_False"] or [])}) for n in names}
+    return {n: [(a + b) / 2 for a, b in pairwise(p)] for n, p in points.items()}
+
+
+def _covered(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[tuple[int, str, int], tuple[int, int]]:
+    """(bad, good) rows by fold, feature and bin, in one aggregate."""
+
+    def bin_of(name: str) -> Column:
+        value = F.col(name)
+        return F.size(F.filter(F.array(*map(F.lit, cuts[name])), lambda cut: cut < value)) if cuts[name] else F.lit(0)
+
+    per = F.explode(F.array(*(F.struct(F.lit(n).alias("feature"), bin_of(n).alias("bin")) for n in cuts))).alias("x")
+    table = rows.select("fold", "bad", per).groupBy("fold", "x.feature", "x.bin").agg(F.count_if("bad").alias("p"), F.count_if(~F.col("bad")).alias("n"))
+    return {(r["fold"], r["feature"], r["bin"]): (r["p"], r["n"]) for r in table.collect()}
+
+
+def _fold_counts(table: dict, fold: int, feature: str) -> tuple[int, int]:
+    rows = [v for (f, n, _), v in table.items() if f == fold and n == feature]
+    return sum(p for p, _ in rows), sum(n for _, n in rows)
+
+
+def _best_condition(table: dict, cuts: dict[str, list[float]], p0: int, n0: int, least_covered: int) -> Condition | None:
+    gain, top = 1e-9, None
+    for name, points in cuts.items():
+        p = n = 0
+        for at, cut in enumerate(points):
+            dp, dn = table.get((0, name, at), (0, 0))
+            p, n = p + dp, n + dn
+            for condition, a, b in ((Condition(name, False, cut), p, n), (Condition(name, True, cut), p0 - p, n0 - n)):
+                if a >= least_covered and b < n0 and (g := _gain(p0, n0, a, b)) > gain:
+                    gain, top = g, condition
+    return top
+
+
 def learn_decision_list(
-    statistics: DataFrame, labels: DataFrame, n_cuts: int = 63, most_rules: int = 8, most_conditions: int = 4,
-    least_precision: float = 0.95, least_covered: int = 3,
+    statistics: DataFrame, labels: DataFrame, n_cuts: int = 63, least_precision: float = 0.95, least_covered: int = 3,
 ) -> DecisionList:
     """Sequential covering over all labelled rows: grow a rule for quality 0 condition by condition on
     two thirds of them, prune it on the rest, accept it if it is precise, drop what it covers, repeat.
 
-    ``statistics`` has doc_id and stats, ``labels`` doc_id and quality. Every step is one aggregate of
-    (fold, feature, bin) counts over the binned rows, at most 2 x 9 x (n_cuts + 1) rows whatever the
-    input; cuts lie between quantiles of each feature. Folds come from a hash of doc_id. Documents with
+    ``statistics`` has doc_id and stats, ``labels`` doc_id and quality. A step is two aggregates over the rows that the
+    rule still covers: quantiles of each feature in each class give the cuts, so they get finer around what was chosen before,
+    and counts by (fold, feature, bin) the gains; at most 2 x 9 x 2 (n_cuts + 1) rows come back whatever the input. A rule grows
+    until it covers no good row or nothing helps. A rule that isn't precise on the held-out rows is not learned, and the bad rows
+    that it covers are set aside, so covering goes on until no rule covers ``least_covered`` bad rows: the
+    number of rules and of conditions isn't limited. Folds come from a hash of doc_id. Documents with
     contradicting labels are left out, as are texts that the base rules reject anyway. Without labels,
-    or with one class only, the list is empty and keeps everything.
+    or with one class only, the list is empty and keeps everything. Repeated rows count as often as they are there.
     """
     known = (
         pick(labels, "doc_id", "quality").where(F.col("quality").isNotNull())
@@ -155,74 +199,34 @@ def learn_decision_list(
         F.when(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0, F.lit(1)).otherwise(F.lit(0)).alias("fold"), (F.col("q") == 0).alias("bad"),
         *(v.alias(n) for n, v in features(F.col("stats")).items()),
     )
-    values = checkpoint(values)
-    share = [i / n_cuts for i in range(n_cuts + 1)]
-    found = values.agg(*(F.percentile_approx(n, share, 10_000).alias(n) for n in names)).first()
-    # half way between neighbouring quantiles, so a cut keeps its distance from what it was learned on
-    cuts = {n: [(a + b) / 2 for a, b in pairwise(sorted(set(found[n] or [])))] for n in names}
-
-    def bin_of(name: str) -> Column:
-        value = F.col(name)
-        return F.size(F.filter(F.array(*map(F.lit, cuts[name])), lambda cut: cut < value)) if cuts[name] else F.lit(0)
-
-    binned = checkpoint(values.select("fold", "bad", *(bin_of(n).alias(n) for n in names)))
-
-    def met(rule: list[Condition]) -> Column:
-        out = F.lit(True)
-        for c in rule:
-            at = cuts[c.feature].index(c.cut)
-            out = out & ((F.col(c.feature) > at) if c.above else (F.col(c.feature) <= at))
-        return out
-
-    def counted(left: Column, rule: list[Condition]) -> dict[tuple[int, str, int], tuple[int, int]]:
-        per = F.explode(F.array(*(F.struct(F.lit(n).alias("feature"), F.col(n).alias("bin")) for n in names))).alias("x")
-        table = (
-            binned.where(left & met(rule)).select("fold", "bad", per).groupBy("fold", "x.feature", "x.bin")
-            .agg(F.count_if("bad").alias("p"), F.count_if(~F.col("bad")).alias("n")).collect()
-        )
-        return {(r["fold"], r["feature"], r["bin"]): (r["p"], r["n"]) for r in table}
-
-    def totals(table: dict, fold: int) -> tuple[int, int]:
-        rows = [v for (f, n, _), v in table.items() if f == fold and n == names[0]]
-        return sum(p for p, _ in rows), sum(n for _, n in rows)
-
-    def best(table: dict, p0: int, n0: int) -> tuple[float, Condition | None]:
-        top: tuple[float, Condition | None] = (1e-9, None)
-        for name in names:
-            p = n = 0
-            for at, cut in enumerate(cuts[name]):
-                dp, dn = table.get((0, name, at), (0, 0))
-                p, n = p + dp, n + dn
-                for condition, a, b in ((Condition(name, False, cut), p, n), (Condition(name, True, cut), p0 - p, n0 - n)):
-                    if a >= least_covered and (g := _gain(p0, n0, a, b)) > top[0]:
-                        top = g, condition
-        return top
-
-    learned, left = DecisionList(), F.lit(True)
-    while len(learned.rules) < most_rules:
+    left, learned = checkpoint(values), DecisionList()
+    while True:
         rule: list[Condition] = []
+        covered = left
         held_out: list[tuple[int, int]] = []  # what each prefix of the rule covers in the pruning fold
         while True:
-            table = counted(left, rule)
-            p0, n0 = totals(table, 0)
-            held_out.append(totals(table, 1))
-            if len(rule) == most_conditions or not p0 or not n0:
-                break
-            _, condition = best(table, p0, n0)
+            cuts = _covering_cuts(covered, names, n_cuts)
+            table = _covered(covered, cuts)
+            p0, n0 = _fold_counts(table, 0, names[0])
+            held_out.append(_fold_counts(table, 1, names[0]))
+            condition = _best_condition(table, cuts, p0, n0, least_covered) if p0 and n0 else None
             if condition is None:
                 break
             rule = [*rule, condition]
+            covered = covered.where(condition.column({n: F.col(n) for n in names}))
         if not rule:
-            break
+            return learned
         worth = [(p - n) / (p + n) if p + n else -1.0 for p, n in held_out[1:]]
         keep = max(range(len(worth)), key=lambda i: (worth[i], -i))
         p, n = held_out[keep + 1]
-        if not p or p < least_precision * (p + n):
-            break
-        rule = rule[: keep + 1]
-        learned.rules.append(rule)
-        left = left & ~met(rule)
-    return learned
+        precise = p > 0 and p >= least_precision * (p + n)
+        rule = rule[: keep + 1] if precise else rule
+        met = F.lit(True)
+        for c in rule:
+            met = met & c.column({n: F.col(n) for n in names})
+        if precise:
+            learned.rules.append(rule)
+        left = checkpoint(left.where(~met if precise else ~met | ~F.col("bad")))
 
 
 def with_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -242,10 +246,13 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that base rules and decision list keep. The list is learned
-    from the labelled rows first; the statistics are then part of the filter, so no text is shuffled."""
+    """The rows of ``docs``, all columns, that base rules and decision list keep. The list is learned first, from
+    the labelled rows alone; the statistics are then part of the filter, so no text is shuffled unless the labels are too
+    many to broadcast. Null and empty texts fail the base rules; rows without an id are judged like all others; repeated rows fare alike; an
+    empty table gives no rows."""
     names = [f"c{i}" for i in range(len(docs.columns))]
-    model = learn_decision_list(with_statistics(docs), labels)
+    listed = small_side(checkpoint(pick(labels, "doc_id").where("doc_id is not null").distinct()), BROADCAST_LABELS)
+    model = learn_decision_list(with_statistics(pick(docs, "doc_id", text).toDF("doc_id", "text").join(listed, "doc_id", "left_semi")), labels)
     body = F.col(names[docs.columns.index(text)])
     verdict = let(text_statistics(body), lambda s: ~base_failed(s) & model.keeps(s))
     return docs.toDF(*names).where(verdict).toDF(*docs.columns)
