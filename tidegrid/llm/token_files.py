@@ -109,8 +109,18 @@ class Encoder:
 
     def ids(self, texts: list[bytes], end: bytes) -> list[bytes]:
         split = [t.split() if b"<|" in t else t.lower().split() for t in texts]
-        known = self.memo.of(set().union(*split))
-        return [b"".join(map(known.__getitem__, ws)) + end for ws in split]
+        known, out, unknown = self.memo.young, [], []
+        for i, ws in enumerate(split):  # most texts have no word that is new
+            try:
+                out.append(b"".join(map(known.__getitem__, ws)) + end)
+            except KeyError:
+                out.append(b"")
+                unknown.append(i)
+        if unknown:
+            known = self.memo.of(set().union(*(split[i] for i in unknown)))
+            for i in unknown:
+                out[i] = b"".join(map(known.__getitem__, split[i])) + end
+        return out
 
 
 def sample_texts(docs: DataFrame) -> list[bytes]:
