@@ -1,62 +1,76 @@
-"""How much work the learning queries ask for; one small forest stands in for every fit."""
+"""The experiment matrix at full settings, run once for the whole session."""
 
+import json
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from tidegrid.ml import experiments, models
+from tidegrid.ml import experiments, models, search
+from tidegrid.registry import learning
+from tidegrid.registry.views import Views
 
 QUERIES = contract.queries()
-DRAWS = 20
-PLAN = {f: DRAWS + 2 for f in models.FAMILIES}  # the defaults, the draws, the best draw again
-
-
-@pytest.fixture
-def fits(monkeypatch):
-    """(family, parameters) of every fit; all scores are equal, so the first run is the champion."""
-    seen, real, stand_in = [], models.fit, []
-
-    def fit(family, params, train, features=models.FEATURES):
-        seen.append((family, params))
-        if not stand_in:
-            stand_in.append(real(models.FOREST, {"n_estimators": 2, "max_depth": 2}, train, features))
-        return stand_in[0]
-
-    monkeypatch.setattr(models, "fit", fit)
-    monkeypatch.setattr(experiments, "evaluate", lambda model, frame, prefix: {f"{prefix}_{m}": 1.0 for m in experiments.METRICS})
-    return seen
-
-
-@pytest.mark.parametrize(
-    "name, family",
-    [("k5_boosted_trees", models.BOOSTED), ("h14_probability_alignment", models.LOGISTIC), ("k13_per_zone_models", models.FOREST)],
-)
-def test_single_fits_have_default_settings(spark, small, fits, name, family):
-    rows = QUERIES[name](spark, small).collect()
-    assert fits == [(family, {})]
-    assert name != "k13_per_zone_models" or len(rows) == 3
-
-
-def _in_whole_spaces(fits):
-    return all(not params or set(params) == set(experiments.SEARCH_SPACES[family]) for family, params in fits)
-
-
-def test_every_family_is_searched(spark, small, fits):
-    rows = QUERIES["k7_parameter_search"](spark, small).collect()
-    assert Counter(f for f, _ in fits) == {f: DRAWS + 1 for f in models.FAMILIES} and _in_whole_spaces(fits)
-    assert [r["model_family"] for r in rows] == list(models.FAMILIES)
-
-
-@pytest.mark.parametrize(
-    "name, retrained",
-    [
-        ("k8_experiment_matrix", 0), ("f6_champion_choice", 0), ("k9_retrain_and_test", 1), ("k10_champion_round_trip", 1),
-        ("l6_train_champion", 1), ("l7_score_hour", 1), ("i5_hour_range_backfill", 1),
-    ],
-)
-def test_the_whole_plan_is_run(spark, small, fits, name, retrained):
-    assert QUERIES[name](spark, small).count() > 0
-    want = Counter(PLAN)
-    want[models.LOGISTIC] += retrained  # the first of equal runs
-    assert Counter(f for f, _ in fits) == want and _in_whole_spaces(fits)
+
+
+@pytest.fixture(scope="module")
+def log(spark, small):
+    return learning.run_log(Views(spark, small)).collect()
+
+
+def test_the_whole_plan_is_run(log):
+    runs = [(r["run_name"], r["model_family"], r["tuned"]) for r in log if r["phase"] == "validation"]
+    assert sorted(runs) == sorted(experiments.EXPERIMENT_PLAN)
+    tested = [r for r in log if r["phase"] == "test"]
+    best = min((r for r in log if r["phase"] == "validation"), key=lambda r: (r["metrics"]["val_mean_penalty"], r["run_order"]))
+    assert [r["run_name"] for r in tested] == [best["run_name"]]
+
+
+def test_tuned_parameters_lie_in_the_whole_spaces(log):
+    for r in log:
+        params = json.loads(r["params"])
+        if not r["tuned"]:
+            assert params == {}
+            continue
+        space = experiments.SEARCH_SPACES[r["model_family"]]
+        assert set(params) == set(space)
+        for name, (kind, *args) in space.items():
+            assert params[name] in args[0] if kind == "choice" else args[0] <= params[name] <= args[1]
+
+
+def test_queries_read_the_one_matrix(spark, small, log, monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("fitted again")
+
+    monkeypatch.setattr(models, "fit_all", refuse)
+    assert QUERIES["k7_parameter_search"](spark, small).count() == 3
+    assert QUERIES["k8_experiment_matrix"](spark, small).count() == 6
+    assert QUERIES["f6_champion_choice"](spark, small).count() == 1
+    assert {r["metric"] for r in QUERIES["k9_retrain_and_test"](spark, small).collect()} == {f"test_{m}" for m in experiments.METRICS}
+    assert QUERIES["l6_train_champion"](spark, small).where("phase = 'test'").count() == 1
+    assert QUERIES["k10_champion_round_trip"](spark, small).first()["features"] == 13
+
+
+def test_every_family_draws_twenty_trials(spark, small, monkeypatch):
+    """Counted with stand-in losses; the real fits are those of the matrix."""
+    drawn = Counter()
+
+    def fit_all(family, trials, train, parallel=4):
+        drawn[family] += len(trials)
+        return trials
+
+    monkeypatch.setattr(models, "fit_all", fit_all)
+    monkeypatch.setattr(experiments, "penalties", lambda fitted, frame: [float(i) for i, _ in enumerate(fitted)])
+    for family in models.FAMILIES:
+        experiments.tune(family, None, None)
+    assert drawn == {f: 20 for f in models.FAMILIES} and search.STARTUP == 10
+
+
+def test_champion_scores_like_its_run(spark, small, log):
+    """The reloaded champion, refitted on train and validation rows, has the logged test penalty."""
+    v = Views(spark, small)
+    model, _ = models.load_champion(spark, learning.trained(v).champion)
+    frames = learning.labelled(v).filter(F.col("split") == "test")
+    [tested] = [r for r in log if r["phase"] == "test"]
+    assert experiments.penalties([model], frames) == pytest.approx([tested["metrics"]["test_mean_penalty"]])

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidegrid.ml import experiments, models
+from tidegrid.ml import experiments, models, search
 from tidegrid.schemas import FEATURES
 
 
@@ -23,7 +23,7 @@ def frames(spark, tmp_path_factory):
 PARAMS = {
     models.LOGISTIC: {"max_iter": 20, "class_weight": "balanced"},
     models.FOREST: {"n_estimators": 30, "max_depth": 6},
-    models.BOOSTED: {"n_estimators": 2, "max_depth": 2},
+    models.BOOSTED: {"n_estimators": 20, "max_depth": 3},
 }
 
 
@@ -58,13 +58,30 @@ def test_absent_class_is_null_and_never_chosen_by_probability(frames):
 def test_search_is_seeded_and_in_range():
     import random
 
-    for family, space in experiments.SEARCH_SPACES.items():
-        a, b = (experiments.draw_parameters(space, random.Random(1)) for _ in range(2))
+    for space in experiments.SEARCH_SPACES.values():
+        a, b = (search.draw_parameters(space, random.Random(1)) for _ in range(2))
         assert a == b and set(a) == set(space)
         for name, (kind, *args) in space.items():
             assert a[name] in args[0] if kind == "choice" else args[0] <= a[name] <= args[1]
 
 
+def test_nulls_are_filled_with_exact_medians(frames):
+    train = frames.filter("split = 'train'")
+    model = models.fit(models.FOREST, {"n_estimators": 3}, train)
+    want = train.agg(F.percentile("lag_2h", 0.5)).first()[0]
+    assert model.medians["lag_2h"] == pytest.approx(want)
+    row = models.as_model_input(frames.limit(1))
+    blank, filled = row.withColumn("lag_2h", F.lit(None).cast("double")), row.withColumn("lag_2h", F.lit(want))
+    assert model.predict(blank).first()["prob_class_0"] == model.predict(filled).first()["prob_class_0"]
+
+
+def test_a_batch_is_scored_like_one_by_one(frames):
+    train, val = frames.filter("split = 'train'"), frames.filter("split = 'val'")
+    ready = models.TrainingSet(train)
+    fitted = [*models.fit_all(models.FOREST, [{"n_estimators": 2}, {"n_estimators": 4, "max_depth": 2}], ready), models.fit(models.LOGISTIC, {"max_iter": 5}, ready)]
+    assert experiments.penalties(fitted, val) == pytest.approx([experiments.evaluate(m, val, "v")["v_mean_penalty"] for m in fitted])
+
+
 def test_first_of_equal_runs_is_champion():
     def run(order, loss):
         return experiments.Experiment(f"r{order}", order, f"n{order}", models.FOREST, False, {}, {"val_mean_penalty": loss})

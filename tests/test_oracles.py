@@ -6,9 +6,6 @@ import pytest
 import __spark_entry__ as contract
 
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
-# fitted by a driver loop of many small jobs; their parts are tested in test_models.py
-SLOW = {"k8_experiment_matrix", "k7_parameter_search", "k10_champion_round_trip", "l6_train_champion", "f6_champion_choice", "k13_per_zone_models", "k9_retrain_and_test", "k3_logistic_regression", "k5_boosted_trees"}
-
 
 @pytest.fixture(scope="module")
 def duck(small):
@@ -20,7 +17,7 @@ def test_matches_oracle(spark, duck, small, name):
     assert oracle.check(spark, duck, small, name, QUERIES[name], ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES and n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES])
 def test_runs(spark, small, name):
     assert QUERIES[name](spark, small).count() > 0
 

@@ -185,8 +185,7 @@ def node_table(blocks: DataFrame, features: int, counts: np.ndarray, trials: lis
 
     Rows carry the hash of their node in each tree. A level is one aggregate of class weights by (trial, tree, node, feature, bin),
     combined in the tasks; running sums within (node, feature) give the sides of every cut, the best one is joined
-    back to the rows. Rows whose node has no split leave. The node table is of the size that the trees have,
-    and never passes the driver.
+    back to the rows. Rows whose node has no split leave. The node table is as large as the trees are.
     """
     spark, k = blocks.sparkSession, len(counts)
     salt = [(i, t) for i, s in enumerate(trials) for t in range(s.trees)]
@@ -273,26 +272,23 @@ def node_table(blocks: DataFrame, features: int, counts: np.ndarray, trials: lis
 
 
 def collected(table: DataFrame, counts: np.ndarray, layout: Layout, trials: list[Settings]) -> list[TreeModel]:
-    """Models from a node table, for scoring by tasks that hold a whole model."""
-    frame = table.toPandas()
+    """Models from a node table, for scoring by tasks that hold a whole model; it has to fit there, so
+    large frames need a depth or a least number of rows a leaf."""
+    found = {(r["trial"], r["tree"], r["node"]): r for r in table.collect()}
     out = []
     for i, settings in enumerate(trials):
         grown = []
         for t in range(settings.trees):
-            rows = {r.node: r for r in frame[(frame.trial == i) & (frame.tree == t)].itertuples()}
-            tree, values = TreeNodes.root(), [None]
+            tree, values = TreeNodes.root(), {}
             stack = [(int(root(settings.seed, t).view(np.int64)[0]), 0)]
             while stack:
                 name, at = stack.pop()
-                row = rows.get(name)
-                mass = np.asarray(row.mass, np.float64) if row is not None else np.ones(len(counts))
-                while len(values) < len(tree.left):
-                    values.append(None)
+                row = found.get((i, t, name))
+                mass = np.array(row["mass"], np.float64) if row is not None else np.ones(len(counts))
                 values[at] = mass / max(mass.sum(), 1e-300)
-                if row is not None and not pd.isna(row.flat):
-                    left, right = tree.split(at, int(row.feature), int(row.flat))
-                    stack += [(int(row.left), left), (int(row.right), right)]
-            grown.append((tree, np.stack(values)))
+                if row is not None and row["flat"] is not None:
+                    stack += list(zip((row["left"], row["right"]), tree.split(at, row["feature"], row["flat"])))
+            grown.append((tree, np.stack([values[n] for n in range(len(tree.left))])))
         out.append(pack(grown, layout, np.zeros(len(counts)), False))
     return out
 

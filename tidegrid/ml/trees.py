@@ -193,10 +193,9 @@ class TreeModel:
         return of(*features)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        nodes = pd.DataFrame(
-            {"node": np.arange(len(self.feature)), "feature": self.feature, "threshold": self.threshold, "left": self.left, "right": self.right, "value": list(self.value)}
-        )
-        spark.createDataFrame(nodes, "node long, feature int, threshold double, left long, right long, value array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+        columns = {"node": np.arange(len(self.feature)), "feature": self.feature, "threshold": self.threshold, "left": self.left, "right": self.right}
+        nodes = pa.table({**columns, "value": pa.array(self.value.tolist(), pa.list_(pa.float64()))})
+        spark.createDataFrame(nodes).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
         head = json.dumps({"roots": self.roots.tolist(), "start": self.start.tolist(), "softmax": self.softmax})
         spark.createDataFrame([(head,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/head")
 
