@@ -129,3 +129,33 @@ def test_manifest_names(spark, landing):
            derive_manifests(list_files(spark, str(landing))).collect()}
     assert got["yellow_tripdata_2024-01.parquet"] == ("yellow_taxi", 2024, 1)
     assert isinstance(pd.DataFrame(got), pd.DataFrame) and len(got) == 3
+
+
+def test_a_grown_run_replaces_its_slice(spark, lake, tmp_path):
+    """The second file lowers the cap, so a day that only a capped row kept alive is emptied again."""
+    lake.create_all()
+    day = lambda d, h: dt.datetime(2024, 1, d, h)
+
+    def land(name, rows):
+        frame = spark.createDataFrame(rows, "VendorID int, tpep_pickup_datetime timestamp, tpep_dropoff_datetime timestamp, passenger_count double, trip_distance double, PULocationID int, DOLocationID int, payment_type int, fare_amount double, tip_amount double, total_amount double")
+        path = str(tmp_path / name)
+        frame.coalesce(1).write.parquet(path)
+        from tidegrid.sources.files import list_files
+
+        return list_files(spark, path, glob="*.parquet").selectExpr("path", f"'{name}' AS source_filename", "2024 AS source_year", "1 AS source_month")
+
+    def trip(d, h, total=20.0):
+        return (1, day(d, h), day(d, h) + dt.timedelta(minutes=9), 1.0, 2.0, 5, 6, 1, 10.0, 1.0, total)
+
+    first = land("a", [trip(2, h) for h in range(20)] + [trip(9, 3, 500.0)])
+    second = first.unionByName(land("b", [trip(3, h % 24, 30.0 + h / 1000) for h in range(2000)]))
+    at = dt.datetime(2024, 2, 1)
+    assert medallion.run_month(lake, first, "r1", at)[1].status is medallion.Status.DONE
+    assert {r[0] for r in lake.read(SILVER).select(F.dayofmonth("pickup_date")).distinct().collect()} == {2, 9}
+    grown = medallion.run_month(lake, second, "r1", at)[1]
+    assert (grown.status, grown.total_rows) == (medallion.Status.DONE, 2021)
+    assert {r[0] for r in lake.read(SILVER).select(F.dayofmonth("pickup_date")).distinct().collect()} == {2, 3}
+    assert lake.read(SILVER).count() + lake.read(QUARANTINE).count() == 2021
+    assert lake.read(UTILISATION).agg(F.sum("trip_count")).first()[0] == lake.read(SILVER).count()
+    assert medallion.run_month(lake, second, "r1", at)[1].status is medallion.Status.SKIPPED
+    assert lake.read(PUBLISH_LEDGER).count() == 2

@@ -227,6 +227,10 @@ def silver_wap(
     for what is written afterwards and spares the second copy a staged candidate would cost. Both
     outputs are partitioned by run and written by overwrite: a retry after a crash replaces, never
     duplicates.
+
+    The publish ledger names every file. A run whose slice holds files that the ledger lacks is audited and written again
+    as a whole, so a run that came again with more files reaches silver; a refused one leaves what was published
+    before, and is looked at again by the next call.
     """
     check_year_month(year, month)
     at = utc(at)
@@ -240,10 +244,14 @@ def silver_wap(
     if plan["state"] == "missing":
         return Outcome(Status.MISSING, run_id)
     run_id = plan["ingestion_run_id"]
-    if plan["state"] == "skip":
+    of_run = in_slice & (F.col("ingestion_run_id") == run_id)
+    raw = lake.read(BRONZE).filter(of_run)
+    held = raw.select("source_filename", F.col("source_checksum").alias("file_checksum")).distinct()
+    published = lake.read(PUBLISH_LEDGER).filter(of_run & (F.col("status") == "SUCCESS"))
+    fresh = held.join(published, "file_checksum", "left_anti")
+    if plan["state"] == "skip" and fresh.isEmpty():
         return Outcome(Status.SKIPPED, run_id)
 
-    raw = lake.read(BRONZE).filter(in_slice & (F.col("ingestion_run_id") == run_id))
     try:
         caps = quality.outlier_caps(raw, cap_error)
     except quality.QualityError:
@@ -258,15 +266,34 @@ def silver_wap(
     bad = raw.filter(~verdict).drop("ingested_at_utc")
     lake.replace_slices(QUARANTINE, bad.withColumns({"wap_run_id": F.lit(short), "quarantined_at": F.lit(at)}), False)
     lake.replace_slices(SILVER, silver_rows(raw.filter(verdict), at))
-    entry = [(run_id, source_filename, year, month, "SUCCESS", at)]
-    lake.append(PUBLISH_LEDGER, spark.createDataFrame(entry, PUBLISH_LEDGER.schema).coalesce(1))
+    if plan["state"] == "skip":
+        _drop_emptied(lake, of_run, raw.filter(verdict), total == valid)
+    # one short row per file of the slice
+    lake.append(
+        PUBLISH_LEDGER,
+        fresh.select(
+            F.lit(run_id).alias("ingestion_run_id"), "source_filename", F.lit(year).alias("source_year"), F.lit(month).alias("source_month"),
+            F.lit("SUCCESS").alias("status"), F.lit(at).alias("verified_at"), "file_checksum",
+        ).coalesce(1),
+    )
     lake.log(at, (SILVER, "publish", run_id, valid), (QUARANTINE, "publish", run_id, total - valid))
     return Outcome(Status.DONE, run_id, total, valid, dropped)
 
 
+def _drop_emptied(lake: Lakehouse, of_run: Column, good: DataFrame, none_bad: bool) -> None:
+    """After a slice was published again: its partitions that got no row this time, because the larger slice has
+    other caps, are emptied. A month has at most 31 days and one quarantine partition."""
+    days = [r["day"] for r in good.select(F.to_date("tpep_pickup_datetime").alias("day")).distinct().collect()]
+    emptied = ((SILVER, ~F.col("pickup_date").isin(days) if days else F.lit(True)), (QUARANTINE, F.lit(none_bad)))
+    for spec, gone in emptied:
+        parts = list(spec.partition_by)
+        for row in lake.read(spec).filter(of_run & gone).select(*parts).distinct().collect():
+            lake.drop_partition(spec, {p: row[p] for p in parts})
+
+
 def run_month(lake: Lakehouse, files: DataFrame, run_id: str | None = None, at: dt.datetime | None = None) -> list[Outcome]:
     """The whole chain for a batch of files: bronze, then silver and both gold tables of every month the
-    batch names. Months published before are skipped, a refused month leaves gold as it was."""
+    batch names. Months whose files are all published are skipped, a refused month leaves gold as it was."""
     named = files.select("source_filename", "source_year", "source_month").distinct()
     months = named.groupBy("source_year", "source_month").agg(F.min("source_filename").alias("source_filename")).collect()
     bronze = bronze_ingest(lake, files, run_id, at)

@@ -490,6 +490,30 @@ def _(v: Views):
     return lake.read(SILVER).groupBy("source_month").agg(F.count("*").alias("silver_rows"))
 
 
+@query(
+    "l2_run_grows",
+    """SELECT 'silver' AS part, count(*) AS row_count, CAST(sum(event_id) AS BIGINT) AS id_sum FROM clean
+    UNION ALL SELECT 'quarantine', count(*), CAST(sum(event_id) AS BIGINT) FROM flagged WHERE NOT is_valid
+    UNION ALL SELECT 'gold', count(*), CAST(sum(trip_count) AS BIGINT) FROM hourly
+    UNION ALL SELECT 'published files', 2, 2""",
+    after="hourly",
+)
+def _(v: Views):
+    """A run of one file is published, comes again with a second file of the month, and once more with nothing new."""
+    lake = v.lake().create_all()
+    # the id travels in a raw column that no rule looks at
+    trips = v.trips.withColumns({"congestion_surcharge": F.col("event_id").cast("double"), "tip_amount": F.col("event_id").cast("double")})
+    first = _land(v, trips.where("event_id % 3 <> 2"))
+    both = first.unionByName(_land(v, trips.where("event_id % 3 = 2")))
+    for files in (first, both, both):
+        last = medallion.run_month(lake, files, RUN, AT)
+    assert last[1].status is medallion.Status.SKIPPED
+    parts = (("silver", SILVER, "tip_amount"), ("quarantine", QUARANTINE, "congestion_surcharge"), ("gold", UTILISATION, "trip_count"))
+    counts = [lake.read(t).agg(F.lit(p).alias("part"), F.count("*").alias("row_count"), F.sum(c).cast("long").alias("id_sum")) for p, t, c in parts]
+    files = lake.read(PUBLISH_LEDGER).agg(F.lit("published files").alias("part"), F.count("*").alias("row_count"), F.count_distinct("file_checksum").alias("id_sum"))
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(files)
+
+
 @query(
     "l2_silver_publish",
     """SELECT 'silver' AS part, CAST(pickup_location_id AS INT) AS zone, pickup_datetime AS ts, trip_distance FROM clean

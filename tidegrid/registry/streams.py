@@ -8,7 +8,7 @@ from tidegrid.registry.core import query
 from tidegrid.registry.lake import landed
 from tidegrid.registry.relational import HOUR, ZONE
 from tidegrid.registry.views import Views
-from tidegrid.schemas import BRONZE, INGESTION_LEDGER
+from tidegrid.schemas import BRONZE, INGESTION_LEDGER, SILVER, UTILISATION
 from tidegrid.sources.manifest import to_manifest_json
 from tidegrid.sources.trips import trips_from_events
 from tidegrid.streaming import counts, manifests
@@ -94,6 +94,22 @@ def _(v: Views):
     return rows.crossJoin(lake.read(INGESTION_LEDGER).agg(F.count("*").alias("ledger_rows")))
 
 
+@query(
+    "i3_stream_to_gold",
+    """SELECT CAST(pickup_location_id AS INT) AS pickup_location_id, CAST(sum(trip_count) AS BIGINT) AS trips, count(*) AS hours,
+    (SELECT count(*) FROM clean) AS silver_rows FROM hourly GROUP BY 1""",
+    after="hourly",
+)
+def _(v: Views):
+    """Manifests drive the whole chain: the stream's batch ingests the month, publishes it and builds both gold tables."""
+    lake, folder = v.lake().create_all(), v.scratch("manifests")
+    drop_manifests(v, folder, landed(v, 3))
+    for _ in range(2):
+        manifests.ingest_stream(lake, folder, v.scratch("checkpoint"), GLOB, publish=True).awaitTermination()
+    silver = lake.read(SILVER).agg(F.count("*").alias("silver_rows"))
+    return lake.read(UTILISATION).groupBy("pickup_location_id").agg(F.sum("trip_count").alias("trips"), F.count("*").alias("hours")).crossJoin(silver)
+
+
 @query(
     "i3_fresh_checkpoint",
     """SELECT CAST(sum(CASE WHEN event_id % 3 <> 2 THEN 1 ELSE 0 END) AS BIGINT) AS first_rows, count(*) AS bronze_rows,

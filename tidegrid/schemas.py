@@ -101,7 +101,7 @@ PUBLISH_LEDGER = TableSpec(
     "audit.silver_publish_ledger",
     ddl(
         "ingestion_run_id string, source_filename string, source_year int, source_month int, status string, "
-        "verified_at timestamp"
+        "verified_at timestamp, file_checksum string"
     ),
 )
 COMMIT_LOG = TableSpec(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid.operators.tables import Lakehouse
-from tidegrid.plans.medallion import Outcome, bronze_ingest, path_key, utc
+from tidegrid.plans.medallion import Outcome, bronze_ingest, path_key, run_month, utc
 from tidegrid.schemas import MANIFEST, TableSpec, ddl
 from tidegrid.sources.files import list_files
 from tidegrid.sources.manifest import parse_manifests
@@ -86,16 +86,17 @@ def _remember(lake: Lakehouse, manifests: DataFrame, state: str) -> None:
     lake.upsert(STATE, rows, F.lit(0))
 
 
-def _ingest(lake: Lakehouse, ready: DataFrame, at: dt.datetime | None) -> Outcome:
-    """Ready files under a run id of their contents; known checksums are skipped there."""
+def _ingest(lake: Lakehouse, ready: DataFrame, at: dt.datetime | None, publish: bool) -> Outcome:
+    """Ready files under a run id of their contents; known checksums are skipped there. With ``publish`` their
+    months go on through silver and gold; a replayed batch has the same run id and finishes what is open."""
     files = ready.select(F.col("source_filepath").alias("path"), "source_filename", "source_year", "source_month").distinct()
-    return bronze_ingest(lake, files, None, utc(at))
+    return run_month(lake, files, None, utc(at))[0] if publish else bronze_ingest(lake, files, None, utc(at))
 
 
 def handle_manifests(
-    lake: Lakehouse, texts: DataFrame, dataset: str | None = None, at: dt.datetime | None = None
+    lake: Lakehouse, texts: DataFrame, dataset: str | None = None, at: dt.datetime | None = None, publish: bool = False
 ) -> Outcome | None:
-    """One micro-batch: reject bad manifests, ingest the files that are there, keep the rest waiting.
+    """One micro-batch: reject bad manifests, ingest the files that are there (and publish their months), keep the rest waiting.
 
     State is keyed by path and manifest identity and doesn't know batch numbers, so a replayed batch and
     a fresh checkpoint end in the same state.
@@ -116,7 +117,7 @@ def handle_manifests(
             .join(handled, ["source_filepath", "manifest_id"], "left_anti")
         )
         with lake.staged(candidates, "candidates") as due, lake.staged(_existing(lake.spark, due), "ready") as ready:
-            outcome = None if ready.isEmpty() else _ingest(lake, ready, at)
+            outcome = None if ready.isEmpty() else _ingest(lake, ready, at, publish)
             still = due.join(ready.select("source_filepath", "manifest_id"), ["source_filepath", "manifest_id"], "left_anti")
             for rows, state in ((still, WAITING), (ready, HANDLED)):
                 if not rows.isEmpty():
@@ -126,24 +127,25 @@ def handle_manifests(
 
 def ingest_stream(
     lake: Lakehouse, folder: str, checkpoint: str, glob: str = "*.manifest.json", dataset: str | None = None,
-    continuous: str | None = None, files_per_batch: int = 500,
+    continuous: str | None = None, files_per_batch: int = 500, publish: bool = False,
 ) -> StreamingQuery:
-    """Start the manifest-driven ingestion: everything available now, or on a fixed interval."""
+    """Start the manifest-driven ingestion: everything available now, or on a fixed interval. With ``publish``
+    each batch goes on through silver and gold."""
     writer = (
         manifest_stream(lake.spark, folder, glob, files_per_batch)
         .writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: handle_manifests(lake, batch, dataset))
+        .foreachBatch(lambda batch, _: handle_manifests(lake, batch, dataset, publish=publish))
     )
     writer = writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)
     return writer.start()
 
 
-def retry_pending(lake: Lakehouse, at: dt.datetime | None = None) -> Outcome | None:
+def retry_pending(lake: Lakehouse, at: dt.datetime | None = None, publish: bool = False) -> Outcome | None:
     """Look again for files of waiting manifests, without waiting for a new manifest to arrive."""
     with lake.staged(waiting(lake).select(*MANIFEST.names, "manifest_id"), "retry") as due:
         with lake.staged(_existing(lake.spark, due), "ready") as ready:
             if ready.isEmpty():
                 return None
-            outcome = _ingest(lake, ready, at)
+            outcome = _ingest(lake, ready, at, publish)
             _remember(lake, ready, HANDLED)
     return outcome
