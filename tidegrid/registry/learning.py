@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegrid.functions import clock
-from tidegrid.ml import experiments, models
+from tidegrid.functions.cost import cheapest_class
+from tidegrid.ml import experiments, models, zones
 from tidegrid.operators import evaluation, series
 from tidegrid.plans import scoring, training
 from tidegrid.registry.core import query, rounded
@@ -239,13 +240,29 @@ def _(v: Views):
 
 @query("k13_per_zone_models")
 def _(v: Views):
-    """Own thresholds per zone under one common model, fitted for all areas."""
+    """Own thresholds and an own model per zone, all zones fitted at once; penalties on the validation rows."""
     frames = labelled(v)
-    model = models.fit(models.FOREST, {}, _split(frames, "train"))
-    predicted = model.predict(models.as_model_input(_split(frames, "val")))
+    fitted = zones.fit_zones(_split(frames, "train"), FEATURES)
+    scored = zones.zone_probabilities(_split(frames, "val"), fitted, FEATURES, models.PROBABILITIES)
+    predicted = scored.withColumn("predicted_class", cheapest_class([F.col(p) for p in models.PROBABILITIES]))
     return evaluation.penalty_summary(predicted, "demand_class", "predicted_class", [ZONE])
 
 
+@query(
+    "k13_zone_model_facts",
+    """SELECT pickup_location_id, count(*) AS n, true AS settled, true AS shares_agree FROM graded WHERE split = 'train' GROUP BY 1""",
+    after="graded",
+)
+def _(v: Views):
+    """What holds at every zone's optimum: fitted on all its rows, and mean probabilities equal to the classes' shares."""
+    train = _split(labelled(v), "train")
+    fitted = zones.fit_zones(train, FEATURES)
+    scored = zones.zone_probabilities(train, fitted, FEATURES, models.PROBABILITIES)
+    gaps = [F.abs(F.avg(p) - F.avg((F.col("demand_class") == c).cast("double"))) for c, p in enumerate(models.PROBABILITIES)]
+    shares = scored.groupBy(ZONE).agg((F.greatest(*gaps) < 1e-4).alias("shares_agree"))
+    return fitted.join(shares, ZONE).select(ZONE, "n", (F.col("steps") < zones.MOST_STEPS).alias("settled"), "shares_agree")
+
+
 @query("l6_train_champion")
 def _(v: Views):
     return run_log(v).withColumn("champion", F.lit(trained(v).meta.run_name)).select(
