@@ -111,11 +111,11 @@ def test_dictionary_sample_is_of_least_hash(spark, monkeypatch):
     monkeypatch.setattr(token_files, "SAMPLE_DOCS", 20)
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
     hashed = docs.withColumn("h", F.xxhash64("doc_id", F.octet_length("text"))).where("h >= 0").orderBy("h").limit(20)
-    some = token_files.sample_texts(docs)
+    some = token_files.sample_texts(docs, 3000)
     assert len(some) == 20 and len({t for t in some}) == 20
-    assert len(token_files.sample_texts(docs.limit(7))) == 7 and hashed.count() == 20
+    assert len(token_files.sample_texts(docs.limit(7), 7)) == 7 and hashed.count() == 20
     repeated = docs.limit(5).crossJoin(spark.range(400).select()).select("doc_id", "text")
-    assert len(token_files.sample_texts(repeated)) <= 5
+    assert len(token_files.sample_texts(repeated, 2000)) <= 5
 
 
 def test_encoder_is_exact_on_adversarial_words():

@@ -34,6 +34,8 @@ INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("length
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 1000, 32_768, 65_536
 #: A task starts another file after so many bytes.
 FILE_BYTES = 128 << 20
+#: Text of one task, which learns the ids of its words anew: larger ranges look fewer words up.
+RANGE_BYTES = 32 << 20
 SLICE_BYTES = 4 << 20
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -68,8 +70,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kind, self.code = Tokenizer.from_file(path), np.dtype(f"<u{width}"), {2: "H", 4: "I"}[width]
-        self.memo = Memo(self._learn, 600_000)
-        self.parts = Memo(self._encode, 600_000)
+        self.memo = Memo(self._learn, 400_000)
+        self.parts = Memo(self._encode, 200_000)
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         out: list[bytes] = [b""] * len(words)
@@ -104,8 +106,11 @@ class Encoder:
 
     def _learn(self, words: list[bytes]) -> list[bytes]:
         split = [self._split(w) for w in words]
-        known = self.parts.of({p for pair in split for p in pair if p})
-        return [known[a] + (known[b] if b else b"") for a, b in split]
+        # only what stands before or in punctuation is kept for later words; whole words are kept by the memo itself
+        known = self.parts.of({p for low, tail in split if tail for p in (low, tail)})
+        whole = list({low for low, tail in split if not tail}.difference(known))
+        found = dict(zip(whole, self._encode(whole), strict=True))
+        return [known[low] + known[tail] if tail else found[low] if low in found else known[low] for low, tail in split]
 
     def ids(self, texts: list[bytes], end: bytes) -> list[bytes]:
         split = [t.split() if b"<|" in t else t.lower().split() for t in texts]
@@ -123,10 +128,9 @@ class Encoder:
         return out
 
 
-def sample_texts(docs: DataFrame) -> list[bytes]:
-    """The ``SAMPLE_DOCS`` texts of least hash, or fewer, among those of at most ``SAMPLE_BYTES``. Whatever the table's size, only
+def sample_texts(docs: DataFrame, n: int) -> list[bytes]:
+    """Of ``n`` documents, the ``SAMPLE_DOCS`` texts of least hash, or fewer, among those of at most ``SAMPLE_BYTES``. Whatever the table's size, only
     texts below a hash threshold that keeps about twice as many rows meet; rows equal in id and length are one."""
-    n = docs.count()
     tagged = docs.where(F.octet_length("text").between(1, SAMPLE_BYTES)).select("text", F.xxhash64("doc_id", F.octet_length("text")).alias("h"))
     free = 63 - max(0, (n // (2 * SAMPLE_DOCS)).bit_length() - 1)  # bits of a hash below the threshold
     least = tagged.where(F.shiftrightunsigned("h", 1) < F.lit(1 << free)) if free < 63 else tagged
@@ -134,10 +138,10 @@ def sample_texts(docs: DataFrame) -> list[bytes]:
     return [r["text"].encode() for r in rows]
 
 
-def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, width: int) -> bytes:
+def train_dictionary(docs: DataFrame, n: int, tokenizer: str, end_id: int, width: int) -> bytes:
     """A zstandard dictionary trained on the serialized ids of a bounded sample of texts. Too few of them to
     train on give the sample itself as a raw-content dictionary, no documents an empty one."""
-    samples = Encoder(tokenizer, width).ids(sample_texts(docs), np.array([end_id], f"<u{width}").tobytes())
+    samples = Encoder(tokenizer, width).ids(sample_texts(docs, n), np.array([end_id], f"<u{width}").tobytes())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:
@@ -173,7 +177,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     another in order. Repeated rows are written as often as they come. An empty table gives an empty manifest.
     """
     plain = pick(docs, key, text).toDF("doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    dictionary = train_dictionary(plain, tokenizer, end_id, width)
+    size = plain.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    dictionary = train_dictionary(plain, size["n"], tokenizer, end_id, width)
     digest = hashlib.sha256(dictionary).digest()
     system, path = file_system(folder)
     system.create_dir(path, recursive=True)
@@ -205,7 +210,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             )
 
     order = ["doc_id", F.xxhash64("text"), "text"]
-    ranged = plain.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions(*order)
+    ranges = max(docs.sparkSession.sparkContext.defaultParallelism, -(-(size["bytes"] or 0) // RANGE_BYTES))
+    ranged = plain.repartitionByRange(ranges, "doc_id", F.xxhash64("text")).sortWithinPartitions(*order)
     ranged.mapInArrow(run, "task long, nth long, file string, n_docs long, n_ids long").write.parquet(f"{folder}/manifest")
 
 
