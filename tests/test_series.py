@@ -147,3 +147,20 @@ def test_unseen_class_scores_zero(spark):
     # precision: class 0 -> 0, class 1 -> 1/2, class 2 -> 0
     assert row["precision_macro"] == pytest.approx(1 / 6)
     assert row["accuracy"] == pytest.approx(1 / 3)
+
+
+def test_grouped_quantiles_are_exact_with_a_hot_group(spark):
+    from tidegrid.operators.group_quantile import grouped_quantiles
+
+    value = F.when(F.col("id") % 50 == 0, None).when(F.col("id") % 3 == 0, 7.0).otherwise(F.hash("id") % 100000 / 7)
+    group = F.when(F.col("id") % 10 > 0, "hot").when(F.col("id") % 20 == 0, None).otherwise((F.col("id") % 70).cast("string"))
+    rows = spark.range(0, 20000, 1, 6).select(group.alias("g"), value.alias("x"))
+    odd = spark.createDataFrame([("one", 5.0), ("same", 2.0), ("same", 2.0), ("far", -1e308), ("far", 1e308), ("far", 3.0), ("none", None), ("none", float("nan")), ("none", float("inf"))], "g string, x double")
+    rows = rows.union(odd)
+    probs = [0.0, 0.25, 0.5, 0.999, 1.0]
+    got = {r["g"]: (r["n"], r["quantiles"]) for r in grouped_quantiles(rows, ["g"], "x", probs).collect()}
+    usable = rows.where("x is not null and not isnan(x) and abs(x) < double('inf')")
+    want = {r["g"]: (r["n"], r["q"]) for r in usable.groupBy("g").agg(F.count("*").alias("n"), F.percentile("x", F.array(*map(F.lit, probs))).alias("q")).collect()}
+    assert set(got) == set(want) and "none" not in got and None in got
+    for g in want:
+        assert got[g][0] == want[g][0] and got[g][1] == pytest.approx(want[g][1], rel=1e-12)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions.clock import add_hours, with_calendar, with_cycles
 from tidegrid.functions.cost import demand_class
+from tidegrid.operators.group_quantile import grouped_quantiles
 from tidegrid.schemas import FEATURES, TRAIN_FRACTION, VALIDATION_FRACTION
 
 LAG_HOURS = (1, 2, 24, 168)
@@ -69,13 +70,13 @@ def with_split(
 
 
 def fit_thresholds(train: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Interpolated 25 % and 75 % quantiles of the hourly counts, overall or per group."""
+    """Interpolated 25 % and 75 % quantiles of the hourly counts, overall or per group. Groups are searched all at once,
+    so none has to fit into a task."""
+    if by:
+        found = grouped_quantiles(train, by, "ride_count", [0.25, 0.75])
+        return found.select(*by, F.col("quantiles")[0].alias("q25"), F.col("quantiles")[1].alias("q75"))
     quartiles = F.percentile("ride_count", F.array(F.lit(0.25), F.lit(0.75)))
-    return (
-        train.groupBy(*(by or []))
-        .agg(quartiles.alias("q"))
-        .select(*(by or []), F.col("q")[0].alias("q25"), F.col("q")[1].alias("q75"))
-    )
+    return train.agg(quartiles.alias("q")).select(F.col("q")[0].alias("q25"), F.col("q")[1].alias("q75"))
 
 
 def with_zone_thresholds(df: DataFrame, zone: str = "pickup_location_id") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.functions import clock, cost, text
 from tidegrid.operators import evaluation, grid, quality, series
+from tidegrid.operators.group_quantile import grouped_quantiles
 from tidegrid.operators.quantile import discrete_quantiles, interpolated_quantiles
 from tidegrid.operators.tables import bounded_rows, fingerprint
 from tidegrid.plans import medallion, report, scoring
@@ -472,6 +473,18 @@ def _(v: Views):
     return v.spark.createDataFrame([row], "price_p50 double, price_p999 double, quantity_p25 double")
 
 
+@query(
+    "d12_grouped_quantiles_at_volume",
+    """SELECT l_returnflag, l_linenumber, count(*) AS n, round(quantile_cont(l_extendedprice::DOUBLE, 0.25), 6) + 0.0 AS q25,
+    round(quantile_cont(l_extendedprice::DOUBLE, 0.75), 6) + 0.0 AS q75, round(quantile_cont(l_extendedprice::DOUBLE, 0.999), 6) + 0.0 AS q999 FROM lineitem GROUP BY 1, 2""",
+)
+def _(v: Views):
+    """Exact quartiles and far quantiles of all groups of the largest table in common passes."""
+    found = grouped_quantiles(v.table("lineitem"), ["l_returnflag", "l_linenumber"], "l_extendedprice", [0.25, 0.75, 0.999])
+    names = ["q25", "q75", "q999"]
+    return rounded(found.select("l_returnflag", "l_linenumber", "n", *(F.col("quantiles")[i].alias(q) for i, q in enumerate(names))), 6, *names)
+
+
 @query("d12_class_thresholds", "SELECT pickup_location_id, q25, q75 FROM thr", after="thr")
 def _(v: Views):
     return v.thresholds
