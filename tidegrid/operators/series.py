@@ -151,9 +151,9 @@ def features_between(observations: DataFrame, first: Column, last: Column) -> Da
 
 
 def latest_rows(df: DataFrame, zone: str, ts: str) -> DataFrame:
-    """The newest row of every series, by a combined aggregate instead of a sort."""
+    """The newest row of every series, by a combined aggregate instead of a sort; equal times go to the largest other columns."""
     others = [c for c in df.columns if c != zone]
-    newest = F.max_by(F.struct(*others), F.col(ts)).alias("r")
+    newest = F.max_by(F.struct(*others), F.struct(ts, *[c for c in others if c != ts])).alias("r")
     return df.groupBy(zone).agg(newest).select(zone, *[F.col(f"r.{c}").alias(c) for c in others])
 
 

@@ -45,7 +45,13 @@ def _fitted_predictions(v: Views, family: str) -> DataFrame:
     return predicted.select(ZONE, HOUR, "demand_class", *models.PROBABILITIES, "predicted_class")
 
 
-@query("k2_standardised_features")
+@query(
+    "k2_standardised_features",
+    f"""SELECT feature_no, round(avg(z), 6) + 0.0 AS mean, round(stddev_samp(z), 6) + 0.0 AS std FROM (
+    SELECT feature_no, coalesce((v - avg(v) OVER (PARTITION BY feature_no)) / nullif(stddev_samp(v) OVER (PARTITION BY feature_no), 0), 0) AS z
+    FROM (SELECT unnest(range({len(FEATURES)}))::INT AS feature_no, unnest([{", ".join(f"{f}::DOUBLE" for f in FEATURES)}]) AS v FROM feat)) GROUP BY 1""",
+    after="feat",
+)
 def _(v: Views):
     """Training features with mean 0 and deviation 1; the means and deviations of the result per feature."""
     ready = models.as_model_input(series.complete_rows(v.feat))
