@@ -1,13 +1,16 @@
 """Quality, mixing, sharding, chat and fingerprints against brute force and on odd rows."""
 
 import hashlib
+import math
 import random
 import re
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import oracle
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tidegrid.llm import chat, fingerprints, mixing, quality, sharding
@@ -120,6 +123,22 @@ def test_shards(odd_docs, no_docs, small_docs):
     assert sharding.assign_shards(no_docs).count() == 0
 
 
+def test_shards_are_the_least_scores(small_docs):
+    """Every document's shard by the definition, shard by shard, with the hash from another library."""
+
+    def score(doc_id, shard):
+        h = xxhash.xxh64_intdigest(struct.pack("<i", shard), seed=xxhash.xxh64_intdigest(struct.pack("<q", doc_id), seed=42))
+        return -math.log(((h >> 12) + 0.5) / (1 << 52)), shard
+
+    rows = sharding.assign_shards(small_docs).collect()
+    assert len(rows) == small_docs.count()
+    for r in rows:
+        assert r["shard"] == min(score(r["doc_id"], k) for k in range(16))[1] and r["grown_shard"] == min(score(r["doc_id"], k) for k in range(17))[1]
+    for shard in range(16):
+        slots = sorted(r["slot"] for r in rows if r["shard"] == shard)
+        assert slots == list(range(len(slots)))
+
+
 def test_weighted_rendezvous_moves_only_to_the_new_shard(spark):
     keys = spark.range(20_000).select(
         sharding.rendezvous_shard(F.col("id"), [3.0, 1.0]).alias("two"), sharding.rendezvous_shard(F.col("id"), [3.0, 1.0, 4.0]).alias("three")
