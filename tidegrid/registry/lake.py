@@ -567,6 +567,22 @@ def _(v: Views):
     return lake.read(OBSERVATIONS)
 
 
+@query(
+    "l4_all_zones",
+    """SELECT 2024 AS target_year, 1 AS target_month, CAST(z.z AS INT) AS pickup_location_id, h.h AS pickup_hour_ts, CAST(coalesce(a.trip_count, 0) AS INT) AS ride_count
+    FROM (SELECT unnest(range(2, 264)) AS z) z
+    CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR)) AS h) h
+    LEFT JOIN hourly a ON a.pickup_location_id = z.z AND a.pickup_hour_ts = h.h""",
+    after="hourly",
+)
+def _(v: Views):
+    """The dense grid at its default bounds, all 262 zones by every hour of the month."""
+    lake = silver_lake(v)
+    lake.create(OBSERVATIONS)
+    medallion.gold_observations(lake, YEAR, MONTH, AT)
+    return lake.read(OBSERVATIONS)
+
+
 @query(
     "l5_training_frames",
     f"SELECT pickup_location_id, pickup_hour_ts, ride_count, split, q25, q75, {sql_class('ride_count')} AS demand_class, lag_1h, lag_168h, "
