@@ -119,8 +119,8 @@ def same_model(a, b):
 
 def test_distributed_boosting_gives_the_local_trees(data):
     trials = [
-        boosting.Settings.of({"n_estimators": 2, "num_leaves": 6, "min_child_samples": 5}, 42),
-        boosting.Settings.of({"n_estimators": 2, "num_leaves": 5, "max_depth": 2, "subsample": 0.7, "subsample_freq": 1, "colsample_bytree": 0.6, "class_weight": "balanced"}, 42),
+        boosting.Settings.of({"n_estimators": 2, "num_leaves": 4, "min_child_samples": 30}, 42),
+        boosting.Settings.of({"n_estimators": 1, "num_leaves": 4, "max_depth": 2, "subsample": 0.7, "subsample_freq": 1, "colsample_bytree": 0.6, "class_weight": "balanced"}, 42),
     ]
     local = boosting.fit_trees(data, trials)
     spread = boosting.boost_table(data.blocks, data.features, data.counts, data.layout, trials)
