@@ -285,11 +285,18 @@ def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     """
     names = [f"c{i}" for i in range(len(docs.columns))]
     plain, at = docs.toDF(*names), names[docs.columns.index(key)]
-    kept = _judged(docs, key, text).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest")).distinct()
+    chosen = _judged(docs, key, text).where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
+    chosen = checkpoint(chosen.agg(F.count(F.lit(1)).alias("n")))
     digested = with_digest(plain.where(F.col(at).isNotNull()), names[docs.columns.index(text)])
-    same = (digested[at].cast("long") == kept["kept_id"]) & (digested["digest"] == kept["kept_digest"])
-    identified = (
-        digested.join(kept, same, "left_semi").groupBy(at, "digest")
-        .agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row")).select("row.*")
-    )
+
+    def matching(kept: DataFrame) -> DataFrame:
+        same = (digested[at].cast("long") == kept["kept_id"]) & (digested["digest"] == kept["kept_digest"])
+        return digested.join(kept, same, "left_semi")
+
+    # only rows that repeat need to be told apart; all others are filtered where they are read
+    identified = matching(chosen.where("n = 1")).select(*names)
+    repeated = chosen.where("n > 1")
+    if not repeated.isEmpty():
+        once = matching(repeated).groupBy(at, "digest").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row"))
+        identified = identified.unionByName(once.select("row.*"))
     return identified.unionByName(plain.where(F.col(at).isNull())).toDF(*docs.columns)
