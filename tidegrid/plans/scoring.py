@@ -73,7 +73,8 @@ def month_window(first: Column, last: Column) -> Column:
     return number.between(F.year(first) * 12 + F.month(first), F.year(last) * 12 + F.month(last))
 
 
-def _score(lake: Lakehouse, features: DataFrame, observations: DataFrame, model_path: str, at: dt.datetime) -> DataFrame:
+def score_features(lake: Lakehouse, features: DataFrame, observations: DataFrame, model_path: str, at: dt.datetime) -> DataFrame:
+    """Prediction records of feature rows by the champion at ``model_path``; rows with a missing feature or threshold get none."""
     model, meta = models.load_champion(lake.spark, model_path)
     thresholds = lake.spark.read.parquet(f"{model_path}/thresholds")
     per_zone = ZONE in thresholds.columns
@@ -94,7 +95,7 @@ def score_hour(
     at = utc(at)
     end = simulated_clock(utc_literal(now), months_back)
     observations = lake.read(OBSERVATIONS).filter(month_window(end - F.make_dt_interval(days=F.lit(8)), next_hour(end)))
-    records = _score(lake, series.features_at(observations, end), observations, model_path, at)
+    records = score_features(lake, series.features_at(observations, end), observations, model_path, at)
     publish_predictions(lake, records)
     return lake.read(PREDICTIONS).filter(F.col("prediction_hour_ts") == next_hour(end))
 
@@ -108,7 +109,7 @@ def backfill(
     start = next_hour(simulated_clock(utc_literal(first), months_back))
     end = next_hour(simulated_clock(utc_literal(last), months_back))
     observations = lake.read(OBSERVATIONS).filter(month_window(start - F.make_dt_interval(days=F.lit(8)), end))
-    records = _score(lake, series.features_between(observations, start, end), observations, model_path, at)
+    records = score_features(lake, series.features_between(observations, start, end), observations, model_path, at)
     publish_predictions(lake, records)
     return lake.read(PREDICTIONS).filter(F.col("prediction_hour_ts").between(start, end))
 

@@ -224,24 +224,24 @@ def _(v: Views):
     )
 
 
-_SCORED = """SELECT pickup_location_id, pickup_hour_ts AS prediction_hour_ts, baseline_predicted_class, feature_window_end_ts,
+SCORED = """SELECT pickup_location_id, pickup_hour_ts AS prediction_hour_ts, baseline_predicted_class, feature_window_end_ts,
     threshold_q25, threshold_q75, CAST(actual_class AS INT) AS actual_class, ride_count AS actual_ride_count FROM
     (SELECT pickup_location_id, prediction_hour_ts AS pickup_hour_ts, baseline_predicted_class, feature_window_end_ts,
      threshold_q25, threshold_q75, actual_class, actual_ride_count AS ride_count FROM pred) WHERE {where}"""
-_SCORED_COLUMNS = [
+SCORED_COLUMNS = [
     ZONE, "prediction_hour_ts", "baseline_predicted_class", "feature_window_end_ts", "threshold_q25", "threshold_q75",
     "actual_class", "actual_ride_count",
 ]
 
 
-@query("k12_score_record", _SCORED.format(where="pickup_hour_ts = TIMESTAMP '2024-01-25 13:00:00'"), after="pred")
+@query("k12_score_record", SCORED.format(where="pickup_hour_ts = TIMESTAMP '2024-01-25 13:00:00'"), after="pred")
 def _(v: Views):
     """The model-independent part of the 20-column record for one hour of every area."""
     end = clock.utc_literal("2024-01-25 12:00:00")
     features = series.with_thresholds(series.features_at(v.area, end), v.thresholds, [ZONE])
     probs = {p: F.lit(1 / 3) for p in models.PROBABILITIES}
     predicted = scoring.with_baseline(features.withColumns({**probs, "predicted_class": F.lit(1)}))
-    return scoring.score_records(predicted, v.area, "m", "v", "r", "asymmetric-v1", AT).select(*_SCORED_COLUMNS)
+    return scoring.score_records(predicted, v.area, "m", "v", "r", "asymmetric-v1", AT).select(*SCORED_COLUMNS)
 
 
 @query("k13_per_zone_models")
@@ -277,21 +277,21 @@ def _(v: Views):
     )
 
 
-@query("l7_score_hour", _SCORED.format(where="pickup_hour_ts = TIMESTAMP '2024-01-25 13:00:00'"), after="pred")
+@query("l7_score_hour", SCORED.format(where="pickup_hour_ts = TIMESTAMP '2024-01-25 13:00:00'"), after="pred")
 def _(v: Views):
     """The champion scores the hour after the clock moved back two months; a re-run replaces it."""
     lake, path = observed_lake(v), trained(v).champion
     for _ in range(2):
         scored = scoring.score_hour(lake, path, dt.datetime(2024, 3, 25, 12, 34), 2, AT)
-    return scored.select(*_SCORED_COLUMNS)
+    return scored.select(*SCORED_COLUMNS)
 
 
 @query(
     "i5_hour_range_backfill",
-    _SCORED.format(where="pickup_hour_ts BETWEEN TIMESTAMP '2024-01-20 01:00:00' AND TIMESTAMP '2024-01-23 00:00:00'"),
+    SCORED.format(where="pickup_hour_ts BETWEEN TIMESTAMP '2024-01-20 01:00:00' AND TIMESTAMP '2024-01-23 00:00:00'"),
     after="pred",
 )
 def _(v: Views):
     """Seventy-two run hours scored by one job with the champion."""
     first, last = dt.datetime(2024, 3, 20, 0), dt.datetime(2024, 3, 22, 23)
-    return scoring.backfill(observed_lake(v), trained(v).champion, first, last, 2, AT).select(*_SCORED_COLUMNS)
+    return scoring.backfill(observed_lake(v), trained(v).champion, first, last, 2, AT).select(*SCORED_COLUMNS)

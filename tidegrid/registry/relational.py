@@ -719,12 +719,12 @@ def _(v: Views):
     return medallion.earliest_success(ledger)
 
 
-_FEATURE_SQL = ", ".join(r6(c) + f" AS {c}" if c != "is_weekend" else c for c in FEATURES)
+FEATURE_SQL = ", ".join(r6(c) + f" AS {c}" if c != "is_weekend" else c for c in FEATURES)
 
 
 @query(
     "e8_online_features",
-    f"SELECT pickup_location_id, pickup_hour_ts, {_FEATURE_SQL} FROM lagged WHERE pickup_hour_ts = TIMESTAMP '2024-01-25 13:00:00'",
+    f"SELECT pickup_location_id, pickup_hour_ts, {FEATURE_SQL} FROM lagged WHERE pickup_hour_ts = TIMESTAMP '2024-01-25 13:00:00'",
     after="lagged",
 )
 def _(v: Views):

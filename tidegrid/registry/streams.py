@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import time
+
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tidegrid.registry.core import query
+from tidegrid.functions.clock import utc_literal
+from tidegrid.registry.core import query, rounded
 from tidegrid.registry.lake import landed
-from tidegrid.registry.relational import HOUR, ZONE
+from tidegrid.registry.learning import SCORED, SCORED_COLUMNS, observed_lake, trained
+from tidegrid.registry.relational import FEATURE_SQL, HOUR, ZONE
 from tidegrid.registry.views import Views
-from tidegrid.schemas import BRONZE, INGESTION_LEDGER, SILVER, UTILISATION
+from tidegrid.schemas import BRONZE, FEATURES, INGESTION_LEDGER, PREDICTIONS, SILVER, UTILISATION
+from tidegrid.session import state_session
 from tidegrid.sources.manifest import to_manifest_json
 from tidegrid.sources.trips import trips_from_events
-from tidegrid.streaming import counts, manifests
+from tidegrid.streaming import counts, manifests, schedule, watch
 
 GLOB = "*.txt"
 
@@ -62,6 +69,43 @@ def _(v: Views):
     return rows.crossJoin(left).withColumn("waited", F.lit(waited).cast("long"))
 
 
+def until(stream: StreamingQuery, reached, seconds: float = 300) -> None:
+    """Let a stream run until ``reached(stream)`` by its finished batches, then stop it."""
+    limit = time.monotonic() + seconds
+    try:
+        while not reached(stream):
+            if not stream.isActive or time.monotonic() > limit:
+                raise RuntimeError("the stream ended early or took too long") from stream.exception()
+            time.sleep(0.5)
+    finally:
+        stream.stop()
+
+
+@query("i2_watched_manifests", "SELECT count(*) AS bronze_rows, CAST(3 AS BIGINT) AS waited, CAST(0 AS BIGINT) AS waiting, CAST(3 AS BIGINT) AS ledger_rows FROM events")
+def _(v: Views):
+    """Manifests come before their files: each waits with a timer, and a stream restarted from its checkpoint ingests the
+    files once they are there, without a new manifest; a repeated manifest does nothing."""
+    v = Views(state_session(v.spark), v.folder)
+    lake, folder, checkpoint = v.lake().create_all(), v.scratch("manifests"), v.scratch("checkpoint")
+    files, late = landed(v, 3).cache(), v.scratch("late")
+    source = files.first()["path"].rsplit("/", 1)[0]
+    announced = files.withColumn("path", F.concat(F.lit(late + "/"), "source_filename"))
+    drop_manifests(v, folder, announced)
+
+    def run() -> StreamingQuery:
+        return watch.watch_stream(lake, folder, checkpoint, GLOB, every="1 second", retry=dt.timedelta(seconds=1))
+
+    until(run(), lambda stream: watch.told(stream, manifests.WAITING) >= 3)
+    waited = manifests.waiting(lake).count()
+    moved(v, source, late)
+    until(run(), lambda stream: watch.told(stream, watch.READY) >= 3)
+    drop_manifests(v, folder, announced)
+    until(run(), lambda stream: any(p.numInputRows for p in stream.recentProgress))
+    left = manifests.waiting(lake).agg(F.count("*").alias("waiting"))
+    rows = lake.read(BRONZE).agg(F.count("*").alias("bronze_rows")).crossJoin(lake.read(INGESTION_LEDGER).agg(F.count("*").alias("ledger_rows")))
+    return rows.crossJoin(left).withColumn("waited", F.lit(waited).cast("long"))
+
+
 def moved(v: Views, source: str, target: str) -> None:
     """A folder renamed through the file system that Spark uses for it."""
     paths = v.spark._jvm.org.apache.hadoop.fs
@@ -143,3 +187,41 @@ def _(v: Views):
     hourly = counts.hourly_stream_counts(trips, lateness="60 days")
     counts.publish_counts(lake, hourly, v.scratch("checkpoint")).awaitTermination()
     return lake.read(counts.LIVE_COUNTS).select(ZONE, HOUR, "ride_count")
+
+
+SEEDED, CUT = "2024-01-10 23:00:00", "2024-01-20 12:00:00"
+_PREDICTED = f"""pickup_hour_ts > TIMESTAMP '{SEEDED}'
+    AND pickup_hour_ts <= (SELECT date_trunc('hour', max(pickup_datetime) - INTERVAL 3 HOUR) FROM clean)"""
+
+
+def through_the_hours(v: Views, start) -> None:
+    """``start(features, checkpoint)`` over trips in two drops with a restart between them. A fifth of the last two hours of the first
+    drop comes late, in the second one. The area counts up to ``SEEDED`` are the history."""
+    folder, checkpoint = v.scratch("drops"), v.scratch("checkpoint")
+    trips = v.clean.select((F.col(ZONE) % 3).alias(ZONE), "pickup_datetime", "event_id").filter(F.col("pickup_datetime") >= utc_literal("2024-01-11 00:00:00"))
+    cut = utc_literal(CUT)
+    held_back = (F.col("pickup_datetime") >= cut - F.expr("INTERVAL 2 HOURS")) & (F.col("event_id") % 5 == 0)
+    early = (F.col("pickup_datetime") < cut) & ~held_back
+    seed = schedule.seed_windows(v.area, utc_literal(SEEDED))
+    for drop in (trips.filter(early), trips.filter(~early)):
+        drop.drop("event_id").write.mode("append").parquet(folder)
+        stream = counts.parquet_stream(v.spark, folder, drop.drop("event_id").schema)
+        start(schedule.next_hour_features(stream, seed, "3 hours"), checkpoint).awaitTermination()
+
+
+@query("i4_next_hour_features", f"SELECT pickup_location_id, pickup_hour_ts, {FEATURE_SQL} FROM lagged WHERE {_PREDICTED}", after="lagged")
+def _(v: Views):
+    """Features of every area's next hour out of the stream's state, with late trips and a restart."""
+    v = Views(state_session(v.spark), v.folder)
+    lake = v.lake()
+    through_the_hours(v, lambda features, checkpoint: schedule.publish_features(lake, features, checkpoint))
+    return rounded(lake.read(schedule.LIVE_FEATURES).select(ZONE, HOUR, *FEATURES))
+
+
+@query("i5_scored_schedule", SCORED.format(where=_PREDICTED), after="pred")
+def _(v: Views):
+    """The champion scores each hour as the stream completes the hour before."""
+    path, v = trained(v).champion, Views(state_session(v.spark), v.folder)
+    lake = observed_lake(v)
+    through_the_hours(v, lambda features, checkpoint: schedule.score_schedule(lake, features, path, checkpoint))
+    return lake.read(PREDICTIONS).select(*SCORED_COLUMNS)

@@ -32,6 +32,18 @@ def use_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session over the same tables whose streams keep their state in RocksDB, which ``transformWithState`` needs.
+
+    Settings of ``spark`` itself stay as they are, so streams of other sessions don't change under way.
+    """
+    out = spark.newSession()
+    out.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    out.conf.set("spark.sql.session.timeZone", "UTC")
+    out.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    return out
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``; a temporary one only on a local master."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

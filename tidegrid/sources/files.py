@@ -107,24 +107,56 @@ def list_files(spark: SparkSession, *paths: str, glob: str = "*", recursive: boo
     )
 
 
-def _opener():
-    """A function that opens a listed URI through Arrow.
+def _locator():
+    """A function from a listed URI to Arrow's file system and the path in it.
 
     Task functions are built inside functions, imports included, so that they travel to the executors
     by value and this package need not be installed there.
     """
 
-    def open_uri(path: str):
+    def locate(path: str):
         from pyarrow import fs
 
         if "://" not in path:
             path = "file://" + path.removeprefix("file:")
-        filesystem, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+    return locate
+
+
+def _opener():
+    """A function that opens a listed URI through Arrow."""
+    locate = _locator()
+
+    def open_uri(path: str):
+        filesystem, inner = locate(path)
         return filesystem.open_input_file(inner)
 
     return open_uri
 
 
+def file_looker():
+    """A function for tasks that tells whether a file is there; its folder need not be."""
+    locate = _locator()
+
+    def present(path: str) -> bool:
+        filesystem, inner = locate(path)
+        return filesystem.get_file_info(inner).is_file
+
+    return present
+
+
+def present_paths(files: DataFrame, path: str = "path") -> DataFrame:
+    """The distinct paths of ``files`` (one column) whose file exists, looked up one by one inside tasks; no folder is listed."""
+    present = file_looker()
+
+    def look(frames):
+        for frame in frames:
+            yield frame[[present(p) for p in frame[path]]]
+
+    return files.filter(F.col(path).isNotNull()).select(path).distinct().mapInPandas(look, f"`{path}` string")
+
+
 def _block_hasher(block_size: int = HASH_BLOCK):
     open_uri = _opener()
 

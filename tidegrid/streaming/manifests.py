@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegrid.operators.tables import Lakehouse
-from tidegrid.plans.medallion import Outcome, bronze_ingest, path_key, run_month, utc
+from tidegrid.plans.medallion import Outcome, bronze_ingest, run_month, utc
 from tidegrid.schemas import MANIFEST, TableSpec, ddl
-from tidegrid.sources.files import list_files
+from tidegrid.sources.files import present_paths
 from tidegrid.sources.manifest import parse_manifests
 
 BUCKETS = 32  # partitions of a keyed state table, fixed, by path
@@ -50,30 +49,23 @@ def manifest_stream(
     )
 
 
-def _existing(spark: SparkSession, manifests: DataFrame) -> DataFrame:
-    """Manifests whose data file is there, by listing the folders they name (few per batch)."""
-    folder = F.regexp_replace("source_filepath", "/[^/]*$", "")
-    present = None
-    for row in manifests.select(folder.alias("folder")).distinct().collect():
-        try:
-            listed = list_files(spark, row["folder"]).select(path_key(F.col("path")).alias("_key"))
-        except AnalysisException:  # no such folder yet
-            continue
-        present = listed if present is None else present.unionByName(listed)
-    if present is None:
-        return manifests.limit(0)
-    return manifests.join(present, path_key(F.col("source_filepath")) == F.col("_key"), "left_semi")
+def _existing(manifests: DataFrame) -> DataFrame:
+    """Manifests whose data file is there, looked up by path inside tasks."""
+    return manifests.join(present_paths(manifests, "source_filepath"), "source_filepath", "left_semi")
 
 
-def _bucket(path: str) -> Column:
+def bucket(path: str) -> Column:
     return F.pmod(F.hash(F.col(path)), F.lit(BUCKETS)).alias("bucket")
 
 
-def identified(manifests: DataFrame) -> DataFrame:
-    """Manifests with their identity: a second manifest of a known path, for corrected content, is
+def identity() -> Column:
+    """A manifest's identity: a second manifest of a known path, for corrected content, is
     another one, while a replayed text is the same."""
-    whole = F.to_json(F.struct(*MANIFEST.names), {"ignoreNullFields": "false"})
-    return manifests.select(*MANIFEST.names, F.sha2(whole, 256).alias("manifest_id"))
+    return F.sha2(F.to_json(F.struct(*MANIFEST.names), {"ignoreNullFields": "false"}), 256)
+
+
+def identified(manifests: DataFrame) -> DataFrame:
+    return manifests.select(*MANIFEST.names, identity().alias("manifest_id"))
 
 
 def waiting(lake: Lakehouse) -> DataFrame:
@@ -81,12 +73,12 @@ def waiting(lake: Lakehouse) -> DataFrame:
     return lake.read(STATE).filter(F.col("state") == WAITING)
 
 
-def _remember(lake: Lakehouse, manifests: DataFrame, state: str) -> None:
-    rows = manifests.select(*MANIFEST.names, "manifest_id", F.lit(state).alias("state"), _bucket("source_filepath"))
+def remember(lake: Lakehouse, manifests: DataFrame, state: str) -> None:
+    rows = manifests.select(*MANIFEST.names, "manifest_id", F.lit(state).alias("state"), bucket("source_filepath"))
     lake.upsert(STATE, rows, F.lit(0))
 
 
-def _ingest(lake: Lakehouse, ready: DataFrame, at: dt.datetime | None, publish: bool) -> Outcome:
+def ingest_ready(lake: Lakehouse, ready: DataFrame, at: dt.datetime | None, publish: bool) -> Outcome:
     """Ready files under a run id of their contents; known checksums are skipped there. With ``publish`` their
     months go on through silver and gold; a replayed batch has the same run id and finishes what is open."""
     files = ready.select(F.col("source_filepath").alias("path"), "source_filename", "source_year", "source_month").distinct()
@@ -106,7 +98,7 @@ def handle_manifests(
     with lake.staged(parse_manifests(texts), "manifests") as parsed:
         bad = parsed.filter(F.col("reject_reason").isNotNull())
         if not bad.isEmpty():
-            lake.upsert(REJECTED, bad.withColumn("bucket", _bucket("manifest_path")), F.lit(0))
+            lake.upsert(REJECTED, bad.withColumn("bucket", bucket("manifest_path")), F.lit(0))
         good = parsed.filter(F.col("reject_reason").isNull())
         if dataset:
             good = good.filter(F.col("dataset") == dataset)
@@ -116,12 +108,12 @@ def handle_manifests(
             .dropDuplicates(["source_filepath", "manifest_id"])
             .join(handled, ["source_filepath", "manifest_id"], "left_anti")
         )
-        with lake.staged(candidates, "candidates") as due, lake.staged(_existing(lake.spark, due), "ready") as ready:
-            outcome = None if ready.isEmpty() else _ingest(lake, ready, at, publish)
+        with lake.staged(candidates, "candidates") as due, lake.staged(_existing(due), "ready") as ready:
+            outcome = None if ready.isEmpty() else ingest_ready(lake, ready, at, publish)
             still = due.join(ready.select("source_filepath", "manifest_id"), ["source_filepath", "manifest_id"], "left_anti")
             for rows, state in ((still, WAITING), (ready, HANDLED)):
                 if not rows.isEmpty():
-                    _remember(lake, rows, state)
+                    remember(lake, rows, state)
     return outcome
 
 
@@ -143,9 +135,9 @@ def ingest_stream(
 def retry_pending(lake: Lakehouse, at: dt.datetime | None = None, publish: bool = False) -> Outcome | None:
     """Look again for files of waiting manifests, without waiting for a new manifest to arrive."""
     with lake.staged(waiting(lake).select(*MANIFEST.names, "manifest_id"), "retry") as due:
-        with lake.staged(_existing(lake.spark, due), "ready") as ready:
+        with lake.staged(_existing(due), "ready") as ready:
             if ready.isEmpty():
                 return None
-            outcome = _ingest(lake, ready, at, publish)
-            _remember(lake, ready, HANDLED)
+            outcome = ingest_ready(lake, ready, at, publish)
+            remember(lake, ready, HANDLED)
     return outcome
