@@ -48,6 +48,52 @@ def test_tables_dont_depend_on_what_is_learned_together(small_docs):
     assert all(tables(alone, c) == tables(together, c) for c in chunks)
 
 
+def _runs(n):
+    letters = random.Random(3)
+    return ["".join(letters.choices(alphabet, k=n)) for alphabet in ("etaoinshr", "abcdefghijklmnopqrstuvwxyz0123456789+/", "天地玄黄宇宙洪荒", "aé\u2581☃x")]
+
+
+def test_long_chunks_in_windows_are_sampled_as_in_one_lattice(monkeypatch):
+    v = Vocabulary.load(PIECES)
+    texts = [*_runs(900), "short words stay " + _runs(700)[0] + " between others", "", "a b"]
+    seeds = piece_sampling.row_seeds(list(range(len(texts))), 1)
+    whole = piece_sampling.Sampler(v, 0.5).sample(texts, seeds)
+    monkeypatch.setattr(piece_sampling, "LONG_CHUNK", 100)
+    for window in (1 << 16, 64, 7):
+        monkeypatch.setattr(piece_sampling, "WINDOW", window)
+        monkeypatch.setattr(piece_sampling, "DRAWS", 50)
+        sampler = piece_sampling.Sampler(v, 0.5)
+        for _ in range(2):
+            ids, count = sampler.sample(texts, seeds)
+            assert count.tolist() == whole[1].tolist() and ids.tolist() == whole[0].tolist()
+        assert max(map(len, sampler.place)) <= 100
+
+
+def test_long_words_are_counted_as_in_one_lattice(monkeypatch):
+    counter, words = token_counts.Counter(Vocabulary.load(PIECES)), ["▁" + w for n in (1, 50, 1500) for w in _runs(n)]
+    together = counter(words)
+    monkeypatch.setattr(token_counts, "LONG_WORD", 20)
+    alone = counter(words)
+    assert alone[0].tolist() == together[0].tolist() and alone[1].tolist() == together[1].tolist()
+
+
+def test_memory_of_an_unbroken_run_is_that_of_a_window():
+    """Three hundred thousand letters without a space: lossless, and no more memory than some windows take."""
+    import tracemalloc
+
+    v, run = Vocabulary.load(PIECES), _runs(300_000)[1]
+    sampler, counter, decode = piece_sampling.Sampler(v, 0.5), token_counts.Counter(v), piece_sampling.Decoder(v)
+    tracemalloc.start()
+    ids, count = sampler.sample([run], piece_sampling.row_seeds([1], 0))
+    sampled = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    found, _ = counter([run])
+    counted = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert decode(ids) == run and count[0] == len(ids) >= found[0] > 0
+    assert sampled < 120 << 20 and counted < 40 << 20
+
+
 def test_samples_follow_the_lattice_distribution():
     v = Vocabulary.load(PIECES)
     sampler, n, word = piece_sampling.Sampler(v, 0.5), 60_000, "▁then"

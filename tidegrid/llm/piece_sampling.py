@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -28,6 +29,11 @@ TABLE_CHUNKS = 500_000
 #: Shares of a node's edges are counted in units of one over this.
 SHARES = float(1 << 40)
 
+#: Longer chunks are walked in windows of ``WINDOW`` characters, whose tables are dropped after use.
+LONG_CHUNK = 4_096
+WINDOW = 1 << 16
+DRAWS = 1 << 12
+
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -45,6 +51,10 @@ class Sampler:
     end backwards, one edge a step, for all chunks of many rows at once. The random numbers are hashes
     of row seed, chunk number and step, so a row's segmentation doesn't depend on batches, tasks or reruns.
     A character that is no piece of its own, and U+2581 itself, is written as byte pieces.
+
+    Chunks of over ``LONG_CHUNK`` characters (unbroken runs) aren't kept as tables: a first pass keeps what the next window
+    needs of each window's end, and the draw goes back window by window with that window's table made again. Memory is
+    that of one window and of the ids, whatever the length.
     """
 
     def __init__(self, vocabulary: Vocabulary, alpha: float):
@@ -58,6 +68,7 @@ class Sampler:
         self.lengths = np.ones(len(vocabulary.pieces), np.int64)
         for p, i in usable.items():
             self.lengths[i] = len(p)
+        self.longest = max(map(len, usable))
         self.weights = np.where(vocabulary.control, 0.0, vocabulary.scores * alpha)
         self.reset()
 
@@ -106,6 +117,59 @@ class Sampler:
         self.start = np.concatenate([self.start, self.nodes + lattice.starts])
         self.nodes += n
 
+    def _window(self, text: str, begin: int, end: int, before: list[float]) -> tuple[list[float], list[int], list[float], list[int]]:
+        """The nodes after ``begin`` up to ``end``: what the next window needs, then each node's first edge, the edges' running
+        shares and their pieces. ``before`` has the log weights of the last nodes up to ``begin``, relative to that of ``begin``."""
+        base, lengths, weights = begin + 1 - len(before), self.lengths.tolist(), self.weights.tolist()
+        reach, first, running, piece, at = list(before), [], [], [], []
+
+        def close(start: int) -> None:
+            top = max(at)
+            total = top + math.log(sum([math.exp(v - top) for v in at]))
+            reach.append(total)
+            first.append(start)
+            upto = 0
+            for v in at:
+                upto += round(math.exp(v - total) * SHARES)
+                running.append(upto)
+
+        node = begin
+        for last, p in self.machine.iter(text, base, end):
+            if last < begin:
+                continue
+            if last != node:
+                close(len(running))
+                node, at = last, []
+            at.append(reach[last + 1 - lengths[p] - base] + weights[p])
+            piece.append(p)
+        close(len(running))
+        upto = (np.array(running, np.float64) / SHARES).astype(np.float32)
+        upto[np.array([*first[1:], len(upto)]) - 1] = 2.0
+        return [v - reach[-1] for v in reach[-self.longest :]], first, upto.tolist(), piece
+
+    def sample_long(self, chunk: str, key: int) -> np.ndarray:
+        """The piece ids of one long chunk, with the draws that ``key`` gives."""
+        text, lengths = self._spell(chunk, set(chunk) - self.single - {" "}), self.lengths.tolist()
+        begins, marks = range(0, len(text), WINDOW), [[0.0]]
+        for begin in begins[:-1]:
+            marks.append(self._window(text, begin, begin + WINDOW, marks[-1])[0])
+        ids, at, draws = np.empty(len(text), np.int32), len(text), iter(())
+        n, step = 0, 0
+        for begin, before in zip(reversed(begins), reversed(marks), strict=True):
+            _, first, upto, piece = self._window(text, begin, min(begin + WINDOW, len(text)), before)
+            while at > begin:
+                u = next(draws, None)
+                if u is None:
+                    steps = np.arange(step, step + DRAWS, dtype=np.uint64) * np.uint64(_STEP)
+                    draws = iter(((_mixed(np.uint64(key) + steps) >> np.uint64(12)).astype(np.float64) * 2.0**-52).tolist())
+                    step, u = step + DRAWS, next(draws)
+                edge = first[at - begin - 1]
+                while upto[edge] <= u:
+                    edge += 1
+                ids[n] = piece[edge]
+                at, n = at - lengths[piece[edge]], n + 1
+        return ids[:n][::-1]
+
     def sample(self, texts: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The piece ids of all texts one after another, and how many each text has."""
         split = [self.chunks(" " + t) if t else [] for t in texts]
@@ -115,14 +179,27 @@ class Sampler:
             if len(self.place) + len(missing) > TABLE_CHUNKS:
                 self.reset()
                 missing = list(wanted)
-            self.learn(missing)
+            long = [c for c in missing if len(c) > LONG_CHUNK]
+            if short := [c for c in missing if len(c) <= LONG_CHUNK] if long else missing:
+                self.learn(short)
+        else:
+            long = []
+        self.place.update(dict.fromkeys(long, -1))
         per_row = np.fromiter(map(len, split), np.int64, len(split))
         chunk = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, int(per_row.sum()))
         number = np.arange(len(chunk)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
         key = _mixed(np.repeat(seeds, per_row) ^ _mixed(number.astype(np.uint64) + np.uint64(1)))
-        node, start = self.end[chunk], self.start[chunk]
-        live, step, drawn = np.arange(len(chunk)), 0, []
-        count = np.zeros(len(chunk), np.int64)
+        for c in long:
+            del self.place[c]
+        live, step, drawn = np.flatnonzero(chunk >= 0), 0, []
+        count, walked = np.zeros(len(chunk), np.int64), {}
+        if len(live) < len(chunk):
+            pieces = list(chain.from_iterable(split))
+            walked = {i: self.sample_long(pieces[i], int(key[i])) for i in np.flatnonzero(chunk < 0).tolist()}
+            for i, found in walked.items():
+                count[i] = len(found)
+        node, start = np.zeros(len(chunk), np.int64), np.zeros(len(chunk), np.int64)
+        node[live], start[live] = self.end[chunk[live]], self.start[chunk[live]]
         while len(live):
             u = (_mixed(key[live] + np.uint64(step * _STEP % (1 << 64))) >> np.uint64(12)).astype(np.float64) * 2.0**-52
             edge = self.first[node[live]]
@@ -139,6 +216,8 @@ class Sampler:
         ids = np.empty(int(count.sum()), np.int32)
         for step, (which, piece) in enumerate(drawn):
             ids[last[which] - 1 - step] = piece
+        for i, found in walked.items():
+            ids[last[i] - len(found) : last[i]] = found
         total = np.add.reduceat(np.append(count, 0), np.cumsum(per_row) - per_row) if len(per_row) else per_row
         return ids, np.where(per_row > 0, total, 0)
 

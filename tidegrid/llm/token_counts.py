@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from operator import itemgetter
 
@@ -14,6 +15,8 @@ from tidegrid.llm.common import Memo, pick, text_slices
 from tidegrid.llm.lattice import GAP, SPACE, Vocabulary, automaton, build
 
 SLICE_BYTES = 4 << 20
+#: Longer words are walked one by one in the memory of the longest piece.
+LONG_WORD = 2_048
 #: Below the least score, as the tokenizer has it.
 UNKNOWN_PENALTY = 10.0
 FIRST, SECOND = itemgetter(0), itemgetter(1)
@@ -37,8 +40,44 @@ class Counter:
         self.scores = np.append(vocabulary.scores, vocabulary.scores.min() - UNKNOWN_PENALTY)
         self.lengths = np.append(np.fromiter(map(len, vocabulary.pieces), np.int64, n), 1)
         self.unknown = n
+        self.longest = int(self.lengths.max())
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        long = [i for i, w in enumerate(words) if len(w) > LONG_WORD]
+        if not long:
+            return self._together(words)
+        count, best = np.empty(len(words), np.int64), np.empty(len(words))
+        if short := sorted(set(range(len(words))).difference(long)):
+            count[short], best[short] = self._together([words[i] for i in short])
+        for i in long:
+            count[i], best[i] = self._alone(words[i])
+        return count, best
+
+    def _alone(self, word: str) -> tuple[int, float]:
+        """Count and score of one word, character by character: only the nodes that a piece can still begin at are held, so
+        memory doesn't grow with the word. Order of trials and sums are those of ``_together``."""
+        ring, lengths, scores, strange = self.longest + 1, self.lengths.tolist(), self.scores.tolist(), set(word) - self.single
+        best, count = [-math.inf] * ring, [0] * ring
+        best[0] = 0.0
+        hits = self.machine.iter(word)
+        last, piece = next(hits, (-1, -1))
+        for i, c in enumerate(word):
+            top, n = -math.inf, 0
+            while last == i:
+                tail = (i + 1 - lengths[piece]) % ring
+                value = best[tail] + scores[piece]
+                if value > top:
+                    top, n = value, count[tail] + 1
+                last, piece = next(hits, (-1, -1))
+            if c in strange:
+                value = best[i % ring] + scores[self.unknown]
+                if value > top:
+                    top, n = value, count[i % ring] + len(c.encode("utf-8", "surrogatepass"))
+            best[(i + 1) % ring], count[(i + 1) % ring] = top, n
+        return count[len(word) % ring], best[len(word) % ring]
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All words at once, a layer of the lattice a step."""
         strange = np.array(sorted({ord(c) for c in set("".join(words)) - self.single}), np.uint32)
         lattice = build(words, self.machine, self.lengths, (strange, self.unknown))
         layout = GAP.join(words) + GAP
