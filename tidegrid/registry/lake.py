@@ -20,6 +20,7 @@ from tidegrid.schemas import (
 from tidegrid.sources import files as sources
 from tidegrid.sources.manifest import derive_manifests, parse_manifests
 from tidegrid.sources.trips import conform
+from tidegrid.sources.zone_map import row_groups, scan_range
 
 AT = dt.datetime(2024, 2, 1, 3, tzinfo=dt.timezone.utc)
 RUN = "run-1"
@@ -300,6 +301,46 @@ def _(v: Views):
     )
 
 
+_RANGED = {"l_orderkey": "bigint", "l_quantity": "double", "l_extendedprice": "double", "l_shipdate": "timestamp_ntz"}
+
+
+@query(
+    "a16_row_groups",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM lineitem"
+        if kind != "timestamp_ntz" else
+        f"SELECT '{c}', count(*), count(*) - count({c}), strftime(min({c}), '%Y-%m-%d %H:%M:%S'), strftime(max({c}), '%Y-%m-%d %H:%M:%S') FROM lineitem"
+        for c, kind in _RANGED.items()
+    ),
+)
+def _(v: Views):
+    """Rows, nulls and ranges of the line items out of the footers' row groups, folded per column; no data page is read."""
+    files, out = sources.list_files(v.spark, v.folder, glob="lineitem.parquet"), None
+    for column, kind in _RANGED.items():
+        found = row_groups(files, column, kind).agg(
+            F.sum("row_count").alias("row_count"), F.sum("null_count").alias("null_count"),
+            F.min("min_value").cast("string").alias("min_value"), F.max("max_value").cast("string").alias("max_value"),
+        ).withColumn("column_name", F.lit(column))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@query(
+    "f8_zone_map_scan",
+    """SELECT ts, user_id, value AS amount FROM events WHERE ts >= TIMESTAMP '2024-01-10 06:00:00'
+    AND ts < TIMESTAMP '2024-01-12 18:30:00' ORDER BY ts""",
+)
+def _(v: Views):
+    """The time range out of the files whose footers' ranges meet it."""
+    raw, folder = v.spark.read.parquet(f"{v.folder}/events.parquet"), v.scratch("ranged")
+    raw.repartitionByRange(12, "ts").sortWithinPartitions("ts").write.parquet(folder)
+    kept = v.scratch("zones")
+    row_groups(sources.list_files(v.spark, folder, glob="*.parquet"), "ts", "timestamp_ntz").write.parquet(kept)
+    low, high = (F.lit(t).cast("timestamp_ntz") for t in ("2024-01-10 06:00:00", "2024-01-12 18:30:00"))
+    found = scan_range(v.spark, v.spark.read.parquet(kept), raw.schema, "ts", low, high)
+    return found.select("ts", "user_id", F.col("value").alias("amount")).orderBy("ts")
+
+
 @query("a17_table_layout")
 def _(v: Views):
     return sources.table_layout(silver_lake(v).read(SILVER), ["pickup_date"])

@@ -124,7 +124,7 @@ def _locator():
     return locate
 
 
-def _opener():
+def file_opener():
     """A function that opens a listed URI through Arrow."""
     locate = _locator()
 
@@ -158,7 +158,7 @@ def present_paths(files: DataFrame, path: str = "path") -> DataFrame:
 
 
 def _block_hasher(block_size: int = HASH_BLOCK):
-    open_uri = _opener()
+    open_uri = file_opener()
 
     def hash_files(batches):
         import hashlib
@@ -203,7 +203,7 @@ def fingerprints(
 
 
 def _footer_reader():
-    open_uri = _opener()
+    open_uri = file_opener()
 
     def read_footers(batches):
         import json
