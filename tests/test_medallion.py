@@ -4,6 +4,7 @@ import shutil
 
 import pandas as pd
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidegrid.plans import medallion, scoring
@@ -159,3 +160,38 @@ def test_a_grown_run_replaces_its_slice(spark, lake, tmp_path):
     assert lake.read(UTILISATION).agg(F.sum("trip_count")).first()[0] == lake.read(SILVER).count()
     assert medallion.run_month(lake, second, "r1", at)[1].status is medallion.Status.SKIPPED
     assert lake.read(PUBLISH_LEDGER).count() == 2
+
+
+def test_ingest_sorts_no_rows(spark, lake, landing, monkeypatch):
+    """Neither the write of bronze nor the look for held files sorts or shuffles the trips, so a task's memory doesn't grow with its file."""
+    lake.create_all()
+    plans, insert = [], DataFrameWriter.insertInto
+
+    def watched(self, table, overwrite=None):
+        if table == lake.name(BRONZE):
+            self._df.createOrReplaceTempView("written")
+            text = spark.sql(f"EXPLAIN INSERT OVERWRITE TABLE {table} SELECT * FROM written").first()[0]
+            plans.append(text)
+        return insert(self, table, overwrite)
+
+    monkeypatch.setattr(DataFrameWriter, "insertInto", watched)
+    medallion.bronze_ingest(lake, listing(spark, landing), "run-1", AT)
+    assert plans and not any(word in plan for plan in plans for word in ("Sort [", "SortMergeJoin", "Exchange hashpartitioning"))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    unseen = spark.createDataFrame([(2024, 1, "c")], "source_year int, source_month int, file_checksum string")
+    held = medallion.unledgered_files(lake, unseen)._jdf.queryExecution().executedPlan().toString()
+    above = held[: held.index("yellow_taxi_raw")]
+    assert above.rfind("HashAggregate(") > above.rfind("SortAggregate(")
+
+
+def test_more_partitions_than_open_writers(spark, lake):
+    from tidegrid.operators.tables import OPEN_WRITERS
+    from tidegrid.schemas import TableSpec, ddl
+
+    spec = TableSpec("gold.many", ddl("id long, slot int"), ("slot",))
+    lake.create(spec)
+    n = OPEN_WRITERS * 3
+    rows = spark.range(1000).coalesce(1).selectExpr("id", f"cast(id % {n} as int) as slot")
+    assert lake.replace_counted(spec, rows, balance=False) == 1000
+    back = lake.read(spec)
+    assert back.where(f"slot <> id % {n}").isEmpty() and (back.count(), back.select("id").distinct().count()) == (1000, 1000)

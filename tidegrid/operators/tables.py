@@ -20,6 +20,9 @@ from pyspark.sql import types as T
 from tidegrid.schemas import ALL_TABLES, COMMIT_LOG, TableSpec
 from tidegrid.session import use_utc
 
+#: Partitions that a task may write side by side instead of sorting its rows by partition; an input split of 128 MiB packs so many files.
+OPEN_WRITERS = 32
+
 
 class Lakehouse:
     """Tables below one warehouse root. ``prefix`` separates several lakes in one catalog."""
@@ -98,24 +101,34 @@ class Lakehouse:
             out = out.hint("rebalance", *[F.col(c) for c in spec.partition_by])
         return out
 
-    def _overwrite(self, df: DataFrame, spec: TableSpec, dynamic: bool) -> None:
-        key, conf = "spark.sql.sources.partitionOverwriteMode", df.sparkSession.conf  # a stream batch has its own
-        before = conf.get(key)
-        conf.set(key, "dynamic" if dynamic else "static")
+    def _insert(self, df: DataFrame, spec: TableSpec, overwrite: bool, dynamic: bool = False, balance: bool = True) -> None:
+        """Without ``balance`` a task keeps a file open per partition instead of sorting all its rows; beyond ``OPEN_WRITERS``
+        partitions it sorts the rest."""
+        conf = df.sparkSession.conf  # a stream batch has its own
+        wanted = {"spark.sql.sources.partitionOverwriteMode": "dynamic" if dynamic else "static"} if overwrite else {}
+        if not balance and spec.partition_by:
+            wanted["spark.sql.maxConcurrentOutputFileWriters"] = str(OPEN_WRITERS)
+        before = {key: conf.get(key) for key in wanted}
+        for key, value in wanted.items():
+            conf.set(key, value)
         try:
-            df.write.insertInto(self.name(spec), overwrite=True)
+            df.write.insertInto(self.name(spec), overwrite=overwrite)
         finally:
-            conf.set(key, before)
+            for key, value in before.items():
+                conf.set(key, value)
+
+    def _overwrite(self, df: DataFrame, spec: TableSpec, dynamic: bool, balance: bool = True) -> None:
+        self._insert(df, spec, True, dynamic, balance)
 
     def append(self, spec: TableSpec, df: DataFrame, balance: bool = True) -> None:
         """Add rows. ``balance=False`` skips the shuffle when each input split feeds one partition."""
-        self._arrange(df, spec, balance).write.insertInto(self.name(spec), overwrite=False)
+        self._insert(self._arrange(df, spec, balance), spec, False, balance=balance)
 
     def replace_slices(self, spec: TableSpec, df: DataFrame, balance: bool = True) -> None:
         """Replace exactly the partitions present in ``df``; the others are untouched."""
         if not spec.partition_by:
             raise ValueError(f"{spec.name} has no partitions to replace")
-        self._overwrite(self._arrange(df, spec, balance), spec, dynamic=True)
+        self._overwrite(self._arrange(df, spec, balance), spec, dynamic=True, balance=balance)
 
     def replace_counted(self, spec: TableSpec, df: DataFrame, balance: bool = True) -> int:
         """``replace_slices`` that also reports the rows written, counted during the write."""

@@ -67,7 +67,8 @@ def unledgered_files(lake: Lakehouse, unseen: DataFrame) -> DataFrame:
     known = lake.read(INGESTION_LEDGER).select("ingestion_run_id").distinct()
     months = unseen.select("source_year", "source_month").distinct()
     held = (
-        lake.read(BRONZE)
+        # counted by hash per folder first, as a least text over all rows would sort them; the filter keeps this step in the plan
+        lake.read(BRONZE).groupBy("source_year", "source_month", "ingestion_run_id", "source_checksum").agg(F.count("*").alias("n")).where("n > 0")
         .join(F.broadcast(months), ["source_year", "source_month"], "left_semi")  # one row per month
         .join(known, "ingestion_run_id", "left_anti")
         .groupBy(F.col("source_checksum").alias("file_checksum"))
@@ -93,7 +94,7 @@ def bronze_rows(lake: Lakehouse, files: DataFrame, run_id: str, at: dt.datetime)
         rows = (
             scan.withColumn("path_key", path_key(F.col("_metadata.file_path")))
             .drop(*[f.name for f in BRONZE.schema if f.name not in RAW_TRIP.names])
-            .join(lineage, "path_key")
+            .join(F.broadcast(lineage), "path_key")  # one short row per file of the batch
         )
         rows = conform(rows, keep=("source_filename", "source_checksum", "source_year", "source_month"))
         out = rows if out is None else out.unionByName(rows)
