@@ -232,9 +232,9 @@ def _judged(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = checkpoint(with_signatures(plain))
     known = rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest")
     classes = checkpoint(known.agg(F.min("doc_id").alias("least"), F.first("signature").alias("signature")).withColumn("node", node_of(F.col("digest"))))
-    keyed = classes.select("node", "least", F.explode(_keys(F.col("signature"))).alias("key"))
-    hub = F.min(F.struct("least", "node"))["node"]
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), hub.alias("hub")).where("n > 1").select("key", "hub")
+    keyed = classes.select("node", F.explode(_keys(F.col("signature"))).alias("key"))
+    # the hub is the least node and not that of the least id, so ids aren't shuffled sixty times
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).where("n > 1").select("key", "hub")
     stars = checkpoint(
         keyed.join(shared, "key").where("node <> hub").groupBy(F.col("node").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     )
@@ -263,7 +263,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     1. Rows with equal sets form a class, numbered by its digest (a combining aggregate, so copies cost
        no pairs). Empty texts form no class and are their own component.
     2. A class emits one key for every chunk and allowed error. Of each key with several classes, the
-       least is the hub; a class is compared with the hub it shares most keys with, and confirmed links
+       one of least number is the hub; a class is compared with the hub it shares most keys with, and confirmed links
        give first components. A group of near copies so costs one comparison a member, not all pairs.
     3. Groups of classes that keys connect and that still hold several components give the rest: their
        full sets are compared in blocks, all but pairs inside the group's largest component. So
