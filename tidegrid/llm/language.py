@@ -18,13 +18,15 @@ from tidegrid.llm.common import pick, text_slices
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 ROWS = 1 << 16
 #: Training bounds: documents of all languages together, but so many of each at least, and words of one.
 SAMPLE_DOCS, LEAST_DOCS, SAMPLE_WORDS = 1600, 25, 200
 LENGTH, EPOCHS, BATCH = 24, 4, 128
 #: Numbers in the table of words' emissions that a task keeps (words times languages).
 TABLE_CELLS = 300_000 * 64
+#: Words in it however few the languages are, and new ones whose features are made at a time.
+TABLE_WORDS, NEW_WORDS = 300_000, 8192
 
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -275,15 +277,16 @@ class Predictor:
         self.table = np.empty((0, max(1, len(self.model.languages))))
 
     def _rows_of(self, split: list[list[str]], n: int) -> np.ndarray:
-        """The emission table's row of every word; the table starts afresh beyond ``TABLE_CELLS``."""
+        """The emission table's row of every word; the table starts afresh beyond ``TABLE_WORDS`` or ``TABLE_CELLS``."""
         wanted = set().union(*split)
         missing = list(wanted.difference(self.place.keys()))
-        if (len(self.place) + len(missing)) * len(self.model.languages) > TABLE_CELLS:
+        if len(self.place) + len(missing) > min(TABLE_WORDS, TABLE_CELLS // len(self.model.languages)):
             self.reset()
             missing = list(wanted)
         if missing:
             self.place.update(zip(missing, range(len(self.table), len(self.table) + len(missing)), strict=True))
-            self.table = np.concatenate([self.table, self.model.emissions(missing)])
+            new = (self.model.emissions(missing[i : i + NEW_WORDS]) for i in range(0, len(missing), NEW_WORDS))
+            self.table = np.concatenate([self.table, *new])
         return np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, n)
 
     def __call__(self, texts: list[str | None]) -> Labelled:
