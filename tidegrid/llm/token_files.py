@@ -75,17 +75,16 @@ class Encoder:
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         out: list[bytes] = [b""] * len(words)
-        rest = []
-        model, normalizer = self.tokenizer.model, self.tokenizer.normalizer
-        for i, w in enumerate(words):
-            letters = w.decode()
-            if not (w.isalpha() and w.islower()):
-                letters = normalizer.normalize_str(letters) if letters.isalpha() else ""
-                letters = letters.encode().decode("latin-1").translate(BYTE_SIGNS) if letters.isalpha() else ""
-            if letters:
-                out[i] = array(self.code, [t.id for t in model.tokenize(letters)]).tobytes()
-            else:
-                rest.append(i)
+        texts = b"\n".join(words).decode().split("\n") if words else []  # words hold no white space
+        strange = [i for i, w in enumerate(words) if not (w.isalpha() and w.islower())]
+        alphabetic = [i for i in strange if texts[i].isalpha()]
+        for i, letters in zip(alphabetic, self._signs([texts[i] for i in alphabetic]), strict=True):
+            texts[i] = letters
+        rest = sorted({*strange}.difference(i for i in alphabetic if texts[i]))
+        other, tokenize, code = {*rest}, self.tokenizer.model.tokenize, self.code
+        for i, letters in enumerate(texts):
+            if i not in other:
+                out[i] = array(code, [t.id for t in tokenize(letters)]).tobytes()
         if rest:
             found = self.tokenizer.encode([words[i].decode() for i in rest], is_pretokenized=True, add_special_tokens=False)
             ids, owner = np.array(found.ids, self.kind), np.array(found.word_ids, np.int64)
@@ -94,6 +93,16 @@ class Encoder:
                 out[i] = ids[ends[k] : ends[k + 1]].tobytes()
         return out
 
+    def _signs(self, words: list[str]) -> list[str]:
+        """Normalized words in the signs of their bytes, empty where they aren't letters only. All go through in one text
+        with blanks between them, unless the normalizer changes those."""
+        normalize = self.tokenizer.normalizer.normalize_str
+        found = normalize(" ".join(words)).split(" ") if words else []
+        if len(found) != len(words):
+            found = [normalize(w) for w in words]
+        known = " ".join(x if x.isalpha() else "" for x in found)
+        return known.encode().decode("latin-1").translate(BYTE_SIGNS).split(chr(BYTE_SIGNS[32])) if words else []
+
     @staticmethod
     def _split(word: bytes) -> tuple[bytes, bytes]:
         if b"<|" in word:  # may be a special token, which is looked for before lower-casing
@@ -105,7 +114,7 @@ class Encoder:
         return low, b""
 
     def _learn(self, words: list[bytes]) -> list[bytes]:
-        split = [self._split(w) for w in words]
+        split = [(w, b"") if w.isalpha() and w.islower() else self._split(w) for w in words]
         # only what stands before or in punctuation is kept for later words; whole words are kept by the memo itself
         known = self.parts.of({p for low, tail in split if tail for p in (low, tail)})
         whole = list({low for low, tail in split if not tail}.difference(known))
