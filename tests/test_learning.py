@@ -67,6 +67,32 @@ def test_every_family_draws_twenty_trials(spark, small, monkeypatch):
     assert drawn == {f: 20 for f in models.FAMILIES} and search.STARTUP == 10
 
 
+def test_the_winning_trial_is_not_fitted_again(monkeypatch):
+    """A family's two runs fit 20 trials and the defaults, and the tuned run is scored with the model of its best trial."""
+
+    class Ready:
+        def __init__(self, train):
+            pass
+
+    fitted = []
+
+    def fit_all(family, trials, train, parallel=4):
+        made = [(family, len(fitted) + i, p) for i, p in enumerate(trials)]
+        fitted.extend(made)
+        return made
+
+    monkeypatch.setattr(models, "TrainingSet", Ready)
+    monkeypatch.setattr(models, "fit_all", fit_all)
+    monkeypatch.setattr(experiments, "penalties", lambda batch, frame: [abs(m[1] - 12) // 2 + 1.0 for m in batch])
+    monkeypatch.setattr(experiments, "evaluate", lambda model, frame, prefix: {"model": model})
+    tuned_only = [("only", models.BOOSTED, True)]
+    [run] = experiments.run_experiments(None, None, plan=tuned_only)
+    assert len(fitted) == 20 and run.metrics["model"] == fitted[11] and run.params == fitted[11][2]  # 11, 12 and 13 are equal
+    fitted.clear()
+    both = experiments.run_experiments(None, None, plan=[("plain", models.FOREST, False), ("tuned", models.FOREST, True)])
+    assert [(r.run_order, r.run_name, r.tuned) for r in both] == [(1, "plain", False), (2, "tuned", True)] and len(fitted) == 21
+
+
 def test_champion_scores_like_its_run(spark, small, log):
     """The reloaded champion, refitted on train and validation rows, has the logged test penalty."""
     v = Views(spark, small)

@@ -170,53 +170,68 @@ def class_facts(counts: np.ndarray, balanced: bool) -> tuple[np.ndarray, np.ndar
     return weights, np.log(held / held.sum())
 
 
+def class_orders(order: np.ndarray, k: int) -> np.ndarray:
+    """Each feature's order of the rows of ``k`` classes one after another."""
+    n = order.shape[1]
+    return np.concatenate([order + c * n for c in range(k)], axis=1)
+
+
 def sorted_splits(
     bins: np.ndarray, order: np.ndarray, slots: np.ndarray, count: int, g: np.ndarray, h: np.ndarray, layout: Layout, allowed: np.ndarray, least_rows: int
 ) -> tuple[list[Split | None], np.ndarray]:
     """What ``best_splits`` finds, from the rows themselves: sorted by slot within each feature's ``order`` (classes x
     rows one after another), running sums up to each change of bin are the left sides. Costs rows x features
     however many nodes and bins there are, which suits frames smaller than their histograms."""
-    n, k = len(bins), len(slots) // len(bins)
-    wide = np.concatenate([order + c * n for c in range(k)], axis=1)
-    held = slots[wide]
-    by_slot = np.argsort(np.where(held < 0, count, held).astype(np.int16 if count < 32_000 else np.int32), axis=1, kind="stable")
-    wanted = int((slots >= 0).sum())
-    index = np.take_along_axis(wide, by_slot[:, :wanted], axis=1)
-    slot = np.sort(slots[slots >= 0])
-    first = np.searchsorted(slot, np.arange(count + 1))
-    present = np.flatnonzero(np.diff(first))
+    wide = order if order.shape[1] == len(slots) else class_orders(order, len(slots) // len(bins))
+    held = slots >= 0
+    wanted = int(held.sum())
     sums = np.zeros((count, 2))
     if not wanted:
         return [None] * count, sums
+    # only rows with a slot are sorted, each feature has as many
+    index = wide if wanted == len(slots) else wide[held[wide]].reshape(len(wide), wanted)
+    features = np.arange(len(wide))[:, None]
+    by_slot = np.argsort(slots.astype(np.int16 if count < 32_000 else np.int32).take(index), axis=1, kind="stable")
+    index = index.take(by_slot + features * wanted)
+    slot = np.sort(slots[held])
+    first = np.searchsorted(slot, np.arange(count + 1))
+    present = np.flatnonzero(np.diff(first))
     begin, end, size = first[slot], first[slot + 1], np.diff(first)[present]
 
-    def sided(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        run = np.cumsum(x[index], axis=1)
+    def summed(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Running sums of a statistic, those before each slot present, and the slots' own."""
+        run = np.cumsum(x.take(index), axis=1)
         ends = run[:, first[present + 1] - 1]
         base = np.concatenate([np.zeros((len(run), 1)), ends[:, :-1]], axis=1)
-        left = run - np.repeat(base, size, axis=1)
-        whole = np.repeat((ends - base)[0], size)
-        return left, whole - left, whole
+        return run.ravel(), base.ravel(), (ends - base)[0]
 
-    gl, gr, gt = sided(g)
-    hl, hr, ht = sided(h)
-    sums[present] = np.stack([gt[first[present]], ht[first[present]]], axis=1)
+    (run_g, base_g, all_g), (run_h, base_h, all_h) = summed(g), summed(h)
+    sums[present] = np.stack([all_g, all_h], axis=1)
     nl = np.arange(wanted) - begin + 1
-    bin_ = bins[index % n, np.arange(bins.shape[1])[:, None]]
-    changes = np.zeros(bin_.shape, bool)
-    changes[:, :-1] = bin_[:, 1:] != bin_[:, :-1]
+    bin_ = np.tile(bins.T, len(slots) // len(bins)).take(index + features * len(slots))
+    fits = np.zeros(bin_.shape, bool)
+    fits[:, :-1] = bin_[:, 1:] != bin_[:, :-1]
+    fits &= (nl >= least_rows) & (end - begin - nl >= least_rows) & (np.arange(wanted) + 1 < end) & allowed[slot].T
+    # sides and gains only where a cut may be
+    at = np.flatnonzero(fits)
+    f_at = at // wanted
+    s_at = np.repeat(np.arange(len(present)), size).take(at - f_at * wanted)
+    b_at = f_at * len(present) + s_at
+    gl, hl, gt, ht = run_g.take(at) - base_g.take(b_at), run_h.take(at) - base_h.take(b_at), all_g.take(s_at), all_h.take(s_at)
+    gr, hr = gt - gl, ht - hl
     floor = LEAST_HESSIAN * SCALE
-    rows_fit = (nl >= least_rows) & (end - begin - nl >= least_rows) & (np.arange(wanted) + 1 < end)
-    fits = changes & rows_fit & (hl >= floor) & (hr >= floor) & allowed[slot].T
+    gain = np.full(fits.shape, -np.inf)
     with np.errstate(divide="ignore", invalid="ignore"):
-        gain = np.where(fits, (gl * gl / hl + gr * gr / hr - gt * gt / ht) / SCALE, -np.inf)
+        gain.ravel()[at] = np.where((hl >= floor) & (hr >= floor), (gl * gl / hl + gr * gr / hr - gt * gt / ht) / SCALE, -np.inf)
     top = np.maximum.reduceat(gain, first[present], axis=1)
     out: list[Split | None] = [None] * count
-    for s, f, best in zip(present, np.argmax(top, axis=0), top.max(0)):
+    for i, (s, f, best) in enumerate(zip(present, np.argmax(top, axis=0), top.max(0))):
         if best > LEAST_GAIN:
             at = first[s] + int(np.argmax(gain[f, first[s] : first[s + 1]]))
             n_left, n_all = at - first[s] + 1, first[s + 1] - first[s]
-            sides = (int(gl[f, at]), int(hl[f, at]), int(n_left)), (int(gr[f, at]), int(hr[f, at]), int(n_all - n_left))
+            cell, own = f * wanted + at, f * len(present) + i
+            g_left, h_left = run_g[cell] - base_g[own], run_h[cell] - base_h[own]
+            sides = (int(g_left), int(h_left), int(n_left)), (int(all_g[i] - g_left), int(all_h[i] - h_left), int(n_all - n_left))
             out[s] = Split(float(best), int(f), int(bin_[f, at]), *sides)
     return out, sums
 
@@ -226,7 +241,7 @@ def boost_local(bins: np.ndarray, labels: np.ndarray, ids: np.ndarray, counts: n
     weights, start = class_facts(counts, settings.balanced)
     n, k = len(labels), len(counts)
     margins, trees = np.repeat(start[:, None], n, axis=1), []
-    order = np.argsort(bins, axis=0, kind="stable").T
+    order = class_orders(np.argsort(bins, axis=0, kind="stable").T, k)
     for round_ in range(settings.rounds):
         seen = settings.rows(ids, round_)
         g, h = gradients(margins, labels, weights, seen)

@@ -73,38 +73,49 @@ def penalties(fitted: list[FittedModel], frame: DataFrame) -> list[float]:
 
 
 def tune(family: str, train: TrainingSet, validation: DataFrame, trials: int = 20, space: dict | None = None, parallel: int = 4, base: dict | None = None) -> dict:
-    """Parameters of least validation mean penalty by a seeded search; the first of equal trials wins.
+    """Parameters of least validation mean penalty by a seeded search; the first of equal trials wins."""
+    return tuned_model(family, train, validation, trials, space, parallel, base)[0]
+
+
+def tuned_model(
+    family: str, train: TrainingSet, validation: DataFrame, trials: int = 20, space: dict | None = None, parallel: int = 4, base: dict | None = None
+) -> tuple[dict, FittedModel]:
+    """What ``tune`` finds, with the model of the winning trial, which needs no second fit.
     A batch of trials is fitted and scored together."""
+    best: list[tuple[float, dict, FittedModel]] = []
 
     def losses(batch: list[dict]) -> list[float]:
-        return penalties(models.fit_all(family, [{**(base or {}), **p} for p in batch], train, parallel), validation)
+        wanted = [{**(base or {}), **p} for p in batch]
+        fitted = models.fit_all(family, wanted, train, parallel)
+        found = penalties(fitted, validation)
+        best[:] = [min([*best, *zip(found, wanted, fitted)], key=lambda trial: trial[0])]
+        return found
 
-    seen = search.minimise(space or SEARCH_SPACES[family], losses, trials, models.SEED)
-    best = min(range(len(seen)), key=lambda i: seen[i][1])
-    return {**(base or {}), **seen[best][0]}
+    search.minimise(space or SEARCH_SPACES[family], losses, trials, models.SEED)
+    return best[0][1:]
 
 
 def run_experiments(
     train: DataFrame, validation: DataFrame, trials: int = 20, started: dt.datetime | None = None,
     spaces: dict[str, dict] | None = None, defaults: dict[str, dict] | None = None, plan=None,
 ) -> list[Experiment]:
-    """Each family once with defaults and once tuned, scored on the validation rows. Families run side by side."""
+    """Each family once with defaults and once tuned, scored on the validation rows. Runs go side by side."""
     stamp = (started or dt.datetime.now(dt.timezone.utc)).strftime("%Y%m%d_%H%M%S")
     numbered = list(enumerate(plan or EXPERIMENT_PLAN, start=1))
     ready = models.TrainingSet(train)
 
-    def runs(family: str) -> list[Experiment]:
-        out = []
-        for order, (name, _, tuned) in (n for n in numbered if n[1][1] == family):
-            base = (defaults or {}).get(family, {})
-            params = tune(family, ready, validation, trials, (spaces or {}).get(family), base=base) if tuned else dict(base)
-            metrics = evaluate(models.fit(family, params, ready), validation, "val")
-            out.append(Experiment(f"run_{stamp}_{name.lower()}", order, name, family, tuned, params, metrics))
-        return out
-
-    families = list(dict.fromkeys(family for _, (_, family, _) in numbered))
-    with ThreadPoolExecutor(max_workers=max(1, len(families))) as pool:
-        return sorted((e for found in pool.map(runs, families) for e in found), key=lambda e: e.run_order)
+    def run(entry: tuple[int, tuple[str, str, bool]]) -> Experiment:
+        order, (name, family, tuned) = entry
+        params = dict((defaults or {}).get(family, {}))
+        if tuned:
+            params, model = tuned_model(family, ready, validation, trials, (spaces or {}).get(family), base=params)
+        else:
+            model = models.fit(family, params, ready)
+        return Experiment(f"run_{stamp}_{name.lower()}", order, name, family, tuned, params, evaluate(model, validation, "val"))
+
+    # the longest run, boosted trees tuned, is last in the plan and starts first
+    with ThreadPoolExecutor(max_workers=max(1, len(numbered))) as pool:
+        return sorted(pool.map(run, reversed(numbered)), key=lambda e: e.run_order)
 
 
 def experiment_rows(
