@@ -1,12 +1,16 @@
 import datetime as dt
 import json
+import time
 import uuid
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from test_medallion import landing  # noqa: F401 - shared fixture
 from tidegrid.functions.clock import utc_literal
 from tidegrid.operators.tables import Lakehouse
+from tidegrid.registry import QUERIES, streams
 from tidegrid.registry.streams import until
 from tidegrid.schemas import BRONZE, INGESTION_LEDGER
 from tidegrid.session import state_session
@@ -104,6 +108,58 @@ def test_watched_manifest_waits_for_its_file_over_a_restart(spark, landing, tmp_
     assert states == {manifests.HANDLED: 2, watch.GIVEN_UP: 1}
 
 
+def test_stop_lets_the_batch_under_way_finish(spark, landing, tmp_path, monkeypatch):  # noqa: F811
+    """A killed state task can take its executor along, so a stop comes between two batches."""
+    session = state_session(spark)
+    lake = Lakehouse(session, str(tmp_path / "lake"), prefix=f"t{uuid.uuid4().hex[:8]}_").create_all()
+    drop, begun, ended = tmp_path / "drop", [], []
+    drop.mkdir()
+    (drop / "a.manifest.json").write_text(manifest(landing / "yellow_tripdata_2024-01.parquet"))
+    handle = watch.handle_events
+
+    def late(frames):
+        import time
+
+        time.sleep(3)
+        yield from frames
+
+    def slow(lake, batch, **options):
+        begun.append(batch)
+        batch.sparkSession.range(1).mapInPandas(late, "id long").collect()
+        handle(lake, batch, **options)
+        ended.append(batch)
+
+    monkeypatch.setattr(watch, "handle_events", slow)
+    stream = watch.watch_stream(lake, str(drop), str(tmp_path / "checkpoint"), every="1 second")
+    limit = time.monotonic() + 120
+    while not (begun and spark.sparkContext.statusTracker().getActiveJobsIds()) and time.monotonic() < limit:
+        time.sleep(0.1)
+    stream.stop()
+    assert begun and begun == ended
+    assert not stream.isActive and stream.exception() is None
+    assert lake.read(BRONZE).count() == 600
+
+
+def test_watched_query_outlives_its_cache(spark, tmp_path, monkeypatch):
+    """A lost executor takes cached rows along; once the files are moved, they can't be listed again."""
+    start, folder = dt.datetime(2024, 1, 5), tmp_path / "tables"
+    folder.mkdir()
+    columns = {
+        "event_id": list(range(40)), "ts": [start + dt.timedelta(minutes=i) for i in range(40)], "user_id": list(range(40)),
+        "event_type": ["view"] * 40, "value": [5.0 + i for i in range(40)], "props": [f'{{"k": {i % 50}}}' for i in range(40)],
+    }
+    pq.write_table(pa.table(columns), folder / "events.parquet")
+    moved = streams.moved
+
+    def moved_and_lost(v, source, target):
+        moved(v, source, target)
+        spark.catalog.clearCache()
+
+    monkeypatch.setattr(streams, "moved", moved_and_lost)
+    row = QUERIES["i2_watched_manifests"](spark, str(folder)).first().asDict()
+    assert row == {"bronze_rows": 40, "waited": 3, "waiting": 0, "ledger_rows": 3}
+
+
 def test_only_paths_that_are_files_are_present(spark, tmp_path):
     (tmp_path / "a").write_text("x")
     paths = [str(tmp_path / "a"), f"file:{tmp_path}/a", str(tmp_path), str(tmp_path / "b"), "/no/such/folder/c", None]

@@ -15,7 +15,7 @@ from tidegrid.registry.learning import SCORED, SCORED_COLUMNS, observed_lake, tr
 from tidegrid.registry.relational import FEATURE_SQL, HOUR, ZONE
 from tidegrid.registry.views import Views
 from tidegrid.schemas import BRONZE, FEATURES, INGESTION_LEDGER, PREDICTIONS, SILVER, UTILISATION
-from tidegrid.session import state_session
+from tidegrid.session import checkpointed, state_session
 from tidegrid.sources.manifest import to_manifest_json
 from tidegrid.sources.trips import trips_from_events
 from tidegrid.streaming import counts, manifests, schedule, watch
@@ -87,7 +87,7 @@ def _(v: Views):
     files once they are there, without a new manifest; a repeated manifest does nothing."""
     v = Views(state_session(v.spark), v.folder)
     lake, folder, checkpoint = v.lake().create_all(), v.scratch("manifests"), v.scratch("checkpoint")
-    files, late = landed(v, 3).cache(), v.scratch("late")
+    files, late = checkpointed(landed(v, 3)), v.scratch("late")  # read again when the files are elsewhere, so a cache won't do
     source = files.first()["path"].rsplit("/", 1)[0]
     announced = files.withColumn("path", F.concat(F.lit(late + "/"), "source_filename"))
     drop_manifests(v, folder, announced)

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+import time
+from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidegrid.operators.tables import Lakehouse
 from tidegrid.plans.medallion import Outcome
@@ -124,6 +128,45 @@ def handle_events(lake: Lakehouse, events: DataFrame, at: dt.datetime | None = N
     return outcome
 
 
+class Watching(StreamingQuery):
+    """A stream whose ``stop`` lets the batch under way finish.
+
+    Spark's own ``stop`` kills the tasks of that batch, and a state task that is killed before its Python worker has connected
+    takes its executor along, with all that is cached there.
+    """
+
+    def __init__(self, writer: DataStreamWriter, handle: Callable[[DataFrame], object]):
+        self._closed, self._held = threading.Event(), threading.Event()
+
+        def batch_function(batch: DataFrame, _: int) -> None:
+            if self._closed.is_set():
+                self._hold(batch)
+            handle(batch)
+
+        super().__init__(writer.foreachBatch(batch_function).start()._jsq)
+
+    def _hold(self, batch: DataFrame) -> None:
+        """Keep a batch from its first task until the stop interrupts it; it comes again after a restart. The wait is in Spark's
+        thread of the stream, which takes an interrupt there for a stop and not for a failure."""
+        jvm = batch.sparkSession._jvm
+        self._held.set()
+        try:
+            while self.isActive:
+                jvm.java.lang.Thread.sleep(1000)
+        except Py4JJavaError as error:  # Spark searches its text by a recursive pattern, which a whole stack trace overflows
+            error.java_exception.setStackTrace(batch.sparkSession.sparkContext._gateway.new_array(jvm.java.lang.StackTraceElement, 0))
+            raise
+        raise InterruptedError("the stream was stopped before this batch")
+
+    def stop(self, patience: float = 600) -> None:
+        """End the stream between two batches; a batch that takes more than ``patience`` seconds from now is killed."""
+        limit = time.monotonic() + patience
+        self._closed.set()
+        while self.isActive and self.status["isTriggerActive"] and not self._held.is_set() and time.monotonic() < limit:
+            time.sleep(0.1)
+        super().stop()
+
+
 def told(stream: StreamingQuery, state: str) -> int:
     """How many manifests the finished batches of a running stream told to be in a state."""
     seen = (p.observedMetrics.get(PROGRESS) for p in stream.recentProgress)
@@ -134,20 +177,18 @@ def watch_stream(
     lake: Lakehouse, folder: str, checkpoint: str, glob: str = "*.manifest.json", dataset: str | None = None, every: str = "30 seconds",
     retry: dt.timedelta = dt.timedelta(minutes=1), give_up: dt.timedelta | None = None, keep: dt.timedelta | None = dt.timedelta(days=90),
     files_per_batch: int = 500, publish: bool = False,
-) -> StreamingQuery:
+) -> Watching:
     """Ingestion that finds late files by itself: no new manifest and no separate retry job is needed.
 
     ``lake`` lives in a session of ``state_session``. Each manifest has a state of its own and a timer for its next look after
     ``retry``; looks happen in tasks, by path. Timers survive a restart from the same checkpoint. After ``give_up`` a manifest
     isn't looked for any more. Handled manifests stay known for ``keep`` here and for good in the state table, which a
-    fresh checkpoint asks before it ingests. Runs until it is stopped; each batch's progress has the counts of
+    fresh checkpoint asks before it ingests. Runs until it is stopped, which happens between two batches; each batch's progress has the counts of
     ``refused``, ``waiting``, ``ready`` and ``given_up`` manifests as the observed metrics ``PROGRESS``.
     """
     for spec in (REJECTED, STATE):
         lake.create(spec)
     events = watch_events(manifest_stream(lake.spark, folder, glob, files_per_batch), dataset, retry, give_up, keep)
     counts = [F.count_if(F.col("state") == state).alias(state.replace(" ", "_")) for state in (REFUSED, WAITING, READY, GIVEN_UP)]
-    return (
-        events.observe(PROGRESS, *counts).writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(processingTime=every)
-        .foreachBatch(lambda batch, _: handle_events(lake, batch, publish=publish) and None).start()
-    )
+    writer = events.observe(PROGRESS, *counts).writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(processingTime=every)
+    return Watching(writer, lambda batch: handle_events(lake, batch, publish=publish))
