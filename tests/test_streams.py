@@ -140,6 +140,24 @@ def test_stop_lets_the_batch_under_way_finish(spark, landing, tmp_path, monkeypa
     assert lake.read(BRONZE).count() == 600
 
 
+def test_late_file_is_found_after_a_stop_between_triggers(spark, landing, tmp_path):  # noqa: F811
+    session = state_session(spark)
+    lake = Lakehouse(session, str(tmp_path / "lake"), prefix=f"t{uuid.uuid4().hex[:8]}_").create_all()
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    late = landing / "arriving" / "yellow_tripdata_2024-01_late.parquet"
+    (drop / "b.manifest.json").write_text(manifest(late))
+
+    def run():
+        return watch.watch_stream(lake, str(drop), str(tmp_path / "checkpoint"), every="8 seconds", retry=dt.timedelta(seconds=1))
+
+    until(run(), lambda s: watch.told(s, manifests.WAITING) >= 1 and not s.status["isTriggerActive"], 120)
+    late.parent.mkdir()
+    (landing / late.name).rename(late)
+    until(run(), lambda s: watch.told(s, watch.READY) >= 1, 60)
+    assert lake.read(BRONZE).count() == 400
+
+
 def test_watched_query_outlives_its_cache(spark, tmp_path, monkeypatch):
     """A lost executor takes cached rows along; once the files are moved, they can't be listed again."""
     start, folder = dt.datetime(2024, 1, 5), tmp_path / "tables"

@@ -132,15 +132,17 @@ class Watching(StreamingQuery):
     """A stream whose ``stop`` lets the batch under way finish.
 
     Spark's own ``stop`` kills the tasks of that batch, and a state task that is killed before its Python worker has connected
-    takes its executor along, with all that is cached there.
+    takes its executor along, with all that is cached there. Besides, a stream that was stopped between two triggers looks at its
+    timers only after the next manifest; one that was stopped in a batch begins with that batch.
     """
 
     def __init__(self, writer: DataStreamWriter, handle: Callable[[DataFrame], object]):
-        self._closed, self._held = threading.Event(), threading.Event()
+        self._closed, self._begun, self._held = threading.Event(), threading.Event(), threading.Event()
 
         def batch_function(batch: DataFrame, _: int) -> None:
             if self._closed.is_set():
                 self._hold(batch)
+            self._begun.set()
             handle(batch)
 
         super().__init__(writer.foreachBatch(batch_function).start()._jsq)
@@ -159,10 +161,13 @@ class Watching(StreamingQuery):
         raise InterruptedError("the stream was stopped before this batch")
 
     def stop(self, patience: float = 600) -> None:
-        """End the stream between two batches; a batch that takes more than ``patience`` seconds from now is killed."""
+        """End the stream at the start of its next batch, which the timers bring with the next trigger; a batch that takes more than
+        ``patience`` seconds from now is killed. Without a batch so far there is none to wait for."""
         limit = time.monotonic() + patience
         self._closed.set()
-        while self.isActive and self.status["isTriggerActive"] and not self._held.is_set() and time.monotonic() < limit:
+        while self.isActive and not self._held.is_set() and time.monotonic() < limit:
+            if not self._begun.is_set() and not self.status["isTriggerActive"]:
+                break
             time.sleep(0.1)
         super().stop()
 
@@ -183,7 +188,7 @@ def watch_stream(
     ``lake`` lives in a session of ``state_session``. Each manifest has a state of its own and a timer for its next look after
     ``retry``; looks happen in tasks, by path. Timers survive a restart from the same checkpoint. After ``give_up`` a manifest
     isn't looked for any more. Handled manifests stay known for ``keep`` here and for good in the state table, which a
-    fresh checkpoint asks before it ingests. Runs until it is stopped, which happens between two batches; each batch's progress has the counts of
+    fresh checkpoint asks before it ingests. Runs until it is stopped, which happens at the start of a batch; each batch's progress has the counts of
     ``refused``, ``waiting``, ``ready`` and ``given_up`` manifests as the observed metrics ``PROGRESS``.
     """
     for spec in (REJECTED, STATE):
