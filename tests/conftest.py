@@ -32,3 +32,14 @@ def lake(spark, tmp_path):
 @pytest.fixture(scope="session")
 def small():
     return SMALL
+
+
+@pytest.fixture(autouse=True)
+def no_views_left(request):
+    """Temporary views of a test are listed with the tables of every database, so later tests would see them."""
+    yield
+    if "spark" in request.fixturenames:
+        catalog = request.getfixturevalue("spark").catalog
+        for table in catalog.listTables():
+            if table.isTemporary:
+                catalog.dropTempView(table.name)

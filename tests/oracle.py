@@ -35,9 +35,17 @@ def kinds(df: pd.DataFrame) -> dict[str, str]:
     return {c: df[c].dtype.kind for c in sorted(df.columns)}
 
 
+def whole(df: pd.DataFrame, columns: list[str]) -> pd.DataFrame:
+    """``columns`` as nullable integers where pandas made them floats for their nulls."""
+    return df.astype({c: "Int64" for c in columns if df[c].dtype.kind == "f" and (df[c].dropna() % 1 == 0).all()})
+
+
 def check(spark, con, folder: str, name: str, fn, sql: str) -> str | None:
     """None when equal, else the difference."""
-    got, want = fn(spark, folder).toPandas(), con.execute(sql).df()
+    found = fn(spark, folder)
+    got, want = found.toPandas(), con.execute(sql).df()
+    nullable = [c for c, t in found.dtypes if t in ("tinyint", "smallint", "int", "bigint") and got[c].dtype.kind == "f"]
+    got, want = whole(got, nullable), whole(want, [c for c in nullable if c in want])
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
     if len(got) != len(want):
